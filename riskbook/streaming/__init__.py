@@ -1,0 +1,6 @@
+"""Streaming: nothing to build.
+
+Every input of the reference is a batch Parquet table and a run is one
+snapshot for an end date; it has no stream source, watermark, window or
+state. This package stays empty on purpose (see README, "Not built").
+"""
