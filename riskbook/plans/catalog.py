@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskbook.functions.dates import window_list, window_start, window_start_col
-from riskbook.operators import behavior, book, master, transfers
+from riskbook.operators import behavior, book, labels, master, transfers
 from riskbook.sources import fixtures as fx
 from riskbook.sources.fixtures import DAYS_TO_EVALUATE as DAYS
 from riskbook.sources.fixtures import END_DATE
@@ -94,6 +94,50 @@ def q_split_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transfers.split_channels(fx.fixture(spark, sf_dir, "transfers_raw"), "tp_transacao", ["TED"])["TED"]
 
 
+# -------------------------------------------------------------------- labels
+
+
+def q_received_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.received_by_type(fx.fixture(spark, sf_dir, "transfers"), fx.fixture(spark, sf_dir, "persons"), "J")
+
+
+def _totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.receiver_totals(fx.fixture(spark, sf_dir, "transfers"), fx.fixture(spark, sf_dir, "persons"), "J")
+
+
+def q_receiver_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _totals(spark, sf_dir)
+
+
+def q_rank_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.rank_band(_totals(spark, sf_dir), fx.RANK_LO, fx.RANK_HI)
+
+
+def q_last_flagged_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.last_flagged_transfer(fx.fixture(spark, sf_dir, "transfers"), q_rank_band(spark, sf_dir))
+
+
+def q_sample_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.sample_customers(
+        fx.fixture(spark, sf_dir, "persons"), fx.fixture(spark, sf_dir, "transfers"), fx.SAMPLE_FRACTION, fx.SEED
+    )
+
+
+def q_derive_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.derive_labels(
+        fx.fixture(spark, sf_dir, "persons"),
+        fx.fixture(spark, sf_dir, "transfers"),
+        fx.RANK_LO,
+        fx.RANK_HI,
+        fx.SAMPLE_FRACTION,
+        fx.SEED,
+    ).risks
+
+
+def q_check_tax_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.check_tax_ids(fx.fixture(spark, sf_dir, "tax_ids"))
+
+
 QUERIES: dict[str, Query] = {
     "window_bounds": q_window_bounds,
     "clean_transfers": q_clean_transfers,
@@ -108,6 +152,13 @@ QUERIES: dict[str, Query] = {
     "master_table": q_master_table,
     "class_balance": q_class_balance,
     "split_channels": q_split_channels,
+    "received_by_type": q_received_by_type,
+    "receiver_totals": q_receiver_totals,
+    "rank_band": q_rank_band,
+    "last_flagged_transfer": q_last_flagged_transfer,
+    "sample_customers": q_sample_customers,
+    "derive_labels": q_derive_labels,
+    "check_tax_ids": q_check_tax_ids,
 }
 
 __all__ = ["QUERIES", "window_list"]

@@ -10,7 +10,7 @@ arithmetic. Every computed column is cast to the Spark type it must match.
 from __future__ import annotations
 
 from riskbook.sources.fixtures import DAYS_TO_EVALUATE as DAYS
-from riskbook.sources.fixtures import END_DATE, oracle_ctes
+from riskbook.sources.fixtures import END_DATE, RANK_HI, RANK_LO, SAMPLE_FRACTION, SEED, oracle_ctes
 
 # The book windows at DAYS = 180.
 BOOK_WINDOWS = [1, 7, 15, 30, 60, 90, 180]
@@ -148,6 +148,90 @@ def _window_bounds() -> str:
     return _with(["transfers"], f"select distinct dat_ref_carga, {', '.join(cols)} from transfers")
 
 
+RECEIVED = """
+select t.*, p.cd_tipo_doc
+from transfers t join (select nr_cpf_cnpj, cd_tipo_doc from persons) p on t.nr_cpf_cnpj_receiver = p.nr_cpf_cnpj
+where p.cd_tipo_doc = 'J'
+"""
+TOTALS = "select nr_cpf_cnpj_receiver, sum(vl_pgto) as vl_total_recebido from received group by nr_cpf_cnpj_receiver"
+BAND = f"""
+select nr_cpf_cnpj_receiver as nr_cpf_cnpj, 1 as fl_cartola
+from (select nr_cpf_cnpj_receiver,
+             row_number() over (order by vl_total_recebido desc, nr_cpf_cnpj_receiver) as rn
+      from totals) r
+where rn >= {RANK_LO} and rn < {RANK_HI}
+"""
+LAST = """
+select t.nr_cpf_cnpj_sender as nr_cpf_cnpj, max(t.dat_ref_carga) as data_ulti_trans_cartola
+from transfers t join band b on t.nr_cpf_cnpj_receiver = b.nr_cpf_cnpj
+group by t.nr_cpf_cnpj_sender
+"""
+SAMPLE_STEPS = [
+    ("f_ids", "select distinct nr_cpf_cnpj from persons where cd_tipo_doc = 'F'"),
+    ("n_pick", f"select greatest(1, cast(floor(count(*) * {SAMPLE_FRACTION}) as bigint)) as n from f_ids"),
+    (
+        "ranked",
+        f"select nr_cpf_cnpj, row_number() over (order by md5(nr_cpf_cnpj || ':{SEED}'), nr_cpf_cnpj) as rn from f_ids",
+    ),
+    (
+        "days",
+        "select dat_ref_carga, row_number() over (order by dat_ref_carga) as di "
+        "from (select distinct dat_ref_carga from transfers where dat_ref_carga is not null) d",
+    ),
+    ("n_days", "select count(*) as nd from days"),
+    (
+        "sample",
+        f"""select r.nr_cpf_cnpj, d.dat_ref_carga as data_ulti_trans_cartola_1
+        from ranked r cross join n_pick cross join n_days
+        join days d on d.di = (('0x' || substr(md5(r.nr_cpf_cnpj || ':{SEED}:date'), 1, 8))::bigint % n_days.nd) + 1
+        where r.rn <= n_pick.n""",
+    ),
+]
+LABEL_STEPS = [
+    ("received", RECEIVED),
+    ("totals", TOTALS),
+    ("band", BAND),
+    ("last", LAST),
+    *SAMPLE_STEPS,
+    (
+        "labels",
+        """select i.nr_cpf_cnpj, coalesce(l.data_ulti_trans_cartola, s.data_ulti_trans_cartola_1) as dat_ref_carga,
+        1 as flag_bloqueio
+        from f_ids i left join last l on i.nr_cpf_cnpj = l.nr_cpf_cnpj left join sample s on i.nr_cpf_cnpj = s.nr_cpf_cnpj""",
+    ),
+]
+
+
+def _tax_valid_sql() -> str:
+    # Weights written as position formulas: persons 10..2 / 11..2; companies
+    # 5..2,9..2 / 6..2,9..2.
+    def digit(i):
+        return f"try_cast(substr(nr_cpf_cnpj, cast({i} as integer), 1) as integer)"
+
+    def dv(n, weight):
+        s = f"list_sum(list_transform(range(1, {n + 1}), lambda i: {digit('i')} * ({weight})))"
+        return f"(case when 11 - {s} % 11 >= 10 then 0 else 11 - {s} % 11 end)"
+
+    person = (
+        "(cd_tipo_doc = 'F' and regexp_full_match(nr_cpf_cnpj, '[0-9]{11}') "
+        f"and {digit(10)} = {dv(9, '11 - i')} and {digit(11)} = {dv(10, '12 - i')})"
+    )
+    company = (
+        "(cd_tipo_doc = 'J' and regexp_full_match(nr_cpf_cnpj, '[0-9]{14}') "
+        f"and {digit(13)} = {dv(12, 'case when i <= 4 then 6 - i else 14 - i end')} "
+        f"and {digit(14)} = {dv(13, 'case when i <= 5 then 7 - i else 15 - i end')})"
+    )
+    return f"""
+select cd_tipo_doc, fl_valido, count(*) as qtd
+from (select cd_tipo_doc,
+             case when coalesce(case when cd_tipo_doc = 'F' then {person}
+                                     when cd_tipo_doc = 'J' then {company} end, false)
+                  then 1 else 0 end as fl_valido
+      from tax_ids) v
+group by cd_tipo_doc, fl_valido
+"""
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["window_bounds"] = _window_bounds()
@@ -176,6 +260,15 @@ def build() -> dict[str, str]:
         "nr_account_receiver, nr_office_receiver, cd_bank_receiver, vl_pgto, dat_ref_carga "
         "from transfers_raw where tp_transacao = 'TED'",
     )
+    q["received_by_type"] = _with(["transfers", "persons"], RECEIVED)
+    q["receiver_totals"] = _with(["transfers", "persons"], TOTALS, [("received", RECEIVED)])
+    q["rank_band"] = _with(["transfers", "persons"], "select * from band", LABEL_STEPS[:3])
+    q["last_flagged_transfer"] = _with(["transfers", "persons"], "select * from last", LABEL_STEPS[:4])
+    q["sample_customers"] = _with(["transfers", "persons"], "select * from sample", SAMPLE_STEPS)
+    q["derive_labels"] = _with(
+        ["transfers", "persons"], "select * from labels where dat_ref_carga is not null", LABEL_STEPS
+    )
+    q["check_tax_ids"] = _with(["tax_ids"], _tax_valid_sql())
     return q
 
 
