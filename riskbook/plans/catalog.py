@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskbook.functions.dates import window_list, window_start, window_start_col
-from riskbook.operators import behavior, book, labels, master, transfers
+from riskbook.operators import behavior, book, labels, master, metrics, model, transfers
+from riskbook.session import scratch_path
+from riskbook.sources.tables import write_table
 from riskbook.sources import fixtures as fx
 from riskbook.sources.fixtures import DAYS_TO_EVALUATE as DAYS
 from riskbook.sources.fixtures import END_DATE
@@ -138,6 +140,73 @@ def q_check_tax_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.check_tax_ids(fx.fixture(spark, sf_dir, "tax_ids"))
 
 
+# ------------------------------------------------------------- model inputs
+
+
+def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.fixture(spark, sf_dir, "score_history")
+
+
+def q_assign_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.assign_fold(q_master_table(spark, sf_dir).select("nr_cpf_cnpj"), "nr_cpf_cnpj", fx.FOLDS, fx.SEED)
+
+
+def q_roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    by_month = _scores(spark, sf_dir).withColumn("mes", F.substring("dat_ref_carga", 1, 7))
+    return metrics.roc_auc(by_month, "score", "label", ["mes"])
+
+
+def q_auc_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.auc_by_date(_scores(spark, sf_dir), "dat_ref_carga", score_col="score", label_col="label")
+
+
+def q_needs_retrain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.needs_retrain(q_auc_by_date(spark, sf_dir), fx.RETRAIN_THRESHOLD)
+
+
+def q_threshold_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.threshold_label(_scores(spark, sf_dir), "score", fx.CUTOFF)
+
+
+def q_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: the financial table written (overwrite) to the shared folder and read back."""
+    return write_table(q_financial_features(spark, sf_dir), scratch_path(spark, "financial"))
+
+
+def labelled_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Master table whose risks are the labels derived from transfers (C7),
+    as in the reference, where the derived risk table feeds the features."""
+    derived = labels.derive_labels(
+        fx.fixture(spark, sf_dir, "persons"), fx.fixture(spark, sf_dir, "transfers"), fx.RANK_LO, fx.RANK_HI,
+        fx.SAMPLE_FRACTION, fx.SEED,
+    )
+    beh = behavior.behavioral_features(fx.fixture(spark, sf_dir, "raw_campanhas"), derived.risks, END_DATE, DAYS)
+    bk = book.trailing_book(q_financial_features(spark, sf_dir), derived.flagged, END_DATE, DAYS)
+    return master.master_table(beh, bk)
+
+
+# Small fixed model for the rows-only checks; the search keeps it small too.
+SMOKE_PARAMS = {"maxIter": 10, "maxDepth": 3, "stepSize": 0.1}
+
+
+def q_gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 + D6 + D8: fit, save to the shared folder, reload, score."""
+    m = labelled_master(spark, sf_dir)
+    m = write_table(m, scratch_path(spark, "master"))
+    path = model.save_model(model.fit(m, SMOKE_PARAMS, fx.SEED), scratch_path(spark, "gbt"))
+    return model.score(m, model.load_model(path), fx.CUTOFF)
+
+
+def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = write_table(labelled_master(spark, sf_dir), scratch_path(spark, "master"))
+    return model.feature_importance_df(model.fit(m, SMOKE_PARAMS, fx.SEED), spark)
+
+
+def q_cv_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = write_table(labelled_master(spark, sf_dir), scratch_path(spark, "master"))
+    return model.search_and_fit(m, n_trials=2, folds=fx.FOLDS, seed=fx.SEED).cv
+
+
 QUERIES: dict[str, Query] = {
     "window_bounds": q_window_bounds,
     "clean_transfers": q_clean_transfers,
@@ -159,6 +228,15 @@ QUERIES: dict[str, Query] = {
     "sample_customers": q_sample_customers,
     "derive_labels": q_derive_labels,
     "check_tax_ids": q_check_tax_ids,
+    "assign_fold": q_assign_fold,
+    "roc_auc": q_roc_auc,
+    "auc_by_date": q_auc_by_date,
+    "needs_retrain": q_needs_retrain,
+    "threshold_label": q_threshold_label,
+    "table_roundtrip": q_table_roundtrip,
+    "gbt_scores": q_gbt_scores,
+    "feature_importance": q_feature_importance,
+    "cv_metrics": q_cv_metrics,
 }
 
 __all__ = ["QUERIES", "window_list"]

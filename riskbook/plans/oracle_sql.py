@@ -10,7 +10,17 @@ arithmetic. Every computed column is cast to the Spark type it must match.
 from __future__ import annotations
 
 from riskbook.sources.fixtures import DAYS_TO_EVALUATE as DAYS
-from riskbook.sources.fixtures import END_DATE, RANK_HI, RANK_LO, SAMPLE_FRACTION, SEED, oracle_ctes
+from riskbook.sources.fixtures import (
+    CUTOFF,
+    END_DATE,
+    FOLDS,
+    RANK_HI,
+    RANK_LO,
+    RETRAIN_THRESHOLD,
+    SAMPLE_FRACTION,
+    SEED,
+    oracle_ctes,
+)
 
 # The book windows at DAYS = 180.
 BOOK_WINDOWS = [1, 7, 15, 30, 60, 90, 180]
@@ -232,6 +242,22 @@ group by cd_tipo_doc, fl_valido
 """
 
 
+def _auc_sql(group_expr: str, group_name: str) -> str:
+    # Rank-sum form of the Mann-Whitney statistic, average ranks for ties.
+    return f"""
+select {group_name}, cast(sum(label) as bigint) as n_pos, cast(sum(1 - label) as bigint) as n_neg,
+  case when sum(label) > 0 and sum(1 - label) > 0 then
+    (sum(case when label = 1 then avg_rank else 0 end) - cast(sum(label) as double) * (sum(label) + 1) / 2.0)
+    / (cast(sum(label) as double) * cast(sum(1 - label) as double)) end as roc_auc
+from (select {group_name}, label,
+             cast(rank() over (partition by {group_name} order by score) as double)
+             + (count(*) over (partition by {group_name}, score) - 1) / 2.0 as avg_rank
+      from (select {group_expr} as {group_name}, score, label from score_history
+            where score is not null and label in (0, 1)) s) r
+group by {group_name}
+"""
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["window_bounds"] = _window_bounds()
@@ -269,6 +295,25 @@ def build() -> dict[str, str]:
         ["transfers", "persons"], "select * from labels where dat_ref_carga is not null", LABEL_STEPS
     )
     q["check_tax_ids"] = _with(["tax_ids"], _tax_valid_sql())
+    q["assign_fold"] = _master_sql(
+        f"select nr_cpf_cnpj, cast(('0x' || substr(md5(nr_cpf_cnpj || ':{SEED}'), 1, 8))::bigint % {FOLDS} as integer)"
+        " as fold from master"
+    )
+    q["roc_auc"] = _with(["score_history"], _auc_sql("substr(dat_ref_carga, 1, 7)", "mes"))
+    daily = _auc_sql("dat_ref_carga", "dat_ref_carga")
+    q["auc_by_date"] = _with(["score_history"], daily)
+    q["needs_retrain"] = _with(
+        ["score_history"],
+        f"""select d.dat_ref_carga, d.roc_auc, p.roc_auc as roc_auc_anterior,
+          case when p.roc_auc is null or p.roc_auc < {RETRAIN_THRESHOLD} then 1 else 0 end as fl_retreinar
+        from daily d left join daily p
+          on p.dat_ref_carga = strftime(cast(d.dat_ref_carga as date) - interval '1' day, '%Y-%m-%d')""",
+        [("daily", daily)],
+    )
+    q["threshold_label"] = _with(
+        ["score_history"], f"select *, cast(score >= {CUTOFF} as integer) as flag_predito from score_history"
+    )
+    q["table_roundtrip"] = q["financial_features"]
     return q
 
 
