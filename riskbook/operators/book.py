@@ -12,7 +12,7 @@ left join + ``fillna(0)`` produced.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskbook.functions.dates import window_list, window_start
@@ -65,14 +65,6 @@ def mark_own_bank(df: DataFrame, bank_col: str = "cd_bank_sender", code: int = O
     return df.withColumn("sant_trans", F.when(F.col(bank_col) == code, F.lit(1)).otherwise(F.lit(0)))
 
 
-def _fill(c: Column, is_double: bool) -> Column:
-    # fillna(0) semantics: null -> 0, and NaN -> 0 for doubles.
-    filled = F.coalesce(c, F.lit(0))
-    if is_double:
-        filled = F.nanvl(filled.cast("double"), F.lit(0.0))
-    return filled
-
-
 def trailing_book(
     financial: DataFrame,
     cartola_table: DataFrame,
@@ -91,9 +83,14 @@ def trailing_book(
     ``when(match, x).otherwise(0)``, so it is 0 once the window holds any
     non-matching row (Q4). ``qt*`` columns are int (an overflow fails
     under ANSI), ``vl*`` double. A null sender keeps an all-zero row.
+
+    The 8 × windows aggregates are generated as SQL expression text (one
+    JVM call each) over a projection that computes the matched amount and
+    count once per row.
     """
     if windows is None:
         windows = window_list(days_to_evaluate)
+    end = window_start(end_date)  # validates the ISO format before it is inlined
     fin = financial.select(
         F.col("nr_cpf_cnpj_sender").alias(ID),
         "cd_bank_sender",
@@ -103,26 +100,29 @@ def trailing_book(
         "dat_ref_carga",
     )
     fin = mark_flagged(mark_own_bank(fin, code=own_bank), cartola_table, max_broadcast_rows=max_broadcast_rows)
-    match = (F.col("sant_trans") == 1) & (F.col("bet_trans") == 1)
-    day = F.col("dat_ref_carga")
+    fin = fin.selectExpr(
+        ID,
+        "dat_ref_carga",
+        "vl_tran",
+        "qt_tran",
+        "case when sant_trans = 1 and bet_trans = 1 then vl_tran else 0D end as vl_match",
+        "case when sant_trans = 1 and bet_trans = 1 then qt_tran else 0 end as qt_match",
+    )
 
-    aggs = []
-    names = []
+    aggs, out = [], [ID]
     for d in windows:
-        in_window = day.between(window_start(end_date, days=d), end_date)
+        start = window_start(end, days=d)
+        cond = f"dat_ref_carga >= '{start}' and dat_ref_carga <= '{end}'"
         for prefix, fn, value, conditional in MEASURES:
-            x = F.when(match, F.col(value)).otherwise(F.lit(0)) if conditional else F.col(value)
             name = f"{prefix}_{d}"
-            aggs.append(_AGG[fn](F.when(in_window, x)).alias(name))
-            names.append(name)
-
-    grouped = fin.groupBy(ID).agg(*aggs)
-    out = [F.col(ID)]
-    for name in names:
-        is_double = name.startswith("vl")
-        value = F.when(F.col(ID).isNull(), F.lit(0)).otherwise(_fill(F.col(name), is_double))
-        out.append(value.cast("double" if is_double else "int").alias(name))
-    return grouped.select(*out)
+            source = value.replace("_tran", "_match") if conditional else value
+            aggs.append(F.expr(f"{fn}(case when {cond} then {source} end)").alias(name))
+            if name.startswith("vl"):
+                # fillna(0) semantics for doubles: null and NaN become 0.
+                out.append(f"cast(case when {ID} is null then 0D else nanvl(coalesce({name}, 0D), 0D) end as double) as {name}")
+            else:
+                out.append(f"cast(case when {ID} is null then 0 else coalesce({name}, 0) end as int) as {name}")
+    return fin.groupBy(ID).agg(*aggs).selectExpr(*out)
 
 
 def trailing_book_joined(
