@@ -25,7 +25,7 @@ FORMS = {
 
 
 def _digits(id_col: Column) -> Column:
-    return F.transform(F.split(id_col, ""), lambda c: c.cast("int"))
+    return F.transform(F.split(id_col, ""), lambda c: c.try_cast("int"))
 
 
 def _check_digit(digits: Column, weights: list[int]) -> Column:
