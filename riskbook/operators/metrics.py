@@ -36,7 +36,12 @@ def roc_auc(
     group_cols: Sequence[str] = (),
     buckets: int = SCORE_BUCKETS,
 ) -> DataFrame:
-    """One row per group: ``n_pos``, ``n_neg``, ``roc_auc`` (double)."""
+    """One row per group: ``n_pos``, ``n_neg``, ``roc_auc`` (double).
+
+    One linear plan (one scan, three exchanges): per-score counts →
+    within-bucket running negatives and bucket totals → running negatives
+    of lower buckets over the bucket table → per-group sums.
+    """
     g = list(group_cols)
     # Rows without a score or with a label other than 0/1 do not count.
     usable = scored.filter(F.col(score_col).isNotNull() & F.col(label_col).isin(0, 1))
@@ -45,19 +50,21 @@ def roc_auc(
         F.sum(F.when(F.col(label_col) == 0, 1).otherwise(0)).alias("_neg"),
     )
     bucket = F.least(F.greatest(F.floor(F.col("_s") * buckets), F.lit(0)), F.lit(buckets - 1)).cast("int")
-    per_score = per_score.withColumn("_b", bucket)
-    per_bucket = per_score.groupBy(*g, "_b").agg(F.sum("_neg").alias("_bneg"))
-    wb = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1) if g else Window.orderBy(
-        "_b"
-    ).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(*g, "_b", F.coalesce(F.sum("_bneg").over(wb), F.lit(0)).alias("_off"))
     ws = Window.partitionBy(*g, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.col("_off") + F.coalesce(F.sum("_neg").over(ws), F.lit(0))
-    terms = per_score.join(offsets, on=[*g, "_b"]).select(
-        *g, "_pos", "_neg", (F.col("_pos") * (below.cast("double") + F.col("_neg") * 0.5)).alias("_u")
+    # Within a bucket: pos(s) * (negatives below s in the bucket + half the ties).
+    inner = per_score.withColumn("_b", bucket).withColumn(
+        "_u", F.col("_pos") * (F.coalesce(F.sum("_neg").over(ws), F.lit(0)).cast("double") + F.col("_neg") * 0.5)
+    )
+    per_bucket = inner.groupBy(*g, "_b").agg(
+        F.sum("_pos").alias("_bpos"), F.sum("_neg").alias("_bneg"), F.sum("_u").alias("_bu")
     )
-    agg = terms.groupBy(*g).agg(
-        F.sum("_pos").alias("n_pos"), F.sum("_neg").alias("n_neg"), F.sum("_u").alias("_u")
+    # Across buckets: every positive of bucket b beats all negatives of lower buckets.
+    wb = (Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))).orderBy("_b").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    cross = F.col("_bpos").cast("double") * F.coalesce(F.sum("_bneg").over(wb), F.lit(0)).cast("double")
+    agg = per_bucket.withColumn("_bu", F.col("_bu") + cross).groupBy(*g).agg(
+        F.sum("_bpos").alias("n_pos"), F.sum("_bneg").alias("n_neg"), F.sum("_bu").alias("_u")
     )
     denom = F.col("n_pos").cast("double") * F.col("n_neg").cast("double")
     auc = F.when(denom > 0, F.col("_u") / denom)
@@ -73,17 +80,34 @@ def needs_retrain(daily_auc: DataFrame, threshold: float, date_col: str = "dat_r
     """D5, gate: for every date, retrain (``fl_retreinar`` = 1) when the
     previous calendar day has no AUC, a NULL AUC, or one below ``threshold``.
 
-    The previous day is found by an equi-join on ``date + 1`` (not by row
-    order), so a missing day counts as missing, as in the reference's
-    lookup by date tag.
+    The previous day is matched by calendar (``date + 1``), not by row
+    order, so a missing day counts as missing, as in the reference's lookup
+    by date tag. One pass: every daily row is emitted for its own date and,
+    tagged as "previous", for the next date, then grouped by date.
     """
-    prev = daily_auc.select(
-        F.date_format(F.date_add(F.to_date(date_col), 1), "yyyy-MM-dd").alias(date_col),
-        F.col("roc_auc").alias("roc_auc_anterior"),
+    day = F.to_date(date_col)
+    tagged = daily_auc.select(
+        F.explode(
+            F.array(
+                F.struct(F.col(date_col).alias("d"), F.lit(True).alias("own"), F.col("roc_auc").alias("auc")),
+                F.struct(
+                    F.date_format(F.date_add(day, 1), "yyyy-MM-dd").alias("d"),
+                    F.lit(False).alias("own"),
+                    F.col("roc_auc").alias("auc"),
+                ),
+            )
+        ).alias("t")
+    ).select("t.*")
+    per_day = tagged.groupBy(F.col("d").alias(date_col)).agg(
+        F.max(F.col("own").cast("int")).alias("_own"),
+        F.max(F.when(F.col("own"), F.col("auc"))).alias("roc_auc"),
+        F.max(F.when(~F.col("own"), F.col("auc"))).alias("roc_auc_anterior"),
+        F.max(F.when(~F.col("own"), F.lit(1))).alias("_has_prev"),
     )
-    joined = daily_auc.select(date_col, "roc_auc").join(prev, on=[date_col], how="left")
     retrain = F.col("roc_auc_anterior").isNull() | (F.col("roc_auc_anterior") < threshold)
-    return joined.withColumn("fl_retreinar", retrain.cast("int"))
+    return per_day.filter(F.col("_own") == 1).select(
+        date_col, "roc_auc", "roc_auc_anterior", retrain.cast("int").alias("fl_retreinar")
+    )
 
 
 def retrain_today(daily_auc: DataFrame, end_date: str, threshold: float, date_col: str = "dat_ref_carga") -> bool:
