@@ -11,6 +11,8 @@ the input, and only buckets that can hold a wanted rank are ranked at all.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,20 +36,23 @@ def smallest_by_hash(
     df: DataFrame,
     id_col: str,
     seed: int | str,
-    n: int,
+    n: int | Callable[[int], int],
     prefix_digits: int = 4,
 ) -> DataFrame:
     """The ``n`` rows of ``df`` (distinct ids) with the smallest
     ``md5(id:seed)``, ties by id, plus their exact rank ``_rank`` (1-based).
+    ``n`` may be a function of the total row count.
 
-    Jobs: one histogram job (≤ ``16 ** prefix_digits`` rows to the driver),
-    then the ranking plan: a broadcast join against the histogram offsets
-    (bounded by the histogram size) and a ``row_number`` partitioned by
-    bucket.
+    Jobs: one histogram job (≤ ``16 ** prefix_digits`` rows to the driver;
+    its sum is the total count), then the ranking plan: a broadcast join
+    against the histogram offsets (bounded by the histogram size) and a
+    ``row_number`` partitioned by bucket.
     """
     h = hash_hex(id_col, F.lit(str(seed)))
     keyed = df.withColumn("_h", h).withColumn("_b", hash_int(F.col("_h"), prefix_digits).cast("int"))
     hist = sorted((r["_b"], r["count"]) for r in keyed.groupBy("_b").count().collect())
+    if callable(n):
+        n = n(sum(c for _, c in hist))
     offsets, running = [], 0
     for bucket, count in hist:
         if running >= n:

@@ -110,15 +110,15 @@ def sample_customers(
     lost executor draws the same rows.
     """
     ids = persons.filter(F.col("cd_tipo_doc") == doc_type).select(ID).distinct()
-    total = ids.count()
-    n = max(minimum, int(total * fraction))
-    picked = smallest_by_hash(ids, ID, seed, n)
-    dates = transfers.select(DAY).filter(F.col(DAY).isNotNull()).distinct()
-    dates = dates.withColumn("_di", F.row_number().over(Window.orderBy(DAY)) - 1)
-    n_dates = dates.count()
-    if n_dates == 0:
+    picked = smallest_by_hash(ids, ID, seed, lambda total: max(minimum, int(total * fraction)))
+    # Distinct dates are a calendar (bounded by the span of the data, not by
+    # its volume): one scan, sorted on the driver, broadcast back.
+    days = sorted(r[0] for r in transfers.select(DAY).filter(F.col(DAY).isNotNull()).distinct().collect())
+    if not days:
         return picked.select(ID, F.lit(None).cast("string").alias("data_ulti_trans_cartola_1"))
-    di = hash_int(hash_hex(ID, F.lit(str(seed)), F.lit("date")), 8) % F.lit(n_dates)
+    spark = persons.sparkSession
+    dates = spark.createDataFrame(list(enumerate(days)), f"_di bigint, {DAY} string")
+    di = hash_int(hash_hex(ID, F.lit(str(seed)), F.lit("date")), 8) % F.lit(len(days))
     return (
         picked.withColumn("_di", di)
         .join(F.broadcast(dates), "_di")
