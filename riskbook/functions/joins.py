@@ -21,6 +21,12 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven ≤ ``max_rows``, else ``df``."""
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, known_rows: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when its row count is proven ≤ ``max_rows``, else ``df``.
+
+    ``known_rows`` is an upper bound the caller has by construction (e.g. a
+    rank band holds at most ``hi - lo`` rows); it saves the counting job.
+    """
+    if known_rows is not None and known_rows <= max_rows:
+        return F.broadcast(df)
     return F.broadcast(df) if bounded_rows(df, max_rows) else df

@@ -45,15 +45,17 @@ def mark_flagged(
     cartola_table: DataFrame,
     receiver_col: str = "nr_cpf_cnpj_receiver",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    flagged_rows: int | None = None,
 ) -> DataFrame:
     """``bet_trans`` = 1 when the receiver is a flagged id, else 0.
 
     The reference collects the flagged list to the driver and inlines it as
     an IN list; here it is a left join against the distinct flagged ids
     (unique, so no row fans out), broadcast only when its row count is
-    proven small. Null or unknown receivers get 0.
+    proven small (``flagged_rows``: a bound known by construction). Null or
+    unknown receivers get 0.
     """
-    flagged = broadcast_if_small(flagged_ids(cartola_table), max_broadcast_rows)
+    flagged = broadcast_if_small(flagged_ids(cartola_table), max_broadcast_rows, flagged_rows)
     joined = df.join(flagged, F.col(receiver_col) == F.col("_flagged_id"), "left")
     return joined.withColumn("bet_trans", F.when(F.col("_flagged_id").isNotNull(), F.lit(1)).otherwise(F.lit(0))).drop(
         "_flagged_id"
@@ -73,6 +75,7 @@ def trailing_book(
     windows: list[int] | None = None,
     own_bank: int = OWN_BANK,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    flagged_rows: int | None = None,
 ) -> DataFrame:
     """B11 + B12: one row per distinct sender of ``financial``.
 
@@ -99,7 +102,9 @@ def trailing_book(
         F.col("qtd_titulo").alias("qt_tran"),
         "dat_ref_carga",
     )
-    fin = mark_flagged(mark_own_bank(fin, code=own_bank), cartola_table, max_broadcast_rows=max_broadcast_rows)
+    fin = mark_flagged(
+        mark_own_bank(fin, code=own_bank), cartola_table, max_broadcast_rows=max_broadcast_rows, flagged_rows=flagged_rows
+    )
     fin = fin.selectExpr(
         ID,
         "dat_ref_carga",

@@ -79,14 +79,22 @@ def rank_band(totals: DataFrame, lo: int, hi: int, id_col: str = RECEIVER, value
     )
 
 
+def band_size(lo: int, hi: int) -> int:
+    """Upper bound of the rows :func:`rank_band` returns."""
+    return max(0, hi - max(lo, 1))
+
+
 def last_flagged_transfer(
     transfers: DataFrame,
     flagged: DataFrame,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    flagged_rows: int | None = None,
 ) -> DataFrame:
-    """Per sender, the latest date of a transfer to a flagged receiver."""
+    """Per sender, the latest date of a transfer to a flagged receiver
+    (a semi join: each transfer counts once however often its receiver is
+    listed)."""
     ids = flagged.select(F.col(ID).alias(RECEIVER)).distinct()
-    hits = transfers.join(broadcast_if_small(ids, max_broadcast_rows), on=[RECEIVER], how="left_semi")
+    hits = transfers.join(broadcast_if_small(ids, max_broadcast_rows, flagged_rows), on=[RECEIVER], how="left_semi")
     return hits.groupBy(F.col(SENDER).alias(ID)).agg(F.max(DAY).alias("data_ulti_trans_cartola"))
 
 
@@ -130,6 +138,7 @@ def sample_customers(
 class Labels:
     flagged: DataFrame  # (nr_cpf_cnpj, fl_cartola)
     risks: DataFrame  # (nr_cpf_cnpj, dat_ref_carga, flag_bloqueio)
+    flagged_rows: int  # upper bound of flagged's rows (the band width)
 
 
 def derive_labels(
@@ -147,7 +156,7 @@ def derive_labels(
     are dropped, ``flag_bloqueio`` = 1."""
     totals = receiver_totals(transfers, persons, "J", dedupe_persons)
     flagged = rank_band(totals, lo, hi)
-    last = last_flagged_transfer(transfers, flagged)
+    last = last_flagged_transfer(transfers, flagged, flagged_rows=band_size(lo, hi))
     sample = sample_customers(persons, transfers, fraction, seed)
     customers = persons.filter(F.col("cd_tipo_doc") == "F").select(ID).distinct()
     risks = (
@@ -157,7 +166,7 @@ def derive_labels(
         .filter(F.col(DAY).isNotNull())
         .select(ID, DAY, F.lit(1).alias("flag_bloqueio"))
     )
-    return Labels(flagged, risks)
+    return Labels(flagged, risks, band_size(lo, hi))
 
 
 def check_tax_ids(df: DataFrame, id_col: str = ID, type_col: str = "cd_tipo_doc") -> DataFrame:

@@ -96,6 +96,13 @@ def q_split_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transfers.split_channels(fx.fixture(spark, sf_dir, "transfers_raw"), "tp_transacao", ["TED"])["TED"]
 
 
+def q_write_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 sink form: one partitioned write, then one channel read back
+    (partition pruning keeps the other directories unread)."""
+    table = transfers.write_channels(fx.fixture(spark, sf_dir, "transfers_raw"), "tp_transacao", scratch_path(spark, "channels"))
+    return table.filter(F.col("tp_transacao") == "DOC")
+
+
 # -------------------------------------------------------------------- labels
 
 
@@ -116,7 +123,9 @@ def q_rank_band(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_last_flagged_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return labels.last_flagged_transfer(fx.fixture(spark, sf_dir, "transfers"), q_rank_band(spark, sf_dir))
+    return labels.last_flagged_transfer(
+        fx.fixture(spark, sf_dir, "transfers"), q_rank_band(spark, sf_dir), flagged_rows=labels.band_size(fx.RANK_LO, fx.RANK_HI)
+    )
 
 
 def q_sample_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,7 +190,7 @@ def labelled_master(spark: SparkSession, sf_dir: str) -> DataFrame:
         fx.SAMPLE_FRACTION, fx.SEED,
     )
     beh = behavior.behavioral_features(fx.fixture(spark, sf_dir, "raw_campanhas"), derived.risks, END_DATE, DAYS)
-    bk = book.trailing_book(q_financial_features(spark, sf_dir), derived.flagged, END_DATE, DAYS)
+    bk = book.trailing_book(q_financial_features(spark, sf_dir), derived.flagged, END_DATE, DAYS, flagged_rows=derived.flagged_rows)
     return master.master_table(beh, bk)
 
 
@@ -221,6 +230,7 @@ QUERIES: dict[str, Query] = {
     "master_table": q_master_table,
     "class_balance": q_class_balance,
     "split_channels": q_split_channels,
+    "write_channels": q_write_channels,
     "received_by_type": q_received_by_type,
     "receiver_totals": q_receiver_totals,
     "rank_band": q_rank_band,

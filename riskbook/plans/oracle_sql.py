@@ -286,6 +286,7 @@ def build() -> dict[str, str]:
         "nr_account_receiver, nr_office_receiver, cd_bank_receiver, vl_pgto, dat_ref_carga "
         "from transfers_raw where tp_transacao = 'TED'",
     )
+    q["write_channels"] = _with(["transfers_raw"], "select * from transfers_raw where tp_transacao = 'DOC'")
     q["received_by_type"] = _with(["transfers", "persons"], RECEIVED)
     q["receiver_totals"] = _with(["transfers", "persons"], TOTALS, [("received", RECEIVED)])
     q["rank_band"] = _with(["transfers", "persons"], "select * from band", LABEL_STEPS[:3])
