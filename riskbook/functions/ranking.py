@@ -11,8 +11,6 @@ the input, and only buckets that can hold a wanted rank are ranked at all.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,33 +34,36 @@ def smallest_by_hash(
     df: DataFrame,
     id_col: str,
     seed: int | str,
-    n: int | Callable[[int], int],
+    n: int | None = None,
+    fraction: float | None = None,
+    minimum: int = 1,
     prefix_digits: int = 4,
 ) -> DataFrame:
-    """The ``n`` rows of ``df`` (distinct ids) with the smallest
-    ``md5(id:seed)``, ties by id, plus their exact rank ``_rank`` (1-based).
-    ``n`` may be a function of the total row count.
+    """The rows of ``df`` (distinct ids) with the smallest ``md5(id:seed)``,
+    ties by id, plus their exact rank ``_rank`` (1-based). Either ``n`` rows,
+    or ``max(minimum, floor(total * fraction))`` rows.
 
-    Jobs: one histogram job (≤ ``16 ** prefix_digits`` rows to the driver;
-    its sum is the total count), then the ranking plan: a broadcast join
-    against the histogram offsets (bounded by the histogram size) and a
-    ``row_number`` partitioned by bucket.
+    One plan, no driver round trip: a histogram of hash-prefix buckets
+    (at most ``16 ** prefix_digits`` rows), its running offsets and the
+    total come from a window over that histogram (bounded by its size, not
+    by the data), the offsets of the buckets that can hold a wanted rank
+    are broadcast back (same bound), and ranks are ``row_number`` per bucket.
     """
+    if (n is None) == (fraction is None):
+        raise ValueError("give exactly one of n and fraction")
     h = hash_hex(id_col, F.lit(str(seed)))
     keyed = df.withColumn("_h", h).withColumn("_b", hash_int(F.col("_h"), prefix_digits).cast("int"))
-    hist = sorted((r["_b"], r["count"]) for r in keyed.groupBy("_b").count().collect())
-    if callable(n):
-        n = n(sum(c for _, c in hist))
-    offsets, running = [], 0
-    for bucket, count in hist:
-        if running >= n:
-            break
-        offsets.append((bucket, running))
-        running += count
-    if not offsets:
-        return keyed.limit(0).withColumn("_rank", F.lit(0).cast("bigint")).drop("_h", "_b")
-    spark = df.sparkSession
-    off_df = spark.createDataFrame(offsets, "_b int, _off bigint")
+    hist = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    if n is not None:
+        want = F.lit(int(n)).cast("bigint")
+    else:
+        want = F.greatest(F.lit(int(minimum)), F.floor(F.sum("_cnt").over(everything) * F.lit(float(fraction)))).cast("bigint")
+    offsets = (
+        hist.select("_b", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"), want.alias("_n"))
+        .filter(F.col("_off") < F.col("_n"))
+    )
     w = Window.partitionBy("_b").orderBy("_h", id_col)
-    ranked = keyed.join(F.broadcast(off_df), "_b").withColumn("_rank", F.col("_off") + F.row_number().over(w))
-    return ranked.filter(F.col("_rank") <= n).drop("_h", "_b", "_off")
+    ranked = keyed.join(F.broadcast(offsets), "_b").withColumn("_rank", F.col("_off") + F.row_number().over(w))
+    return ranked.filter(F.col("_rank") <= F.col("_n")).drop("_h", "_b", "_off", "_n")

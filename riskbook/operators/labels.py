@@ -118,7 +118,7 @@ def sample_customers(
     lost executor draws the same rows.
     """
     ids = persons.filter(F.col("cd_tipo_doc") == doc_type).select(ID).distinct()
-    picked = smallest_by_hash(ids, ID, seed, lambda total: max(minimum, int(total * fraction)))
+    picked = smallest_by_hash(ids, ID, seed, fraction=fraction, minimum=minimum)
     # Distinct dates are a calendar (bounded by the span of the data, not by
     # its volume): one scan, sorted on the driver, broadcast back.
     days = sorted(r[0] for r in transfers.select(DAY).filter(F.col(DAY).isNotNull()).distinct().collect())

@@ -36,8 +36,9 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared file system every
-    executor can reach). Only when the session has none — local tests — a
-    fresh folder is created and registered as the checkpoint dir.
+    executor can reach). Only in local mode without one (tests) a fresh
+    folder is created and registered; on a cluster a missing setting is an
+    error, never a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -45,6 +46,8 @@ def shared_dir(spark: SparkSession) -> str:
         if current != sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current.rstrip("/")
+    if not (sc.master or "").startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
     local = tempfile.mkdtemp(prefix="riskbook-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)

@@ -99,11 +99,13 @@ def test_auc_equals_spark_evaluator(spark):
 @pytest.mark.parametrize("n", [1, 7, 150, 999])
 def test_smallest_by_hash_equals_sort_and_limit(spark, n):
     ids = spark.range(1000).select(F.col("id").cast("string").alias("k"))
-    got = smallest_by_hash(ids, "k", 42, n, prefix_digits=2)
+    got = smallest_by_hash(ids, "k", 42, n=n, prefix_digits=2)
     want = ids.orderBy(F.md5(F.concat("k", F.lit(":42"))), "k").limit(n)
     assert sorted(r.k for r in got.collect()) == sorted(r.k for r in want.collect())
     ranks = sorted(r._rank for r in got.collect())
     assert ranks == list(range(1, n + 1))
+    by_fraction = smallest_by_hash(ids, "k", 42, fraction=n / 1000 + 1e-9, prefix_digits=2)
+    assert sorted(r.k for r in by_fraction.collect()) == sorted(r.k for r in got.collect())
 
 
 def test_folds_are_balanced_and_stable(spark):
