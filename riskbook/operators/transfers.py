@@ -77,9 +77,10 @@ def _as_channels(feeds: Mapping[str, DataFrame] | Sequence[DataFrame]) -> list[t
 
 
 def financial_features(
-    feeds: Mapping[str, DataFrame] | Sequence[DataFrame],
+    feeds: Mapping[str, DataFrame] | Sequence[DataFrame] | DataFrame,
     end_date: str,
     days_to_evaluate: int,
+    channel_col: str | None = None,
 ) -> DataFrame:
     """Clean + daily pairs for any number of feeds, as one plan.
 
@@ -87,17 +88,24 @@ def financial_features(
     ``days_to_evaluate + 2`` dates). Feeds are deduplicated and aggregated
     separately — equal rows in two feeds stay two rows — by carrying the
     feed name as a key, which is dropped at the end.
+
+    ``feeds`` is a mapping name → table, a list of tables, or one table
+    whose ``channel_col`` names the feed of each row (one scan for all
+    feeds; the same result as splitting it first).
     """
     start = window_start(end_date, days=days_to_evaluate + 1)
-    tagged = None
-    for name, raw in _as_channels(feeds):
-        part = raw.filter(F.col("dat_ref_carga").between(start, end_date)).select(
-            F.lit(name).alias(CHANNEL_COL),
-            *[F.col(n) for n, _ in KEY_TYPES],
-            "vl_pgto",
-            "dat_ref_carga",
+    cols = [*[F.col(n) for n, _ in KEY_TYPES], "vl_pgto", "dat_ref_carga"]
+    if isinstance(feeds, DataFrame):
+        if channel_col is None:
+            raise ValueError("a single feed table needs channel_col")
+        tagged = feeds.filter(F.col("dat_ref_carga").between(start, end_date)).select(
+            F.col(channel_col).alias(CHANNEL_COL), *cols
         )
-        tagged = part if tagged is None else tagged.unionByName(part)
+    else:
+        tagged = None
+        for name, raw in _as_channels(feeds):
+            part = raw.filter(F.col("dat_ref_carga").between(start, end_date)).select(F.lit(name).alias(CHANNEL_COL), *cols)
+            tagged = part if tagged is None else tagged.unionByName(part)
     clean = tagged.select(*_clean_columns([CHANNEL_COL])).filter(F.col("vl_titulo") > 0).dropDuplicates()
     return daily_pairs(clean, extra_keys=[CHANNEL_COL]).drop(CHANNEL_COL)
 

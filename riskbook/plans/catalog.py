@@ -55,7 +55,8 @@ def q_daily_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_financial_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transfers.financial_features(fx.raw_channels(spark, sf_dir), END_DATE, DAYS)
+    # The fixture feeds come as one table tagged by channel: one scan.
+    return transfers.financial_features(fx.fixture(spark, sf_dir, "transfers_raw"), END_DATE, DAYS, channel_col="tp_transacao")
 
 
 def q_campaign_daily(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,10 @@ def test_fused_financial_equals_per_feed_union(spark):
     union = parts[0].unionByName(parts[1]).unionByName(parts[2])
     assert fused.columns == union.columns
     assert rows_of(fused) == rows_of(union)
+    tagged = transfers.financial_features(
+        fx.fixture(spark, SF_SMALL, "transfers_raw"), fx.END_DATE, fx.DAYS_TO_EVALUATE, channel_col="tp_transacao"
+    )
+    assert rows_of(tagged) == rows_of(union)
 
 
 def test_one_pass_book_equals_seven_joins(spark):
