@@ -98,23 +98,3 @@ def behavioral_features(
         F.sum(F.col("sc") * mult).alias("qtd_camp_conversao"),
         F.max(day_flag).cast("int").alias("flag_bloqueio"),
     )
-
-
-def behavioral_features_joined(
-    raw_campanhas: DataFrame,
-    raw_riscos: DataFrame,
-    end_date: str,
-    days_to_evaluate: int,
-) -> DataFrame:
-    """B7 written as the reference's full outer join; kept for the
-    equivalence tests."""
-    camp = campaign_daily(raw_campanhas, end_date, days_to_evaluate)
-    risk = risk_window(raw_riscos, end_date, days_to_evaluate)
-    joined = camp.join(risk, on=[ID, DAY], how="full").fillna(
-        0, subset=["qtd_camp_disparo", "qtd_camp_conversao", "flag_bloqueio"]
-    )
-    return joined.groupBy(ID).agg(
-        F.sum("qtd_camp_disparo").alias("qtd_camp_disparo"),
-        F.sum("qtd_camp_conversao").alias("qtd_camp_conversao"),
-        F.max("flag_bloqueio").alias("flag_bloqueio"),
-    )

@@ -32,7 +32,6 @@ MEASURES = [
     ("vl_tran_sant_bets_min", "min", "vl_tran", True),
     ("qt_tran_sant_bets_min", "min", "qt_tran", True),
 ]
-_AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
 def flagged_ids(cartola_table: DataFrame) -> DataFrame:
@@ -128,37 +127,3 @@ def trailing_book(
             else:
                 out.append(f"cast(case when {ID} is null then 0 else coalesce({name}, 0) end as int) as {name}")
     return fin.groupBy(ID).agg(*aggs).selectExpr(*out)
-
-
-def trailing_book_joined(
-    financial: DataFrame,
-    cartola_table: DataFrame,
-    end_date: str,
-    days_to_evaluate: int,
-) -> DataFrame:
-    """B11 as the reference writes it (one aggregate + left join per
-    window); kept for the equivalence tests."""
-    fin = financial.select(
-        F.col("nr_cpf_cnpj_sender").alias(ID),
-        "cd_bank_sender",
-        "nr_cpf_cnpj_receiver",
-        F.col("vl_titulo").alias("vl_tran"),
-        F.col("qtd_titulo").alias("qt_tran"),
-        "dat_ref_carga",
-    )
-    fin = mark_flagged(mark_own_bank(fin), cartola_table)
-    book = financial.select(F.col("nr_cpf_cnpj_sender").alias(ID)).distinct()
-    match = (F.col("sant_trans") == 1) & (F.col("bet_trans") == 1)
-    for d in window_list(days_to_evaluate):
-        part = fin.filter(F.col("dat_ref_carga").between(window_start(end_date, days=d), end_date))
-        aggs = []
-        for prefix, fn, value, conditional in MEASURES:
-            x = F.when(match, F.col(value)).otherwise(F.lit(0)) if conditional else F.col(value)
-            aggs.append(_AGG[fn](x).alias(f"{prefix}_{d}"))
-        book = book.join(part.groupBy(ID).agg(*aggs), on=[ID], how="left").fillna(0)
-    for c in book.columns:
-        if c.startswith("qt"):
-            book = book.withColumn(c, F.col(c).cast("int"))
-        if c.startswith("vl"):
-            book = book.withColumn(c, F.col(c).cast("double"))
-    return book

@@ -214,7 +214,7 @@ def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_cv_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = write_table(labelled_master(spark, sf_dir), scratch_path(spark, "master"))
-    return model.search_and_fit(m, n_trials=2, folds=fx.FOLDS, seed=fx.SEED).cv
+    return model.search_and_fit(m, n_trials=2, folds=fx.FOLDS, seed=fx.SEED, space=model.SMOKE_SPACE).cv
 
 
 QUERIES: dict[str, Query] = {

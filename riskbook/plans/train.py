@@ -32,12 +32,13 @@ def train(
     threshold: float,
     model_path: str,
     folds: int = 3,
-    n_trials: int = 4,
+    n_trials: int = 30,
     seed: int = 42,
+    space: dict | None = None,
 ) -> TrainRun:
     retrain = daily_auc is None or metrics.retrain_today(daily_auc, end_date, threshold)
     if retrain:
-        res = model.search_and_fit(master, n_trials=n_trials, folds=folds, seed=seed)
+        res = model.search_and_fit(master, n_trials=n_trials, folds=folds, seed=seed, space=space)
         model.save_model(res.model, model_path)
         return TrainRun(res.model, True, res.in_sample_auc, res.params, res.cv)
     fitted = model.load_model(model_path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from riskbook.functions.dates import window_list, window_start
 from riskbook.operators import behavior, book, labels, transfers
+from tests import reference_forms
 
 RAW_SCHEMA = (
     "nr_cpf_cnpj_sender string, nr_account_sender string, nr_office_sender string, cd_bank_sender string, "
@@ -101,7 +102,7 @@ def test_q8_duplicate_risk_rows_multiply_campaign_sums(spark):
     assert got["1"]["qtd_camp_disparo"] == 4 and got["1"]["qtd_camp_conversao"] == 2 and got["1"]["flag_bloqueio"] == 1
     assert got["2"]["qtd_camp_disparo"] == 1 and got["2"]["flag_bloqueio"] == 0
     assert got["3"]["qtd_camp_disparo"] == 0 and got["3"]["flag_bloqueio"] == 1
-    ref = as_dict(behavior.behavioral_features_joined(camp, risk, END, 1))
+    ref = as_dict(reference_forms.behavioral_features_joined(camp, risk, END, 1))
     assert got == ref
 
 
@@ -115,7 +116,7 @@ def test_behavioral_null_ids_and_null_flags_match_full_join(spark):
         "nr_cpf_cnpj string, dat_ref_carga string, flag_bloqueio int",
     )
     got = behavior.behavioral_features(camp, risk, END, 1)
-    ref = behavior.behavioral_features_joined(camp, risk, END, 1)
+    ref = reference_forms.behavioral_features_joined(camp, risk, END, 1)
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, ref.collect()), key=str)
     assert got.schema == ref.schema
 

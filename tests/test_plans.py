@@ -39,7 +39,9 @@ def test_build_features_with_checkpoints_equals_lazy(spark):
 def test_train_gate_retrains_then_reuses(spark):
     master = write_table(catalog.labelled_master(spark, SF_SMALL), scratch_path(spark, "master"))
     path = scratch_path(spark, "model")
-    first = train(master, None, fx.END_DATE, 0.85, path, folds=3, n_trials=2)
+    from riskbook.operators.model import SMOKE_SPACE
+
+    first = train(master, None, fx.END_DATE, 0.85, path, folds=3, n_trials=2, space=SMOKE_SPACE)
     assert first.retrained and first.cv.count() == 2 and first.roc_auc is not None
     prev_day = "1998-06-29"
     good = spark.createDataFrame([(prev_day, 0.99)], "dat_ref_carga string, roc_auc double")

@@ -12,6 +12,7 @@ from riskbook.functions.dates import window_start
 from riskbook.functions.ranking import smallest_by_hash
 from riskbook.operators import behavior, book, metrics, transfers
 from riskbook.sources import fixtures as fx
+from tests import reference_forms
 from tests.conftest import SF_SMALL
 
 
@@ -37,7 +38,7 @@ def test_one_pass_book_equals_seven_joins(spark):
     fin = transfers.financial_features(fx.raw_channels(spark, SF_SMALL), fx.END_DATE, fx.DAYS_TO_EVALUATE)
     cart = fx.fixture(spark, SF_SMALL, "cartola_table")
     one = book.trailing_book(fin, cart, fx.END_DATE, fx.DAYS_TO_EVALUATE)
-    seven = book.trailing_book_joined(fin, cart, fx.END_DATE, fx.DAYS_TO_EVALUATE)
+    seven = reference_forms.trailing_book_joined(fin, cart, fx.END_DATE, fx.DAYS_TO_EVALUATE)
     assert [(f.name, f.dataType) for f in one.schema] == [(f.name, f.dataType) for f in seven.schema]
     assert rows_of(one) == rows_of(seven)
 
@@ -57,7 +58,7 @@ def test_union_behavioral_equals_full_join_on_fixture(spark):
     camp, risk = fx.fixture(spark, SF_SMALL, "raw_campanhas"), fx.fixture(spark, SF_SMALL, "raw_riscos")
     risk = risk.unionByName(risk.limit(3))  # duplicate risk rows (Q8)
     a = behavior.behavioral_features(camp, risk, fx.END_DATE, fx.DAYS_TO_EVALUATE)
-    b = behavior.behavioral_features_joined(camp, risk, fx.END_DATE, fx.DAYS_TO_EVALUATE)
+    b = reference_forms.behavioral_features_joined(camp, risk, fx.END_DATE, fx.DAYS_TO_EVALUATE)
     assert [(f.name, f.dataType) for f in a.schema] == [(f.name, f.dataType) for f in b.schema]
     assert rows_of(a) == rows_of(b)
 
