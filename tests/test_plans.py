@@ -53,3 +53,29 @@ def test_train_gate_retrains_then_reuses(spark):
     scores = score_table(master, path)
     assert scores.count() == master.count()
     assert scores.columns == ["nr_cpf_cnpj", "probabilidade_inadimplente", "flag_predito"]
+
+
+def test_daily_run_gate_uses_yesterdays_history(spark):
+    from riskbook.operators.model import SMOKE_SPACE
+    from riskbook.plans.daily import HISTORY_SCHEMA, daily_run
+
+    args = (
+        fx.raw_channels(spark, SF_SMALL),
+        fx.fixture(spark, SF_SMALL, "raw_campanhas"),
+        fx.fixture(spark, SF_SMALL, "raw_riscos"),
+        fx.fixture(spark, SF_SMALL, "cartola_table"),
+    )
+    out = scratch_path(spark, "daily")
+    kw = dict(days_to_evaluate=30, folds=3, n_trials=2, space=SMOKE_SPACE, out_dir=out)
+    first = daily_run(spark, *args, end_date="1998-06-29", threshold=0.0, **kw)
+    assert first.training.retrained
+    n_master = first.features.master.count()
+    assert first.scores.count() == n_master > 0
+    # next day, yesterday's AUC >= threshold 0: reuse the saved model
+    second = daily_run(spark, *args, end_date="1998-06-30", threshold=0.0, **kw)
+    assert not second.training.retrained
+    # two days later there is no history for the previous day: retrain
+    third = daily_run(spark, *args, end_date="1998-07-02", threshold=0.0, **kw)
+    assert third.training.retrained
+    hist = {r.dat_ref_carga: r.roc_auc for r in spark.read.schema(HISTORY_SCHEMA).parquet(f"{out}/auc_history").collect()}
+    assert set(hist) == {"1998-06-29", "1998-06-30", "1998-07-02"}
