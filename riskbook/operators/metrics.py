@@ -6,14 +6,12 @@ the reference computes on the driver with a single-machine library — as a
 distributed aggregation:
 
 1. per (group, score): positives and negatives (partial aggregation);
-2. per (group, score bucket): negatives, turned into "negatives in lower
-   buckets" by a window over at most ``buckets`` rows per group;
-3. inside each (group, bucket): a running count of lower negatives.
+2. inside each finest score bucket: a running count of lower negatives;
+3. per bucket level, coarsest last: negatives of the lower sibling buckets,
+   a window over at most ``2 ** bucket_bits`` rows.
 
 AUC = Σ pos(s) · (neg(< s) + ½ neg(s)) / (P · N), NULL when a group holds
-one class only. Scores are bucketed as ``floor(score · buckets)`` clamped
-to the range, so probabilities spread evenly; any other score range stays
-exact, only less evenly spread. No task holds a whole group.
+one class only. No task holds a whole group.
 """
 
 from __future__ import annotations
@@ -26,7 +24,9 @@ from pyspark.sql import functions as F
 from riskbook.functions.dates import window_start
 from riskbook.functions.ranking import hash_hex, hash_int
 
-SCORE_BUCKETS = 4096
+# Nested score buckets: 2 levels of 2**12 (about 16.7M finest buckets on [0, 1]).
+BUCKET_BITS = 12
+BUCKET_LEVELS = 2
 
 
 def roc_auc(
@@ -34,13 +34,26 @@ def roc_auc(
     score_col: str = "score",
     label_col: str = "label",
     group_cols: Sequence[str] = (),
-    buckets: int = SCORE_BUCKETS,
+    bucket_bits: int = BUCKET_BITS,
+    levels: int = BUCKET_LEVELS,
 ) -> DataFrame:
     """One row per group: ``n_pos``, ``n_neg``, ``roc_auc`` (double).
 
-    One linear plan (one scan, three exchanges): per-score counts →
-    within-bucket running negatives and bucket totals → running negatives
-    of lower buckets over the bucket table → per-group sums.
+    Scores are placed in nested fixed-width buckets: level ``k`` splits
+    [0, 1] into ``2 ** (bucket_bits * (k + 1))`` buckets (scores outside are
+    clamped to the end buckets, which keeps the result exact). Then, from the
+    finest level up:
+
+    * finest: inside each bucket, pos(s) · (negatives below s + ½ ties),
+      a running sum over the distinct scores of that bucket only;
+    * every level: each bucket adds pos(bucket) · (negatives of the lower
+      sibling buckets) — a window over at most ``2 ** bucket_bits`` rows —
+      and folds into its parent.
+
+    One scan; ``levels + 2`` shuffles. No window holds more than
+    ``2 ** bucket_bits`` bucket rows or the distinct scores of one finest
+    bucket (width ``2 ** -(bucket_bits * levels)``), so a group holding a
+    third of all rows, or scores crowded into a narrow range, still spreads.
     """
     g = list(group_cols)
     # Rows without a score or with a label other than 0/1 do not count.
@@ -49,26 +62,36 @@ def roc_auc(
         F.sum(F.when(F.col(label_col) == 1, 1).otherwise(0)).alias("_pos"),
         F.sum(F.when(F.col(label_col) == 0, 1).otherwise(0)).alias("_neg"),
     )
-    bucket = F.least(F.greatest(F.floor(F.col("_s") * buckets), F.lit(0)), F.lit(buckets - 1)).cast("int")
-    ws = Window.partitionBy(*g, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    # Within a bucket: pos(s) * (negatives below s in the bucket + half the ties).
-    inner = per_score.withColumn("_b", bucket).withColumn(
-        "_u", F.col("_pos") * (F.coalesce(F.sum("_neg").over(ws), F.lit(0)).cast("double") + F.col("_neg") * 0.5)
+    bkeys = [f"_b{k}" for k in range(levels)]
+    for k, name in enumerate(bkeys):
+        n = 2 ** (bucket_bits * (k + 1))
+        per_score = per_score.withColumn(
+            name, F.least(F.greatest(F.floor(F.col("_s") * n), F.lit(0)), F.lit(n - 1)).cast("bigint")
+        )
+
+    def before(parts: list[str], order: str):
+        w = Window.partitionBy(*parts) if parts else Window.partitionBy(F.lit(0))
+        return w.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+    # Finest level: running negatives among the distinct scores of one bucket.
+    inner = per_score.withColumn(
+        "_u",
+        F.col("_pos")
+        * (F.coalesce(F.sum("_neg").over(before([*g, *bkeys], "_s")), F.lit(0)).cast("double") + F.col("_neg") * 0.5),
     )
-    per_bucket = inner.groupBy(*g, "_b").agg(
-        F.sum("_pos").alias("_bpos"), F.sum("_neg").alias("_bneg"), F.sum("_u").alias("_bu")
-    )
-    # Across buckets: every positive of bucket b beats all negatives of lower buckets.
-    wb = (Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))).orderBy("_b").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    cross = F.col("_bpos").cast("double") * F.coalesce(F.sum("_bneg").over(wb), F.lit(0)).cast("double")
-    agg = per_bucket.withColumn("_bu", F.col("_bu") + cross).groupBy(*g).agg(
-        F.sum("_bpos").alias("n_pos"), F.sum("_bneg").alias("n_neg"), F.sum("_bu").alias("_u")
-    )
-    denom = F.col("n_pos").cast("double") * F.col("n_neg").cast("double")
+    cur = inner.groupBy(*g, *bkeys).agg(F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"), F.sum("_u").alias("_u"))
+    # Each level: positives of a bucket beat all negatives of its lower siblings.
+    for k in range(levels - 1, -1, -1):
+        parent = [*g, *bkeys[:k]]
+        lower = F.coalesce(F.sum("_n").over(before(parent, bkeys[k])), F.lit(0)).cast("double")
+        cur = (
+            cur.withColumn("_u", F.col("_u") + F.col("_p").cast("double") * lower)
+            .groupBy(*parent)
+            .agg(F.sum("_p").alias("_p"), F.sum("_n").alias("_n"), F.sum("_u").alias("_u"))
+        )
+    denom = F.col("_p").cast("double") * F.col("_n").cast("double")
     auc = F.when(denom > 0, F.col("_u") / denom)
-    return agg.select(*g, F.col("n_pos").cast("bigint"), F.col("n_neg").cast("bigint"), auc.alias("roc_auc"))
+    return cur.select(*g, F.col("_p").cast("bigint").alias("n_pos"), F.col("_n").cast("bigint").alias("n_neg"), auc.alias("roc_auc"))
 
 
 def auc_by_date(history: DataFrame, date_col: str = "dat_ref_carga", **kw) -> DataFrame:

@@ -82,7 +82,9 @@ def brute_auc(pairs):
 )
 def test_auc_equals_pairwise_count(spark, rows):
     df = spark.createDataFrame(rows, "g int, score double, label int")
-    got = {r.g: r.roc_auc for r in metrics.roc_auc(df, group_cols=["g"], buckets=4).collect()}
+    got = {r.g: r.roc_auc for r in metrics.roc_auc(df, group_cols=["g"], bucket_bits=1, levels=3).collect()}
+    got2 = {r.g: r.roc_auc for r in metrics.roc_auc(df, group_cols=["g"]).collect()}
+    assert got == got2
     for g in {r[0] for r in rows}:
         want = brute_auc([(s, y) for gg, s, y in rows if gg == g])
         if want is None:
@@ -96,6 +98,7 @@ def test_auc_equals_spark_evaluator(spark):
     rows = [(round(rng.random(), 2), int(rng.random() < 0.3)) for _ in range(2000)]
     df = spark.createDataFrame(rows, "score double, label int")
     ours = metrics.roc_auc(df).collect()[0].roc_auc
+    assert metrics.roc_auc(df, bucket_bits=2, levels=1).collect()[0].roc_auc == pytest.approx(ours, abs=1e-12)
     ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
     theirs = ev.evaluate(df.withColumn("label", F.col("label").cast("double")))
     assert ours == pytest.approx(theirs, abs=1e-12)
