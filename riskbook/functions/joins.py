@@ -30,3 +30,41 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, known_
     if known_rows is not None and known_rows <= max_rows:
         return F.broadcast(df)
     return F.broadcast(df) if bounded_rows(df, max_rows) else df
+
+
+# Salts for the non-broadcast path: a hot key is spread over this many
+# tasks; the small side is shuffled this many times over.
+DEFAULT_SALTS = 8
+
+
+def join_small(
+    big: DataFrame,
+    small: DataFrame,
+    big_key: str,
+    small_key: str,
+    how: str,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    known_rows: int | None = None,
+    salts: int = DEFAULT_SALTS,
+) -> DataFrame:
+    """Equi-join ``big[big_key] = small[small_key]`` that survives hot keys.
+
+    The small side is broadcast when its size is proven (see
+    :func:`broadcast_if_small`). Otherwise the join is salted: every big row
+    gets a salt from a hash of the whole row (deterministic, so re-run
+    tasks agree) and the small side is repeated once per salt, so one key
+    holding a third of the big side is spread over ``salts`` tasks instead
+    of one. Works for inner, left, left_semi and left_anti joins (each big
+    row meets every small row of its key exactly once). ``small_key`` is
+    dropped from the output unless the join keeps only the big side.
+    """
+    if (known_rows is not None and known_rows <= max_rows) or bounded_rows(small, max_rows):
+        out = big.join(F.broadcast(small), F.col(big_key) == F.col(small_key), how)
+    elif salts <= 1:
+        out = big.join(small, F.col(big_key) == F.col(small_key), how)
+    else:
+        salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)))
+        salted_small = small.withColumn("_salt_s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+        cond = (F.col(big_key) == F.col(small_key)) & (F.col("_salt") == F.col("_salt_s"))
+        out = salted_big.join(salted_small, cond, how).drop("_salt", "_salt_s")
+    return out if how in ("left_semi", "left_anti", "semi", "anti") else out.drop(small_key)

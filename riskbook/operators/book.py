@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskbook.functions.dates import window_list, window_start
-from riskbook.functions.joins import MAX_BROADCAST_ROWS, broadcast_if_small
+from riskbook.functions.joins import MAX_BROADCAST_ROWS, join_small
 
 ID = "nr_cpf_cnpj"
 OWN_BANK = 1
@@ -51,14 +51,13 @@ def mark_flagged(
     The reference collects the flagged list to the driver and inlines it as
     an IN list; here it is a left join against the distinct flagged ids
     (unique, so no row fans out), broadcast only when its row count is
-    proven small (``flagged_rows``: a bound known by construction). Null or
-    unknown receivers get 0.
+    proven small (``flagged_rows``: a bound known by construction), salted
+    otherwise so a hot receiver does not land in one task. Null or unknown
+    receivers get 0.
     """
-    flagged = broadcast_if_small(flagged_ids(cartola_table), max_broadcast_rows, flagged_rows)
-    joined = df.join(flagged, F.col(receiver_col) == F.col("_flagged_id"), "left")
-    return joined.withColumn("bet_trans", F.when(F.col("_flagged_id").isNotNull(), F.lit(1)).otherwise(F.lit(0))).drop(
-        "_flagged_id"
-    )
+    flagged = flagged_ids(cartola_table).withColumn("_hit", F.lit(1))
+    joined = join_small(df, flagged, receiver_col, "_flagged_id", "left", max_broadcast_rows, flagged_rows)
+    return joined.withColumn("bet_trans", F.coalesce(F.col("_hit"), F.lit(0))).drop("_hit")
 
 
 def mark_own_bank(df: DataFrame, bank_col: str = "cd_bank_sender", code: int = OWN_BANK) -> DataFrame:

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskbook.functions.joins import MAX_BROADCAST_ROWS, broadcast_if_small
+from riskbook.functions.joins import MAX_BROADCAST_ROWS, join_small
 from riskbook.functions.ranking import hash_hex, hash_int, smallest_by_hash
 from riskbook.functions.taxid import is_valid_tax_id
 
@@ -35,9 +35,11 @@ def received_by_type(
 
     INNER join to the persons table as it is, one row per account: a
     receiver with k accounts of that type yields each transfer k times (Q5).
+    The persons side is broadcast when proven small, else the join is salted
+    (a hot receiver is spread over several tasks).
     """
-    people = persons.filter(F.col("cd_tipo_doc") == doc_type).select(F.col(ID).alias(RECEIVER), "cd_tipo_doc")
-    return transfers.join(broadcast_if_small(people, max_broadcast_rows), on=[RECEIVER], how="inner")
+    people = persons.filter(F.col("cd_tipo_doc") == doc_type).select(F.col(ID).alias("_person_id"), "cd_tipo_doc")
+    return join_small(transfers, people, RECEIVER, "_person_id", "inner", max_broadcast_rows)
 
 
 def receiver_totals(
@@ -93,8 +95,8 @@ def last_flagged_transfer(
     """Per sender, the latest date of a transfer to a flagged receiver
     (a semi join: each transfer counts once however often its receiver is
     listed)."""
-    ids = flagged.select(F.col(ID).alias(RECEIVER)).distinct()
-    hits = transfers.join(broadcast_if_small(ids, max_broadcast_rows, flagged_rows), on=[RECEIVER], how="left_semi")
+    ids = flagged.select(F.col(ID).alias("_flagged_id")).distinct()
+    hits = join_small(transfers, ids, RECEIVER, "_flagged_id", "left_semi", max_broadcast_rows, flagged_rows)
     return hits.groupBy(F.col(SENDER).alias(ID)).agg(F.max(DAY).alias("data_ulti_trans_cartola"))
 
 
