@@ -174,7 +174,7 @@ def derive_labels(
 def check_tax_ids(df: DataFrame, id_col: str = ID, type_col: str = "cd_tipo_doc") -> DataFrame:
     """Count of valid (``fl_valido`` = 1) and invalid ids per document type."""
     return (
-        df.select(F.col(type_col).alias("cd_tipo_doc"), is_valid_tax_id(F.col(id_col), F.col(type_col)).alias("fl_valido"))
+        df.select(F.col(type_col).alias("cd_tipo_doc"), is_valid_tax_id(id_col, type_col).alias("fl_valido"))
         .groupBy("cd_tipo_doc", "fl_valido")
         .agg(F.count(F.lit(1)).alias("qtd"))
     )
@@ -182,4 +182,4 @@ def check_tax_ids(df: DataFrame, id_col: str = ID, type_col: str = "cd_tipo_doc"
 
 def audit_tax_ids(df: DataFrame, id_col: str = ID, type_col: str = "cd_tipo_doc") -> DataFrame:
     """C8, row form: ``df`` with ``fl_valido`` appended."""
-    return df.withColumn("fl_valido", is_valid_tax_id(F.col(id_col), F.col(type_col)))
+    return df.withColumn("fl_valido", is_valid_tax_id(id_col, type_col))

@@ -212,7 +212,7 @@ def test_tax_id_rules(spark):
         (None, "F", 0),
     ]
     df = spark.createDataFrame(rows, "id string, tp string, expected int")
-    got = df.select(is_valid_tax_id(F.col("id"), F.col("tp")).alias("v"), "expected").collect()
+    got = df.select(is_valid_tax_id("id", "tp").alias("v"), "expected").collect()
     assert [r.v for r in got] == [r.expected for r in got]
 
 
