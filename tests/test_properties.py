@@ -122,3 +122,56 @@ def test_folds_are_balanced_and_stable(spark):
     counts = {r.fold: r["count"] for r in f1.groupBy("fold").count().collect()}
     assert set(counts) == {0, 1, 2} and min(counts.values()) > 900
     assert rows_of(f1) == rows_of(metrics.assign_fold(ids, "nr_cpf_cnpj", 3, 42))
+
+
+DAYS = ["2024-06-26", "2024-06-27", "2024-06-28", "2024-06-29", "2024-06-30", "2024-07-01"]
+IDS = st.sampled_from(["1", "2", "3", None])
+
+
+def _same(a, b):
+    assert [(f.name, f.dataType) for f in a.schema] == [(f.name, f.dataType) for f in b.schema]
+    norm = lambda rows: sorted((tuple("nan" if isinstance(v, float) and v != v else v for v in r) for r in rows), key=str)
+    assert norm(a.collect()) == norm(b.collect())
+
+
+@settings(max_examples=12, deadline=None)
+@given(
+    st.lists(st.tuples(IDS, st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 2), st.sampled_from(DAYS)), max_size=12),
+    st.lists(st.tuples(IDS, st.sampled_from(DAYS), st.one_of(st.none(), st.integers(-2, 2))), max_size=10),
+)
+def test_union_behavioral_equals_full_join_random(spark, camp_rows, risk_rows):
+    camp = spark.createDataFrame(camp_rows, "nr_cpf_cnpj string, camp_disparo int, camp_conversao int, dat_ref_carga string")
+    risk = spark.createDataFrame(risk_rows, "nr_cpf_cnpj string, dat_ref_carga string, flag_bloqueio int")
+    _same(
+        behavior.behavioral_features(camp, risk, "2024-06-30", 2),
+        reference_forms.behavioral_features_joined(camp, risk, "2024-06-30", 2),
+    )
+
+
+@settings(max_examples=10, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            IDS,
+            st.integers(1, 2),
+            st.sampled_from(["F", "G", None]),
+            st.sampled_from(DAYS),
+            st.sampled_from([1.0, 2.5, 7.0, float("nan")]),
+            st.integers(1, 3),
+        ),
+        min_size=1,
+        max_size=15,
+    )
+)
+def test_one_pass_book_equals_seven_joins_random(spark, rows):
+    fin = spark.createDataFrame(
+        [(s, 100, 10, bank, r, 200, 20, 2, d, v, q) for s, bank, r, d, v, q in rows],
+        "nr_cpf_cnpj_sender string, nr_account_sender int, nr_office_sender int, cd_bank_sender int, "
+        "nr_cpf_cnpj_receiver string, nr_account_receiver int, nr_office_receiver int, cd_bank_receiver int, "
+        "dat_ref_carga string, vl_titulo double, qtd_titulo int",
+    )
+    cart = spark.createDataFrame([("F", 1), ("G", 0)], "nr_cpf_cnpj string, fl_cartola int")
+    _same(
+        book.trailing_book(fin, cart, "2024-06-30", 7),
+        reference_forms.trailing_book_joined(fin, cart, "2024-06-30", 7),
+    )
