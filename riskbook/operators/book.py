@@ -34,14 +34,14 @@ MEASURES = [
 ]
 
 
-def flagged_ids(cartola_table: DataFrame) -> DataFrame:
+def flagged_ids(flagged_table: DataFrame) -> DataFrame:
     """Distinct receiver ids with ``fl_cartola = 1`` (duplicates are harmless)."""
-    return cartola_table.filter(F.col("fl_cartola") == 1).select(F.col(ID).cast("string").alias("_flagged_id")).distinct()
+    return flagged_table.filter(F.col("fl_cartola") == 1).select(F.col(ID).cast("string").alias("_flagged_id")).distinct()
 
 
 def mark_flagged(
     df: DataFrame,
-    cartola_table: DataFrame,
+    flagged_table: DataFrame,
     receiver_col: str = "nr_cpf_cnpj_receiver",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     flagged_rows: int | None = None,
@@ -55,7 +55,7 @@ def mark_flagged(
     otherwise so a hot receiver does not land in one task. Null or unknown
     receivers get 0.
     """
-    flagged = flagged_ids(cartola_table).withColumn("_hit", F.lit(1))
+    flagged = flagged_ids(flagged_table).withColumn("_hit", F.lit(1))
     joined = join_small(df, flagged, receiver_col, "_flagged_id", "left", max_broadcast_rows, flagged_rows)
     return joined.withColumn("bet_trans", F.coalesce(F.col("_hit"), F.lit(0))).drop("_hit")
 
@@ -67,7 +67,7 @@ def mark_own_bank(df: DataFrame, bank_col: str = "cd_bank_sender", code: int = O
 
 def trailing_book(
     financial: DataFrame,
-    cartola_table: DataFrame,
+    flagged_table: DataFrame,
     end_date: str,
     days_to_evaluate: int | None = None,
     windows: list[int] | None = None,
@@ -101,7 +101,7 @@ def trailing_book(
         "dat_ref_carga",
     )
     fin = mark_flagged(
-        mark_own_bank(fin, code=own_bank), cartola_table, max_broadcast_rows=max_broadcast_rows, flagged_rows=flagged_rows
+        mark_own_bank(fin, code=own_bank), flagged_table, max_broadcast_rows=max_broadcast_rows, flagged_rows=flagged_rows
     )
     fin = fin.selectExpr(
         ID,

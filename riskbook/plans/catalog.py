@@ -74,7 +74,7 @@ def q_behavioral_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_mark_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return book.mark_flagged(q_financial_features(spark, sf_dir), fx.fixture(spark, sf_dir, "cartola_table"))
+    return book.mark_flagged(q_financial_features(spark, sf_dir), fx.fixture(spark, sf_dir, "flagged_table"))
 
 
 def q_own_bank_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +82,7 @@ def q_own_bank_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_trailing_book(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return book.trailing_book(q_financial_features(spark, sf_dir), fx.fixture(spark, sf_dir, "cartola_table"), END_DATE, DAYS)
+    return book.trailing_book(q_financial_features(spark, sf_dir), fx.fixture(spark, sf_dir, "flagged_table"), END_DATE, DAYS)
 
 
 def q_master_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,7 +50,7 @@ def daily_run(
     feeds: Mapping[str, DataFrame] | Sequence[DataFrame],
     raw_campanhas: DataFrame,
     raw_riscos: DataFrame,
-    cartola_table: DataFrame,
+    flagged_table: DataFrame,
     end_date: str,
     days_to_evaluate: int = 180,
     threshold: float = 0.85,
@@ -63,7 +63,7 @@ def daily_run(
     out = (out_dir or os.path.join(shared_dir(spark), "riskbook")).rstrip("/")
     day_dir = f"{out}/{end_date}"
     tables = build_features(
-        feeds, raw_campanhas, raw_riscos, cartola_table, end_date, days_to_evaluate, checkpoint_to=day_dir
+        feeds, raw_campanhas, raw_riscos, flagged_table, end_date, days_to_evaluate, checkpoint_to=day_dir
     )
     history_path = f"{out}/auc_history"
     model_path = f"{out}/model"

@@ -33,7 +33,7 @@ def build_features(
     feeds: Mapping[str, DataFrame] | Sequence[DataFrame],
     raw_campanhas: DataFrame,
     raw_riscos: DataFrame,
-    cartola_table: DataFrame,
+    flagged_table: DataFrame,
     end_date: str,
     days_to_evaluate: int,
     checkpoint_to: str | None = None,
@@ -43,7 +43,7 @@ def build_features(
     if checkpoint_to:
         financial = write_table(financial, f"{checkpoint_to}/financial")
         behavioral = write_table(behavioral, f"{checkpoint_to}/behavioral")
-    book = trailing_book(financial, cartola_table, end_date, days_to_evaluate)
+    book = trailing_book(financial, flagged_table, end_date, days_to_evaluate)
     if checkpoint_to:
         book = write_table(book, f"{checkpoint_to}/agg_financial")
     master = master_table(behavioral, book)

@@ -94,7 +94,7 @@ from (select coalesce(c.nr_cpf_cnpj, r.nr_cpf_cnpj) as nr_cpf_cnpj,
 group by nr_cpf_cnpj
 """
 
-FLAGGED_IN = "(select nr_cpf_cnpj from cartola_table where fl_cartola = 1)"
+FLAGGED_IN = "(select nr_cpf_cnpj from flagged_table where fl_cartola = 1)"
 
 _MEASURES = [
     ("vl_tran_total_sum", "sum(vl_tran)"),
@@ -141,7 +141,7 @@ def _financial_steps() -> list[tuple[str, str]]:
 
 def _book_with(body: str, extra: list[tuple[str, str]] = ()) -> str:
     # The book needs the financial table and the flagged list.
-    text = oracle_ctes(FEEDS + ["cartola_table"], "select 1", _financial_steps() + list(extra))
+    text = oracle_ctes(FEEDS + ["flagged_table"], "select 1", _financial_steps() + list(extra))
     head = text[: text.rfind("select 1")].rstrip()
     return f"{head},\n{_book_sql()}\n{body}"
 
@@ -268,7 +268,7 @@ def build() -> dict[str, str]:
     q["risk_window"] = _with(["raw_riscos"], RISK_WINDOW)
     q["behavioral_features"] = _with(["raw_campanhas", "raw_riscos"], BEHAVIORAL)
     q["mark_flagged"] = _with(
-        FEEDS + ["cartola_table"],
+        FEEDS + ["flagged_table"],
         f"select f.*, case when nr_cpf_cnpj_receiver in {FLAGGED_IN} then 1 else 0 end as bet_trans from financial f",
         _financial_steps(),
     )
@@ -320,7 +320,7 @@ def build() -> dict[str, str]:
 
 def _master_sql(body: str) -> str:
     text = oracle_ctes(
-        FEEDS + ["cartola_table", "raw_campanhas", "raw_riscos"],
+        FEEDS + ["flagged_table", "raw_campanhas", "raw_riscos"],
         "select 1",
         _financial_steps() + [("behavioral", BEHAVIORAL)],
     )

@@ -82,7 +82,7 @@ from {orders} where o_orderstatus = 'F' and o_orderpriority = '1-URGENT'
 """
 
 # Duplicates and fl_cartola = 0 rows on purpose.
-_CARTOLA = """
+_FLAGGED = """
 select cast(1000000 + s_suppkey % 50 as varchar(20)) as nr_cpf_cnpj,
   case when s_suppkey % 50 < 8 then 1 else 0 end as fl_cartola from {supplier}
 """
@@ -129,7 +129,7 @@ BASE_SQL = {
     "persons": _PERSONS,
     "raw_campanhas": _CAMPANHAS,
     "raw_riscos": _RISCOS,
-    "cartola_table": _CARTOLA,
+    "flagged_table": _FLAGGED,
     "score_history": _SCORES,
     "tax_ids": _tax_ids_sql(),
 }

@@ -35,7 +35,7 @@ def fin_row(sender, receiver, day, amount, count=1, bank=1):
     return (sender, 100, 10, bank, receiver, 200, 20, 2, day, amount, count)
 
 
-def cartola(spark, ids):
+def flagged(spark, ids):
     return spark.createDataFrame([(i, 1) for i in ids], "nr_cpf_cnpj string, fl_cartola int")
 
 
@@ -67,13 +67,13 @@ def test_q3_inclusive_windows(spark):
     rows = [t(day="2024-06-27"), t(day="2024-06-28", amount=1.0), t(day="2024-06-29", amount=2.0), t(day=END, amount=4.0)]
     fin = transfers.financial_features({"PIX": raw(spark, rows)}, END, 1)
     assert sorted(r.dat_ref_carga for r in fin.collect()) == ["2024-06-28", "2024-06-29", END]
-    b = book.trailing_book(fin, cartola(spark, []), END, 1).collect()[0]
+    b = book.trailing_book(fin, flagged(spark, []), END, 1).collect()[0]
     assert b.vl_tran_total_sum_1 == 6.0 and b.qt_tran_total_sum_1 == 2
 
 
 def test_q3_sender_only_on_oldest_date_gets_zero_row(spark):
     fin = transfers.financial_features({"PIX": raw(spark, [t(sender="7", day="2024-06-28")])}, END, 1)
-    b = book.trailing_book(fin, cartola(spark, []), END, 1).collect()
+    b = book.trailing_book(fin, flagged(spark, []), END, 1).collect()
     assert len(b) == 1 and b[0].nr_cpf_cnpj == "7" and b[0].vl_tran_total_sum_1 == 0.0
 
 
@@ -82,7 +82,7 @@ def test_q4_min_is_zero_once_a_non_matching_row_exists(spark):
         [fin_row("1", "F", END, 50.0, bank=1), fin_row("1", "X", END, 30.0, bank=1), fin_row("2", "F", END, 20.0, bank=1)],
         FIN_SCHEMA,
     )
-    b = as_dict(book.trailing_book(fin, cartola(spark, ["F"]), END, windows=[1]))
+    b = as_dict(book.trailing_book(fin, flagged(spark, ["F"]), END, windows=[1]))
     assert b["1"]["vl_tran_sant_bets_min_1"] == 0.0 and b["1"]["vl_tran_sant_bets_max_1"] == 50.0
     assert b["2"]["vl_tran_sant_bets_min_1"] == 20.0
     assert b["1"]["vl_tran_sant_bets_sum_1"] == 50.0 and b["1"]["vl_tran_total_sum_1"] == 80.0
@@ -129,7 +129,7 @@ def test_q9_malformed_ints_become_null_not_errors(spark):
 
 def test_q10_null_sender_keeps_an_all_zero_row(spark):
     fin = spark.createDataFrame([fin_row(None, "F", END, 50.0), fin_row("1", "F", END, 5.0)], FIN_SCHEMA)
-    b = as_dict(book.trailing_book(fin, cartola(spark, ["F"]), END, windows=[1, 7]))
+    b = as_dict(book.trailing_book(fin, flagged(spark, ["F"]), END, windows=[1, 7]))
     assert set(b) == {None, "1"}
     assert all(v == 0 for k, v in b[None].items() if k != "nr_cpf_cnpj")
     assert b["1"]["vl_tran_sant_bets_sum_7"] == 5.0
@@ -151,14 +151,14 @@ def test_q12_count_overflow_fails_loudly(spark):
     big = 2**31 - 1
     fin = spark.createDataFrame([fin_row("1", "F", END, 1.0, count=big), fin_row("1", "G", END, 1.0, count=big)], FIN_SCHEMA)
     with pytest.raises(ArithmeticException):
-        book.trailing_book(fin, cartola(spark, []), END, windows=[1]).collect()
+        book.trailing_book(fin, flagged(spark, []), END, windows=[1]).collect()
 
 
 def test_q13_nan_amounts_pass_filter_and_fill_to_zero(spark):
     fin = transfers.financial_features({"PIX": raw(spark, [t(amount=float("nan")), t(receiver="8", amount=3.0)])}, END, 1)
     vals = sorted((r.vl_titulo for r in fin.collect()), key=lambda v: (math.isnan(v), v))
     assert vals[0] == 3.0 and math.isnan(vals[1])
-    b = book.trailing_book(fin, cartola(spark, []), END, 1).collect()[0]
+    b = book.trailing_book(fin, flagged(spark, []), END, 1).collect()[0]
     assert b.vl_tran_total_sum_1 == 0.0  # NaN sum filled like fillna(0)
     assert b.qt_tran_total_sum_1 == 2
 

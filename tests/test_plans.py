@@ -23,7 +23,7 @@ def test_build_features_with_checkpoints_equals_lazy(spark):
         fx.raw_channels(spark, SF_SMALL),
         fx.fixture(spark, SF_SMALL, "raw_campanhas"),
         fx.fixture(spark, SF_SMALL, "raw_riscos"),
-        fx.fixture(spark, SF_SMALL, "cartola_table"),
+        fx.fixture(spark, SF_SMALL, "flagged_table"),
         fx.END_DATE,
         fx.DAYS_TO_EVALUATE,
     )
@@ -63,7 +63,7 @@ def test_daily_run_gate_uses_yesterdays_history(spark):
         fx.raw_channels(spark, SF_SMALL),
         fx.fixture(spark, SF_SMALL, "raw_campanhas"),
         fx.fixture(spark, SF_SMALL, "raw_riscos"),
-        fx.fixture(spark, SF_SMALL, "cartola_table"),
+        fx.fixture(spark, SF_SMALL, "flagged_table"),
     )
     out = scratch_path(spark, "daily")
     kw = dict(days_to_evaluate=30, folds=3, n_trials=2, space=SMOKE_SPACE, out_dir=out)

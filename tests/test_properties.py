@@ -36,7 +36,7 @@ def test_fused_financial_equals_per_feed_union(spark):
 
 def test_one_pass_book_equals_seven_joins(spark):
     fin = transfers.financial_features(fx.raw_channels(spark, SF_SMALL), fx.END_DATE, fx.DAYS_TO_EVALUATE)
-    cart = fx.fixture(spark, SF_SMALL, "cartola_table")
+    cart = fx.fixture(spark, SF_SMALL, "flagged_table")
     one = book.trailing_book(fin, cart, fx.END_DATE, fx.DAYS_TO_EVALUATE)
     seven = reference_forms.trailing_book_joined(fin, cart, fx.END_DATE, fx.DAYS_TO_EVALUATE)
     assert [(f.name, f.dataType) for f in one.schema] == [(f.name, f.dataType) for f in seven.schema]
@@ -45,7 +45,7 @@ def test_one_pass_book_equals_seven_joins(spark):
 
 def test_book_rows_are_distinct_senders_and_windows_grow(spark):
     fin = transfers.financial_features(fx.raw_channels(spark, SF_SMALL), fx.END_DATE, fx.DAYS_TO_EVALUATE)
-    b = book.trailing_book(fin, fx.fixture(spark, SF_SMALL, "cartola_table"), fx.END_DATE, fx.DAYS_TO_EVALUATE)
+    b = book.trailing_book(fin, fx.fixture(spark, SF_SMALL, "flagged_table"), fx.END_DATE, fx.DAYS_TO_EVALUATE)
     assert b.count() == fin.select("nr_cpf_cnpj_sender").distinct().count()
     ws = [1, 7, 15, 30, 60, 90, 180]
     for r in b.collect():
