@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.functions.dates import window_list, window_start, window_start_col
+from riskbook.functions.dates import window_start, window_start_col
 from riskbook.operators import behavior, book, labels, master, metrics, model, transfers
 from riskbook.session import scratch_path
 from riskbook.sources.tables import write_table
@@ -250,4 +250,4 @@ QUERIES: dict[str, Query] = {
     "cv_metrics": q_cv_metrics,
 }
 
-__all__ = ["QUERIES", "window_list"]
+__all__ = ["QUERIES"]
