@@ -230,3 +230,30 @@ def test_salted_join_equals_plain_join(spark):
         salted = join_small(big, small, "k", "sk", how, max_rows=0, salts=5)
         assert salted.columns == plain.columns
         assert sorted(map(tuple, salted.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str), how
+
+
+def test_salted_join_spreads_a_hot_key(spark):
+    """With broadcast and AQE skew handling off, a plain join puts a hot key
+    in one task; the salted join spreads it over the salts."""
+    from riskbook.functions.joins import join_small
+
+    big = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit("other"), F.col("id").cast("string"))).otherwise(F.lit("hot")).alias("k"),
+        F.col("id"),
+    )
+    small = spark.createDataFrame([("hot", "x")], "sk string, tag string")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        salted = join_small(big, small, "k", "sk", "inner", max_rows=0, salts=8)
+        parts = salted.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        plain = big.join(small, F.col("k") == F.col("sk"), "inner")
+        plain_parts = plain.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(r["count"] for r in parts) == sum(r["count"] for r in plain_parts) == 4000
+    assert len(plain_parts) == 1
+    assert len(parts) >= 6 and max(r["count"] for r in parts) < 1500
