@@ -112,6 +112,20 @@ def main(argv: list[str]) -> None:
     fin.repartition(16, "nr_cpf_cnpj_sender").groupBy("nr_cpf_cnpj_sender").agg(F.sum("vl_titulo")).write.format(
         "noop"
     ).mode("overwrite").save()
+    # Hot receiver: a third of the rows go to one flagged id, and the flagged
+    # side is not broadcast, so the join is salted.
+    hot_recv = F.when(F.pmod(F.xxhash64(*fin.columns), F.lit(3)) == 1, F.lit("1000001")).otherwise(
+        F.col("nr_cpf_cnpj_receiver")
+    )
+    fin_r = fin.withColumn("nr_cpf_cnpj_receiver", hot_recv)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # measure the shuffled join paths
+    sc.setJobDescription("mark_flagged, salted (hot receiver, no broadcast)")
+    book.mark_flagged(fin_r, flagged, max_broadcast_rows=0).write.format("noop").mode("overwrite").save()
+    sc.setJobDescription("contrast: plain sort-merge join on the receiver")
+    ids = book.flagged_ids(flagged)
+    fin_r.join(ids, F.col("nr_cpf_cnpj_receiver") == F.col("_flagged_id"), "left").write.format("noop").mode(
+        "overwrite"
+    ).save()
     sc.setJobDescription(None)
     hot_rows = fin.filter(F.col("nr_cpf_cnpj_sender") == "HOT").count()
     total_rows = fin.count()
@@ -120,7 +134,8 @@ def main(argv: list[str]) -> None:
     print(f"# Skew check ({sf_dir}, 16 shuffle partitions, local[8])\n")
     print(
         "Input: the fixture transfers with the sender of every third row replaced by one hot sender. "
-        f"In the financial table, that sender holds {hot_rows:,} of {total_rows:,} rows.\n"
+        f"In the financial table, that sender holds {hot_rows:,} of {total_rows:,} rows. For the join rows, "
+        "the receiver of every third financial row is also replaced by one flagged id.\n"
     )
     print("Per stage that reads a shuffle: tasks, shuffle records read per task (max / median), task time in ms (max / median).\n")
     print("| job | stage | tasks | records max | records median | records total | ms max | ms median |")
