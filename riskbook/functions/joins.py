@@ -57,6 +57,12 @@ def join_small(
     of one. Works for inner, left, left_semi and left_anti joins (each big
     row meets every small row of its key exactly once). ``small_key`` is
     dropped from the output unless the join keeps only the big side.
+
+    Salting alone does not bound the task size: a key holding a third of
+    the data is still a third divided by ``salts`` per task. The bound
+    comes from AQE's skew-join split (enabled by ``session.configure``),
+    which cuts oversized partitions into advisory-sized chunks at run time
+    and composes with the salted partitioning.
     """
     if (known_rows is not None and known_rows <= max_rows) or bounded_rows(small, max_rows):
         out = big.join(F.broadcast(small), F.col(big_key) == F.col(small_key), how)
