@@ -257,3 +257,44 @@ def test_salted_join_spreads_a_hot_key(spark):
     assert sum(r["count"] for r in parts) == sum(r["count"] for r in plain_parts) == 4000
     assert len(plain_parts) == 1
     assert len(parts) >= 6 and max(r["count"] for r in parts) < 1500
+
+
+def test_aqe_splits_skewed_salted_join(spark):
+    """AQE's skew-join split applies on top of the salted join (tiny
+    thresholds so the small test data counts as skewed)."""
+    import contextlib
+    import io
+
+    from riskbook.functions.joins import join_small
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 5000).cast("string")))
+        big = spark.range(200000).select(key.alias("k"), "id")
+        small = spark.range(5000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("sk"))
+        small = small.union(spark.createDataFrame([("hot",)], "sk string"))
+        df = join_small(big, small, "k", "sk", "left", max_rows=0)
+        assert df.count() == 200000
+        df.collect()
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        assert "SortMergeJoin(skew=true)" in buf.getvalue().split("== Initial Plan ==")[0]
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
