@@ -217,6 +217,35 @@ def q_cv_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.search_and_fit(m, n_trials=2, folds=fx.FOLDS, seed=fx.SEED, space=model.SMOKE_SPACE).cv
 
 
+def q_daily_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's full run: features → gated training → scoring, with
+    the derived labels and flagged list as its risk and flagged inputs. A
+    fresh output folder per call, so the gate always starts without history
+    (it retrains)."""
+    from riskbook.plans.daily import daily_run
+
+    derived = labels.derive_labels(
+        fx.fixture(spark, sf_dir, "persons"), fx.fixture(spark, sf_dir, "transfers"), fx.RANK_LO, fx.RANK_HI,
+        fx.SAMPLE_FRACTION, fx.SEED,
+    )
+    run = daily_run(
+        spark,
+        fx.raw_channels(spark, sf_dir),
+        fx.fixture(spark, sf_dir, "raw_campanhas"),
+        derived.risks,
+        derived.flagged,
+        END_DATE,
+        DAYS,
+        threshold=fx.RETRAIN_THRESHOLD,
+        folds=fx.FOLDS,
+        n_trials=2,
+        space=model.SMOKE_SPACE,
+        cutoff=fx.CUTOFF,
+        out_dir=scratch_path(spark, "daily"),
+    )
+    return run.scores
+
+
 QUERIES: dict[str, Query] = {
     "window_bounds": q_window_bounds,
     "clean_transfers": q_clean_transfers,
@@ -248,6 +277,7 @@ QUERIES: dict[str, Query] = {
     "gbt_scores": q_gbt_scores,
     "feature_importance": q_feature_importance,
     "cv_metrics": q_cv_metrics,
+    "daily_scores": q_daily_scores,
 }
 
 __all__ = ["QUERIES"]

@@ -8,7 +8,7 @@ from tests.oracle_harness import compare, duck_connect
 
 QUERIES = contract.queries()
 SQL = contract.oracle_sql()
-MODEL_KEYS = {"gbt_scores", "feature_importance", "cv_metrics"}
+MODEL_KEYS = {"gbt_scores", "feature_importance", "cv_metrics", "daily_scores"}
 
 
 @pytest.fixture(scope="module")
