@@ -52,7 +52,15 @@ def smallest_by_hash(
     if (n is None) == (fraction is None):
         raise ValueError("give exactly one of n and fraction")
     h = hash_hex(id_col, F.lit(str(seed)))
-    keyed = df.withColumn("_h", h).withColumn("_b", hash_int(F.col("_h"), prefix_digits).cast("int"))
+    # Null ids have no hash and are not ranked. The not-null filter sits in
+    # the frame both branches share: the join below would otherwise make
+    # Catalyst infer it and push it into the ranking branch only, and the two
+    # branches could not reuse one shuffle of ``df`` (it would run twice).
+    keyed = (
+        df.withColumn("_h", h)
+        .withColumn("_b", hash_int(F.col("_h"), prefix_digits).cast("int"))
+        .filter(F.col("_b").isNotNull())
+    )
     hist = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
