@@ -78,3 +78,40 @@ def daily_run(
     )
     scores = write_table(score_table(tables.master, model_path, cutoff), f"{day_dir}/score_table")
     return DailyRun(tables, run, scores)
+
+
+# Input table names below ``in_dir`` (one Parquet table each).
+INPUT_TABLES = ("raw_pix", "raw_ted", "raw_doc", "raw_campanhas", "raw_riscos", "flagged_table")
+
+
+def run_from_folder(
+    spark: SparkSession,
+    in_dir: str,
+    out_dir: str,
+    end_date: str,
+    days_to_evaluate: int = 180,
+    number_of_folds: int = 3,
+    threshold: float = 0.85,
+    n_trials: int = 30,
+    space: dict | None = None,
+) -> DailyRun:
+    """The whole job over named Parquet tables: ``in_dir/<name>`` for each of
+    :data:`INPUT_TABLES`, outputs below ``out_dir`` (see :func:`daily_run`)."""
+    from riskbook.sources.tables import read_table
+
+    t = {name: read_table(spark, f"{in_dir.rstrip('/')}/{name}") for name in INPUT_TABLES}
+    feeds = {"PIX": t["raw_pix"], "TED": t["raw_ted"], "DOC": t["raw_doc"]}
+    return daily_run(
+        spark,
+        feeds,
+        t["raw_campanhas"],
+        t["raw_riscos"],
+        t["flagged_table"],
+        end_date,
+        days_to_evaluate,
+        threshold=threshold,
+        folds=number_of_folds,
+        n_trials=n_trials,
+        space=space,
+        out_dir=out_dir,
+    )

@@ -79,3 +79,20 @@ def test_daily_run_gate_uses_yesterdays_history(spark):
     assert third.training.retrained
     hist = {r.dat_ref_carga: r.roc_auc for r in spark.read.schema(HISTORY_SCHEMA).parquet(f"{out}/auc_history").collect()}
     assert set(hist) == {"1998-06-29", "1998-06-30", "1998-07-02"}
+
+
+def test_run_from_folder_reads_named_tables_and_writes_outputs(spark):
+    from riskbook.operators.model import SMOKE_SPACE
+    from riskbook.plans.daily import run_from_folder
+
+    base = scratch_path(spark, "inputs")
+    for ch, df in fx.raw_channels(spark, SF_SMALL).items():
+        df.write.parquet(f"{base}/raw_{ch.lower()}")
+    for name in ("raw_campanhas", "raw_riscos", "flagged_table"):
+        fx.fixture(spark, SF_SMALL, name).write.parquet(f"{base}/{name}")
+    out = scratch_path(spark, "outputs")
+    run = run_from_folder(spark, base, out, fx.END_DATE, 180, 3, 0.85, n_trials=1, space=SMOKE_SPACE)
+    day = f"{out}/{fx.END_DATE}"
+    master = spark.read.parquet(f"{day}/master_table")
+    assert rows_of(master) == rows_of(catalog.q_master_table(spark, SF_SMALL))
+    assert spark.read.parquet(f"{day}/score_table").count() == master.count() == run.scores.count()
