@@ -298,3 +298,44 @@ def test_aqe_splits_skewed_salted_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_q1_windows_filter_on_the_transfer_date(spark):
+    """The reference filters on a date column it has just dropped (resolved
+    by the analyzer); here the date stays until the aggregate. A transfer is
+    counted in exactly the windows that contain its date."""
+    fin = spark.createDataFrame(
+        [fin_row("1", "F", END, 1.0), fin_row("1", "F", "2024-06-24", 10.0), fin_row("1", "F", "2024-06-16", 100.0)],
+        FIN_SCHEMA,
+    )
+    b = book.trailing_book(fin, flagged(spark, ["F"]), END, windows=[1, 7, 15]).collect()[0]
+    assert (b.vl_tran_total_sum_1, b.vl_tran_total_sum_7, b.vl_tran_total_sum_15) == (1.0, 11.0, 111.0)
+
+
+def test_q14_customers_without_campaign_or_risk_rows_drop_out(spark):
+    from riskbook.operators.master import master_table
+
+    fin = spark.createDataFrame([fin_row("1", "F", END, 1.0), fin_row("2", "F", END, 2.0)], FIN_SCHEMA)
+    bk = book.trailing_book(fin, flagged(spark, ["F"]), END, windows=[1])
+    camp = spark.createDataFrame([("1", 1, 0, END)], "nr_cpf_cnpj string, camp_disparo int, camp_conversao int, dat_ref_carga string")
+    risk = spark.createDataFrame([], "nr_cpf_cnpj string, dat_ref_carga string, flag_bloqueio int")
+    m = master_table(behavior.behavioral_features(camp, risk, END, 1), bk).collect()
+    assert [r.nr_cpf_cnpj for r in m] == ["1"] and m[0].flag_bloqueio == 0
+
+
+def test_channel_sink_reads_back_one_partition(spark):
+    import contextlib
+    import io
+
+    from riskbook.session import scratch_path
+
+    df = spark.createDataFrame([(*t(), "PIX"), (*t(receiver="8"), "TED")], RAW_SCHEMA + ", tp_transacao string")
+    table = transfers.write_channels(df, "tp_transacao", scratch_path(spark, "channels"))
+    one = table.filter(F.col("tp_transacao") == "TED")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        one.explain()
+    assert "PartitionFilters: [isnotnull(tp_transacao" in buf.getvalue() and "= TED" in buf.getvalue()
+    assert [r.nr_cpf_cnpj_receiver for r in one.collect()] == ["8"]
+    split = transfers.split_channels(df, "tp_transacao", ["PIX", "TED", "DOC"])
+    assert [split[c].count() for c in ("PIX", "TED", "DOC")] == [1, 1, 0] and "tp_transacao" not in split["PIX"].columns
