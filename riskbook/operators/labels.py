@@ -23,6 +23,8 @@ ID = "nr_cpf_cnpj"
 RECEIVER = "nr_cpf_cnpj_receiver"
 SENDER = "nr_cpf_cnpj_sender"
 DAY = "dat_ref_carga"
+# Upper bound of distinct transfer days (about 1,000 years of dates).
+MAX_CALENDAR_DAYS = 400_000
 
 
 def received_by_type(
@@ -122,8 +124,14 @@ def sample_customers(
     ids = persons.filter(F.col("cd_tipo_doc") == doc_type).select(ID).distinct()
     picked = smallest_by_hash(ids, ID, seed, fraction=fraction, minimum=minimum)
     # Distinct dates are a calendar (bounded by the span of the data, not by
-    # its volume): one scan, sorted on the driver, broadcast back.
-    days = sorted(r[0] for r in transfers.select(DAY).filter(F.col(DAY).isNotNull()).distinct().collect())
+    # its volume): one scan, sorted on the driver, broadcast back. The limit
+    # makes the bound explicit: at most MAX_CALENDAR_DAYS rows ever move.
+    days = sorted(
+        r[0]
+        for r in transfers.select(DAY).filter(F.col(DAY).isNotNull()).distinct().limit(MAX_CALENDAR_DAYS + 1).collect()
+    )
+    if len(days) > MAX_CALENDAR_DAYS:
+        raise ValueError(f"more than {MAX_CALENDAR_DAYS} distinct values in {DAY}: not a calendar of days")
     if not days:
         return picked.select(ID, F.lit(None).cast("string").alias("data_ulti_trans_cartola_1"))
     spark = persons.sparkSession
