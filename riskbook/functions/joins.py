@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Default bound for an explicit broadcast: 1M short keys is a few tens of MB
-# per executor. Above it the join is left to the planner (AQE converts it to
-# a broadcast at run time if the shuffled side turns out small, otherwise a
-# sort-merge join whose skewed partitions AQE splits).
+# per executor. Above it the join is salted (see join_small); AQE may still
+# turn it into a broadcast at run time if the shuffled side turns out small,
+# and splits skewed sort-merge partitions otherwise.
 MAX_BROADCAST_ROWS = 1_000_000
 
 
@@ -21,17 +21,6 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, known_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven ≤ ``max_rows``, else ``df``.
-
-    ``known_rows`` is an upper bound the caller has by construction (e.g. a
-    rank band holds at most ``hi - lo`` rows); it saves the counting job.
-    """
-    if known_rows is not None and known_rows <= max_rows:
-        return F.broadcast(df)
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
-
-
 # Salts for the non-broadcast path: a hot key is spread over this many
 # tasks; the small side is shuffled this many times over.
 DEFAULT_SALTS = 8
@@ -49,8 +38,9 @@ def join_small(
 ) -> DataFrame:
     """Equi-join ``big[big_key] = small[small_key]`` that survives hot keys.
 
-    The small side is broadcast when its size is proven (see
-    :func:`broadcast_if_small`). Otherwise the join is salted: every big row
+    The small side is broadcast when its row count is proven ≤ ``max_rows``:
+    by ``known_rows``, an upper bound the caller has by construction (a rank
+    band holds at most ``hi - lo`` rows), or by :func:`bounded_rows`. Otherwise the join is salted: every big row
     gets a salt from a hash of the whole row (deterministic, so re-run
     tasks agree) and the small side is repeated once per salt, so one key
     holding a third of the big side is spread over ``salts`` tasks instead
