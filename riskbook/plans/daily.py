@@ -47,7 +47,7 @@ def _read_or_none(spark: SparkSession, path: str, schema: str, fmt: str = "parqu
 
 def daily_run(
     spark: SparkSession,
-    feeds: Mapping[str, DataFrame] | Sequence[DataFrame],
+    feeds: Mapping[str, DataFrame] | Sequence[DataFrame] | DataFrame,
     raw_campanhas: DataFrame,
     raw_riscos: DataFrame,
     flagged_table: DataFrame,
@@ -59,11 +59,13 @@ def daily_run(
     space: dict | None = None,
     cutoff: float = 0.5,
     out_dir: str | None = None,
+    channel_col: str | None = None,
 ) -> DailyRun:
     out = (out_dir or os.path.join(shared_dir(spark), "riskbook")).rstrip("/")
     day_dir = f"{out}/{end_date}"
     tables = build_features(
-        feeds, raw_campanhas, raw_riscos, flagged_table, end_date, days_to_evaluate, checkpoint_to=day_dir
+        feeds, raw_campanhas, raw_riscos, flagged_table, end_date, days_to_evaluate, checkpoint_to=day_dir,
+        channel_col=channel_col,
     )
     history_path = f"{out}/auc_history"
     model_path = f"{out}/model"

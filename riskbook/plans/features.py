@@ -30,15 +30,18 @@ class FeatureTables:
 
 
 def build_features(
-    feeds: Mapping[str, DataFrame] | Sequence[DataFrame],
+    feeds: Mapping[str, DataFrame] | Sequence[DataFrame] | DataFrame,
     raw_campanhas: DataFrame,
     raw_riscos: DataFrame,
     flagged_table: DataFrame,
     end_date: str,
     days_to_evaluate: int,
     checkpoint_to: str | None = None,
+    channel_col: str | None = None,
 ) -> FeatureTables:
-    financial = financial_features(feeds, end_date, days_to_evaluate)
+    """``feeds``: name → table, a list of tables, or one table tagged by
+    ``channel_col`` (see :func:`financial_features`)."""
+    financial = financial_features(feeds, end_date, days_to_evaluate, channel_col=channel_col)
     behavioral = behavioral_features(raw_campanhas, raw_riscos, end_date, days_to_evaluate)
     if checkpoint_to:
         financial = write_table(financial, f"{checkpoint_to}/financial")

@@ -33,6 +33,8 @@ def test_build_features_with_checkpoints_equals_lazy(spark):
     for name in ("financial", "behavioral", "agg_financial", "master_table"):
         assert os.path.isdir(f"{out}/{name}".replace("file:", ""))
     assert rows_of(written.master) == rows_of(lazy.master)
+    tagged = build_features(fx.fixture(spark, SF_SMALL, "transfers_raw"), *args[1:], channel_col="tp_transacao")
+    assert rows_of(tagged.master) == rows_of(lazy.master)
     assert rows_of(lazy.master) == rows_of(catalog.q_master_table(spark, SF_SMALL))
 
 
