@@ -8,6 +8,13 @@ round per window (7 scans, 7 joins at 180 days). Here it is **one**
 partial aggregation (a hot sender is combined before it moves), no join.
 Missing windows come out null and are filled with 0, which is what the
 left join + ``fillna(0)`` produced.
+
+Measured alternative, not taken: a narrow aggregate per (sender, day), the
+day rows moved by sender, then the wide aggregate where they land. It keeps
+wide partial buffers out of the shuffle, but it costs a second shuffle. At
+sf0.1 with one sender holding a third of the rows, it read 807 KB against
+517 KB for the single partial aggregate (the out-of-window slots of the
+wide buffers are null and compress well) and ran about 0.5 s slower.
 """
 
 from __future__ import annotations

@@ -38,16 +38,17 @@ def _stages(log_dir: str) -> list[dict]:
                     m = ev.get("Task Metrics") or {}
                     sr = m.get("Shuffle Read Metrics") or {}
                     info = ev.get("Task Info") or {}
+                    nbytes = sr.get("Remote Bytes Read", 0) + sr.get("Local Bytes Read", 0)
                     tasks.setdefault(ev["Stage ID"], []).append(
-                        (sr.get("Total Records Read", 0), info.get("Finish Time", 0) - info.get("Launch Time", 0))
+                        (sr.get("Total Records Read", 0), info.get("Finish Time", 0) - info.get("Launch Time", 0), nbytes)
                     )
     out = []
     for sid, ts in sorted(tasks.items()):
         desc = job_desc.get(stage_job.get(sid))
-        recs = [r for r, _ in ts]
+        recs = [r for r, _, _ in ts]
         if not desc or max(recs) == 0:
             continue
-        durs = [d for _, d in ts]
+        durs = [d for _, d, _ in ts]
         out.append(
             {
                 "job": desc,
@@ -56,6 +57,7 @@ def _stages(log_dir: str) -> list[dict]:
                 "records_max": max(recs),
                 "records_median": statistics.median(recs),
                 "records_total": sum(recs),
+                "kb_total": sum(b for _, _, b in ts) / 1024,
                 "ms_max": max(durs),
                 "ms_median": statistics.median(durs),
             }
@@ -137,13 +139,16 @@ def main(argv: list[str]) -> None:
         f"In the financial table, that sender holds {hot_rows:,} of {total_rows:,} rows. For the join rows, "
         "the receiver of every third financial row is also replaced by one flagged id.\n"
     )
-    print("Per stage that reads a shuffle: tasks, shuffle records read per task (max / median), task time in ms (max / median).\n")
-    print("| job | stage | tasks | records max | records median | records total | ms max | ms median |")
-    print("| --- | --- | --- | --- | --- | --- | --- | --- |")
+    print(
+        "Per stage that reads a shuffle: tasks, shuffle records read per task (max / median), total records and "
+        "bytes read, task time in ms (max / median).\n"
+    )
+    print("| job | stage | tasks | records max | records median | records total | shuffle KB read | ms max | ms median |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     for s in _stages(log_dir):
         print(
             f"| {s['job']} | {s['stage']} | {s['tasks']} | {s['records_max']:,} | {s['records_median']:,.0f} | "
-            f"{s['records_total']:,} | {s['ms_max']} | {s['ms_median']:.0f} |"
+            f"{s['records_total']:,} | {s['kb_total']:,.0f} | {s['ms_max']} | {s['ms_median']:.0f} |"
         )
 
 
