@@ -108,7 +108,7 @@ def needs_retrain(daily_auc: DataFrame, threshold: float, date_col: str = "dat_r
     by date tag. One pass: every daily row is emitted for its own date and,
     tagged as "previous", for the next date, then grouped by date.
     """
-    day = F.to_date(date_col)
+    day = F.try_to_date(F.col(date_col), "yyyy-MM-dd")  # malformed -> NULL
     tagged = daily_auc.select(
         F.explode(
             F.array(

@@ -339,3 +339,15 @@ def test_channel_sink_reads_back_one_partition(spark):
     assert [r.nr_cpf_cnpj_receiver for r in one.collect()] == ["8"]
     split = transfers.split_channels(df, "tp_transacao", ["PIX", "TED", "DOC"])
     assert [split[c].count() for c in ("PIX", "TED", "DOC")] == [1, 1, 0] and "tp_transacao" not in split["PIX"].columns
+
+
+def test_malformed_dates_become_null_not_errors(spark):
+    from riskbook.functions.dates import window_start_col
+    from riskbook.operators.metrics import needs_retrain
+
+    df = spark.createDataFrame([("2024-06-30",), ("30/06/2024",), (None,)], "d string")
+    got = [r.s for r in df.select(window_start_col(F.col("d"), 1, 1).alias("s")).collect()]
+    assert got == ["2024-05-29", None, None]
+    daily = spark.createDataFrame([("2024-06-29", 0.9), ("2024-06-30", 0.5), ("bad", 0.7)], "dat_ref_carga string, roc_auc double")
+    gate = {r.dat_ref_carga: r.fl_retreinar for r in needs_retrain(daily, 0.85).collect()}
+    assert gate["2024-06-30"] == 0 and gate["2024-06-29"] == 1 and gate["bad"] == 1
