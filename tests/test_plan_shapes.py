@@ -82,3 +82,18 @@ def test_auc_is_linear_with_levels_plus_two_shuffles(no_broadcast):
     for levels in (1, 2, 3):
         p = plan(metrics.roc_auc(df, group_cols=["g"], levels=levels))
         assert shuffles(p) == levels + 2 and "Join" not in p
+
+
+def test_hash_sample_shares_one_shuffle_of_the_ids(spark):
+    from riskbook.operators import labels
+    from riskbook.session import scratch_path
+
+    path = scratch_path(spark, "persons")
+    spark.createDataFrame([(str(i), "F") for i in range(500)], "nr_cpf_cnpj string, cd_tipo_doc string").write.parquet(path)
+    persons = spark.read.parquet(path)
+    transfers = spark.createDataFrame([("1", "2024-01-01")], "nr_cpf_cnpj_sender string, dat_ref_carga string")
+    df = labels.sample_customers(persons, transfers, 0.02, 42)
+    assert df.count() == 10
+    df.collect()  # executed plan: the histogram and the ranking reuse one shuffle of the ids
+    text = plan(df).split("== Initial Plan ==")[0]
+    assert text.count("FileScan parquet") == 1 and "Reused" in text
