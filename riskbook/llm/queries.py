@@ -7,16 +7,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskbook.llm import token_files
+from riskbook.llm import mixing, token_files
 from riskbook.llm.common import table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, read back."""
     return token_files.read_token_files(token_files.write_token_files(table(spark, sf_dir, "documents"), vocabulary()))
 
 
-QUERIES: dict[str, Query] = {"op7_token_files": op7_token_files}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES: dict[str, Query] = {"op4_source_mixing": op4_source_mixing, "op7_token_files": op7_token_files}
+ORACLE_SQL: dict[str, str] = {"op4_source_mixing": mixing.oracle_sql()}
