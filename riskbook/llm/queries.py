@@ -7,12 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskbook.llm import mixing, token_files
+from riskbook.llm import mixing, packing, token_files
 from riskbook.llm.common import table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), vocabulary()))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -23,5 +28,5 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(token_files.write_token_files(table(spark, sf_dir, "documents"), vocabulary()))
 
 
-QUERIES: dict[str, Query] = {"op4_source_mixing": op4_source_mixing, "op7_token_files": op7_token_files}
-ORACLE_SQL: dict[str, str] = {"op4_source_mixing": mixing.oracle_sql()}
+QUERIES: dict[str, Query] = {"op2_genetic_packing": op2_genetic_packing, "op4_source_mixing": op4_source_mixing, "op7_token_files": op7_token_files}
+ORACLE_SQL: dict[str, str] = {"op2_genetic_packing": op2_genetic_packing, "op4_source_mixing": mixing.oracle_sql()}
