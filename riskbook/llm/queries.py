@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskbook.llm import mixing, packing, token_files
+from riskbook.llm import mixing, packing, sketches, token_files
 from riskbook.llm.common import table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,5 +28,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(token_files.write_token_files(table(spark, sf_dir, "documents"), vocabulary()))
 
 
-QUERIES: dict[str, Query] = {"op2_genetic_packing": op2_genetic_packing, "op4_source_mixing": op4_source_mixing, "op7_token_files": op7_token_files}
+def op10_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return sketches.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {"op2_genetic_packing": op2_genetic_packing, "op4_source_mixing": op4_source_mixing, "op7_token_files": op7_token_files, "op10_scaled_sketch": op10_scaled_sketch}
 ORACLE_SQL: dict[str, str] = {"op2_genetic_packing": op2_genetic_packing, "op4_source_mixing": mixing.oracle_sql()}
