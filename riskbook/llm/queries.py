@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskbook.llm import mixing, packing, sketches, token_files
-from riskbook.llm.common import table, vocabulary
+from riskbook.llm import language, mixing, packing, sketches, token_files
+from riskbook.llm.common import held_out, table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,15 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from two thirds of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    out = held_out("doc_id", 3, 1)
+    model = language.fit(docs, ~out)
+    found = language.predict(docs.select("doc_id", "text", out.alias("held_out")), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, read back."""
     return token_files.read_token_files(token_files.write_token_files(table(spark, sf_dir, "documents"), vocabulary()))
@@ -33,5 +42,5 @@ def op10_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.edited_likeness(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op2_genetic_packing": op2_genetic_packing, "op4_source_mixing": op4_source_mixing, "op7_token_files": op7_token_files, "op10_scaled_sketch": op10_scaled_sketch}
+QUERIES: dict[str, Query] = {"op2_genetic_packing": op2_genetic_packing, "op4_source_mixing": op4_source_mixing, "op6_language_id": op6_language_id, "op7_token_files": op7_token_files, "op10_scaled_sketch": op10_scaled_sketch}
 ORACLE_SQL: dict[str, str] = {"op2_genetic_packing": op2_genetic_packing, "op4_source_mixing": mixing.oracle_sql()}
