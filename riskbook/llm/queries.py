@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskbook.llm import language, mixing, packing, sketches, token_files
+from riskbook.llm import language, mixing, packing, sketches, token_files, toxicity
 from riskbook.llm.common import held_out, table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,14 @@ def op2_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), vocabulary()))
 
 
+def op3_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels of three quarters of the ids."""
+    docs, out = table(spark, sf_dir, "documents"), held_out("doc_id", 4, 2)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~out)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_offending")
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -42,5 +51,5 @@ def op10_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.edited_likeness(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op2_genetic_packing": op2_genetic_packing, "op4_source_mixing": op4_source_mixing, "op6_language_id": op6_language_id, "op7_token_files": op7_token_files, "op10_scaled_sketch": op10_scaled_sketch}
+QUERIES: dict[str, Query] = {"op2_genetic_packing": op2_genetic_packing, "op3_toxicity_mil": op3_toxicity_mil, "op4_source_mixing": op4_source_mixing, "op6_language_id": op6_language_id, "op7_token_files": op7_token_files, "op10_scaled_sketch": op10_scaled_sketch}
 ORACLE_SQL: dict[str, str] = {"op2_genetic_packing": op2_genetic_packing, "op4_source_mixing": mixing.oracle_sql()}

@@ -86,12 +86,12 @@ def runs_within(counts: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) - np.repeat(first, counts)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of each maximal run of non-white-space bytes; runs end at row ends."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each maximal run of bytes not ``between`` (by default white space); runs end at row ends."""
     if not len(data):
         empty = np.zeros(0, np.int64)
         return empty, empty, empty
-    word = ~IS_SPACE[data]
+    word = ~between[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     before = np.concatenate(([False], word[:-1]))
@@ -101,14 +101,22 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, row_of(starts, offsets)
 
 
+class SpanHasher:
+    """64-bit hashes of spans of one array, by prefix sums modulo 2**64 taken once."""
+
+    def __init__(self, values: np.ndarray):
+        up, self.down = powers(len(values) + 1)
+        self.total = np.zeros(len(values) + 1, dtype=U64)
+        np.cumsum((values.astype(U64) + U64(1)) * up[: len(values)], out=self.total[1:])
+
+    def hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        spans = (self.total[ends] - self.total[starts]) * self.down[starts]
+        return mix(spans + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
+
+
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of values[start:end] for each span, by prefix sums modulo 2**64."""
-    n = len(values)
-    up, down = powers(n + 1)
-    total = np.zeros(n + 1, dtype=U64)
-    np.cumsum((values.astype(U64) + U64(1)) * up[:n], out=total[1:])
-    spans = (total[ends] - total[starts]) * down[starts]
-    return mix(spans + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
+    """64-bit hash of values[start:end] for each span."""
+    return SpanHasher(values).hash(starts, ends)
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
