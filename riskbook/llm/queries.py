@@ -8,12 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.llm import language, mixing, packing, sketches, token_files, toxicity
+from riskbook.llm import bagminhash, language, mixing, packing, sketches, token_files, toxicity
 from riskbook.llm.common import held_out, table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_bagminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document."""
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), vocabulary()))
@@ -51,5 +56,5 @@ def op10_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.edited_likeness(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op2_genetic_packing": op2_genetic_packing, "op3_toxicity_mil": op3_toxicity_mil, "op4_source_mixing": op4_source_mixing, "op6_language_id": op6_language_id, "op7_token_files": op7_token_files, "op10_scaled_sketch": op10_scaled_sketch}
+QUERIES: dict[str, Query] = {"op1_bagminhash_dedup": op1_bagminhash_dedup, "op2_genetic_packing": op2_genetic_packing, "op3_toxicity_mil": op3_toxicity_mil, "op4_source_mixing": op4_source_mixing, "op6_language_id": op6_language_id, "op7_token_files": op7_token_files, "op10_scaled_sketch": op10_scaled_sketch}
 ORACLE_SQL: dict[str, str] = {"op2_genetic_packing": op2_genetic_packing, "op4_source_mixing": mixing.oracle_sql()}
