@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.llm import bagminhash, hnsw, language, mixing, packing, sketches, token_files, toxicity
+from riskbook.llm import bagminhash, hnsw, language, mixing, packing, pii, sketches, token_files, toxicity
 from riskbook.llm.common import held_out, table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,12 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(token_files.write_token_files(table(spark, sf_dir, "documents"), vocabulary()))
 
 
+def op8_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
 def op9_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows of every twentieth vector."""
     return hnsw.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -61,5 +67,5 @@ def op10_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.edited_likeness(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op1_bagminhash_dedup": op1_bagminhash_dedup, "op2_genetic_packing": op2_genetic_packing, "op3_toxicity_mil": op3_toxicity_mil, "op4_source_mixing": op4_source_mixing, "op6_language_id": op6_language_id, "op7_token_files": op7_token_files, "op9_hnsw_search": op9_hnsw_search, "op10_scaled_sketch": op10_scaled_sketch}
+QUERIES: dict[str, Query] = {"op1_bagminhash_dedup": op1_bagminhash_dedup, "op2_genetic_packing": op2_genetic_packing, "op3_toxicity_mil": op3_toxicity_mil, "op4_source_mixing": op4_source_mixing, "op6_language_id": op6_language_id, "op7_token_files": op7_token_files, "op8_pii_crf": op8_pii_crf, "op9_hnsw_search": op9_hnsw_search, "op10_scaled_sketch": op10_scaled_sketch}
 ORACLE_SQL: dict[str, str] = {"op2_genetic_packing": op2_genetic_packing, "op4_source_mixing": mixing.oracle_sql()}
