@@ -133,7 +133,8 @@ def fit(docs: DataFrame, learn: Column, fit_per_language: int = FIT_PER_LANGUAGE
         return Model([], np.zeros((0, DIMENSIONS), np.float32), np.zeros(0), idf)
     share = rows.sparkSession.createDataFrame([(k, min(_SAMPLE_PARTS, fit_per_language * _SAMPLE_PARTS // v + 1)) for k, v in per_language.items()], "lang string, below long")
     place = F.pmod(F.xxhash64(F.lit("fit"), "doc_id", "text"), F.lit(_SAMPLE_PARTS))
-    sample = rows.join(share, "lang").where(place < F.col("below")).select("lang", "doc_id", "text")
+    # One row per language, made from the counts above: the texts are not shuffled to find the sample.
+    sample = rows.join(F.broadcast(share), "lang").where(place < F.col("below")).select("lang", "doc_id", "text")
 
     def centres(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "text"])
