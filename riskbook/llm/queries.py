@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.llm import bagminhash, hnsw, language, mixing, packing, pii, sketches, token_files, toxicity
+from riskbook.llm import bagminhash, hnsw, language, mixing, packing, pii, repeats, sketches, token_files, toxicity
 from riskbook.llm.common import held_out, table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of 100-byte strings that start earlier, too."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learnt from two thirds of the labelled ones."""
     docs = table(spark, sf_dir, "documents")
@@ -67,5 +72,5 @@ def op10_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.edited_likeness(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op1_bagminhash_dedup": op1_bagminhash_dedup, "op2_genetic_packing": op2_genetic_packing, "op3_toxicity_mil": op3_toxicity_mil, "op4_source_mixing": op4_source_mixing, "op6_language_id": op6_language_id, "op7_token_files": op7_token_files, "op8_pii_crf": op8_pii_crf, "op9_hnsw_search": op9_hnsw_search, "op10_scaled_sketch": op10_scaled_sketch}
+QUERIES: dict[str, Query] = {"op1_bagminhash_dedup": op1_bagminhash_dedup, "op2_genetic_packing": op2_genetic_packing, "op3_toxicity_mil": op3_toxicity_mil, "op4_source_mixing": op4_source_mixing, "op5_suffix_dedup": op5_suffix_dedup, "op6_language_id": op6_language_id, "op7_token_files": op7_token_files, "op8_pii_crf": op8_pii_crf, "op9_hnsw_search": op9_hnsw_search, "op10_scaled_sketch": op10_scaled_sketch}
 ORACLE_SQL: dict[str, str] = {"op2_genetic_packing": op2_genetic_packing, "op4_source_mixing": mixing.oracle_sql()}
