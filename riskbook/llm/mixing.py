@@ -55,8 +55,9 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     Sharing the excess out again until nothing is above has one fixed point:
     target = min(cap, weight x level), with the level at which the targets use up
     the budget. With sources in order of cap / weight, the level is what is left
-    after the first k caps over the weights after them, for the k where that
-    level first stays below the next cap / weight. One row per source.
+    after the first k caps over the weights after them, for the first k where it does
+    not exceed the next cap / weight; further on it only falls, so it is the largest
+    level that does not. One row per source.
     """
     per = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -72,7 +73,7 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
         .withColumn("level_here", (F.col("budget") - F.col("caps_before")) / F.col("weights_left"))
     )
     fits = F.when(F.col("level_here") <= ratio, F.col("level_here"))
-    target = F.least("cap", F.col("weight") * F.min(fits).over(everyone))
+    target = F.least("cap", F.col("weight") * F.max(fits).over(everyone))
     return per.select("source", "source_size", F.coalesce(target, F.col("cap")).alias("target"))
 
 
@@ -108,8 +109,8 @@ def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
     return state.select("source", F.col("base").alias("threshold"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every document."""
+def planned(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> tuple[DataFrame, DataFrame]:
+    """Sizes of the documents, and one row per source: s, source_size, target, whole, threshold."""
     sized = stored(sizes(docs), "mix-sizes")
     targets = stored(source_targets(sized, weights, share, repeats), "mix-targets")
     whole = F.coalesce(F.floor(F.col("target") / F.when(F.col("source_size") > 0, F.col("source_size"))), F.lit(0))
@@ -118,11 +119,29 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     plan = budgets.select(F.col("source").alias("s"), "source_size", "target", "whole").join(
         cut.select(F.col("source").alias("t"), "threshold"), F.col("s").eqNullSafe(F.col("t"))
     )
-    copies = F.col("whole") + (F.col("hash") < F.col("threshold")).cast("long")
+    return sized, plan.drop("t")
+
+
+def copies(repeats: int = REPEATS) -> Column:
+    """How often the mix takes a document, from its hash and its source's row of the plan."""
+    return F.least(F.col("whole") + (F.col("hash") < F.col("threshold")).cast("long"), F.lit(repeats))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
+    """doc_id, size, source_size, target, taken for every document."""
+    sized, plan = planned(docs, weights, share, repeats)
     # Both sides are small beside the documents; with few sources AQE broadcasts the plan by its measured size.
-    return sized.join(plan, sized.source.eqNullSafe(F.col("s"))).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.least(copies, F.lit(repeats))).alias("taken")
-    )
+    return sized.join(plan, F.col("source").eqNullSafe(F.col("s"))).select("doc_id", "size", "source_size", "target", (F.col("size") * copies(repeats)).alias("taken"))
+
+
+def apply_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
+    """The rows of docs that the mix takes, each as often as it is taken; all columns kept."""
+    _, plan = planned(docs, weights, share, repeats)
+    plan = plan.select(F.col("s").alias("_s"), "whole", "threshold")
+    rows = docs.select(F.struct("*").alias("_row"), F.col("source").cast("string").alias("_source"), id_hash(F.col("doc_id")).alias("hash"))
+    # One row per source; where the plan is beyond the broadcast limit, the join shuffles and AQE splits hot sources.
+    taken = rows.join(plan, F.col("_source").eqNullSafe(F.col("_s"))).withColumn("_copies", copies(repeats)).where(F.col("_copies") > 0)
+    return taken.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select("_row.*")
 
 
 def oracle_sql(weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, docs: str = "documents") -> str:
@@ -144,7 +163,7 @@ steps as (
          / sum(weight) over (order by cap / weight, source nulls last rows between current row and unbounded following) as level_here
   from leveled),
 targets as (
-  select source, source_size, coalesce(least(cap, weight * min(case when level_here <= cap / weight then level_here end) over ()), cap) as target from steps),
+  select source, source_size, coalesce(least(cap, weight * max(case when level_here <= cap / weight then level_here end) over ()), cap) as target from steps),
 plan as (
   select *, coalesce(floor(target / nullif(source_size, 0)), 0)::bigint as whole from targets),
 ranked as (
