@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from riskbook.llm.text_arrays import U64, SpanHasher, buffers, slices, word_spans
 
-FIT_DOCUMENTS = 12_000
+FIT_DOCUMENTS = 10_000
 MAX_WORDS = 1 << 14
 MIN_DOCUMENTS = 4
 MIN_Z = 6.0
@@ -106,30 +106,36 @@ class Model:
         return maybe[self.words[at] == hashes[maybe]]
 
 
-def fit_bags(hashes: np.ndarray, docs: np.ndarray, number: np.ndarray, labels: np.ndarray) -> Model:
-    """Fit on words in text order: hash, document and sentence number of each; labels by document."""
+def choose_words(chunks: Iterator[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> np.ndarray:
+    """Ascending hashes of the features that tell toxic documents from others, from
+    (hash, document) pairs in chunks of whole documents. Only counts per feature are kept."""
     n, positive = len(labels), int(labels.sum())
-    if not len(hashes) or positive in (0, n):
-        return Model(np.zeros(0, U64), np.zeros(0), 0.0)
-    words, word = np.unique(hashes, return_inverse=True)
-    pairs = np.unique(docs.astype(np.int64) * len(words) + word)
-    in_toxic = np.bincount(pairs % len(words), weights=labels[pairs // len(words)], minlength=len(words))
-    in_any = np.bincount(pairs % len(words), minlength=len(words))
-    rate = in_any / n
-    z = (in_toxic - positive * rate) / np.sqrt(np.maximum(positive * rate * (1 - rate) * (1 - positive / n), 1e-9))
+    words, counts = np.zeros(0, U64), np.zeros((2, 0))
+    for hashes, docs in chunks:
+        order = np.lexsort((hashes, docs))
+        h, d = hashes[order], docs[order]
+        new = np.ones(len(h), dtype=bool)
+        new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
+        h, toxic = h[new], labels[d[new]].astype(np.float64)
+        words, place = np.unique(np.concatenate((words, h)), return_inverse=True)
+        old = counts.shape[1]
+        counts = np.stack([np.bincount(place, weights=np.concatenate((c, w)), minlength=len(words)) for c, w in zip(counts, (np.ones(len(h)), toxic), strict=True)])
+        assert len(place) == old + len(h)
+    in_any, in_toxic = counts
+    rate = in_any / max(n, 1)
+    z = (in_toxic - positive * rate) / np.sqrt(np.maximum(positive * rate * (1 - rate) * (1 - positive / max(n, 1)), 1e-9))
     strength = np.where(in_any >= MIN_DOCUMENTS, np.abs(z), 0)
     chosen = np.flatnonzero(strength >= MIN_Z)
-    chosen = np.sort(chosen[np.argsort(-strength[chosen], kind="stable")][:MAX_WORDS])
-    place = np.full(len(words), -1)
-    place[chosen] = np.arange(len(chosen))
-    new = np.ones(len(docs), dtype=bool)
-    new[1:] = (docs[1:] != docs[:-1]) | (number[1:] != number[:-1])
-    sentence = np.cumsum(new) - 1
-    bag = docs[np.flatnonzero(new)]
-    use = place[word] >= 0
-    feature, inside = place[word[use]], sentence[use]
-    weights, bias = np.zeros(len(chosen)), -np.log(max(len(bag) / positive, 2.0))
-    step = [np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)]
+    return np.sort(words[chosen[np.argsort(-strength[chosen], kind="stable")][:MAX_WORDS]])
+
+
+def fit_bags(words: np.ndarray, feature: np.ndarray, inside: np.ndarray, bag: np.ndarray, labels: np.ndarray) -> Model:
+    """Fit the weights of ``words``: feature[i] occurs in sentence inside[i]; bag has each sentence's document."""
+    n, positive = len(labels), int(labels.sum())
+    if not len(bag) or positive in (0, n):
+        return Model(np.zeros(0, U64), np.zeros(0), 0.0)
+    weights, bias = np.zeros(len(words)), -np.log(max(len(bag) / positive, 2.0))
+    step = [np.zeros(len(words) + 1), np.zeros(len(words) + 1)]
     for t in range(1, STEPS + 1):
         p = 1 / (1 + np.exp(-(bias + np.bincount(inside, weights=weights[feature], minlength=len(bag)))))
         p = np.clip(p, 1e-9, 1 - 1e-9)
@@ -137,13 +143,33 @@ def fit_bags(hashes: np.ndarray, docs: np.ndarray, number: np.ndarray, labels: n
         # d log P / dz = p (1 - P) / P for toxic documents, d log(1 - P) / dz = -p for the others.
         pull = np.where(labels == 1, none / np.maximum(1 - none, 1e-9), -1.0)
         dz = p * pull[bag] / n
-        gradient = np.append(np.bincount(feature, weights=dz[inside], minlength=len(chosen)) - PENALTY * weights, dz.sum())
+        gradient = np.append(np.bincount(feature, weights=dz[inside], minlength=len(words)) - PENALTY * weights, dz.sum())
         # Adam with its usual constants.
         step[0] = 0.9 * step[0] + 0.1 * gradient
         step[1] = 0.999 * step[1] + 0.001 * gradient**2
         move = 0.1 * (step[0] / (1 - 0.9**t)) / (np.sqrt(step[1] / (1 - 0.999**t)) + 1e-8)
         weights, bias = weights + move[:-1], bias + move[-1]
-    return Model(words[chosen], weights, float(bias))
+    return Model(words, weights, float(bias))
+
+
+def fit_texts(texts: pd.Series, labels: np.ndarray, chunk: int = 500) -> Model:
+    """Two passes over the texts in chunks: choose the words, then gather their occurrences and fit."""
+    if not len(texts):
+        return Model(np.zeros(0, U64), np.zeros(0), 0.0)
+    parts = lambda: ((i, *sentences(pa.array(texts.iloc[i : i + chunk], pa.large_string()))) for i in range(0, len(texts), chunk))
+    words = choose_words(((h, d + i) for i, h, d, _ in parts()), labels)
+    features, inside, bags, count = [], [], [], 0
+    for i, hashes, docs, number in parts():
+        new = np.ones(len(docs), dtype=bool)
+        new[1:] = (docs[1:] != docs[:-1]) | (number[1:] != number[:-1])
+        sentence = np.cumsum(new) - 1 + count
+        at = np.minimum(np.searchsorted(words, hashes), max(len(words) - 1, 0))
+        known = words[at] == hashes if len(words) else np.zeros(len(hashes), dtype=bool)
+        features.append(at[known])
+        inside.append(sentence[known])
+        bags.append(docs[new] + i)
+        count += int(new.sum())
+    return fit_bags(words, np.concatenate(features), np.concatenate(inside), np.concatenate(bags), labels)
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, fit_documents: int = FIT_DOCUMENTS) -> Model:
@@ -158,11 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, fit_documents: int =
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "text"]).reset_index(drop=True)
-        parts = []
-        for i in range(0, len(pdf), 500):
-            hashes, rows, number = sentences(pa.array(pdf["text"].iloc[i : i + 500], pa.large_string()))
-            parts.append((hashes, rows + i, number))
-        model = fit_bags(*(np.concatenate(x) for x in zip(*parts, strict=True)), pdf["toxic"].to_numpy())
+        model = fit_texts(pdf["text"], pdf["toxic"].to_numpy())
         return pd.DataFrame({"word": np.append(model.words.astype(np.int64), 0), "weight": np.append(model.weights, model.bias), "is_bias": [False] * len(model.words) + [True]})
 
     found = chosen.groupBy().applyInPandas(train, "word long, weight double, is_bias boolean").collect()
