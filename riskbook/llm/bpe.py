@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from riskbook.llm.text_arrays import IS_SPACE, buffers, row_of, runs_within, span_hashes
 
 # The piece cache is emptied at this many pieces; that bounds memory and changes no result.
-CACHE_PIECES = 2_500_000
+CACHE_PIECES = 1_500_000
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 4
 #: Texts with code points from here on go to the library whole.
 PLAIN_LIMIT = 0x3000

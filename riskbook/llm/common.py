@@ -9,8 +9,8 @@ from riskbook.session import configure, scratch_path
 
 VOCABULARY = "byte_bpe_50k.json"
 # Arrow batches stay small even where single texts are long.
-ARROW_ROWS = 2000
-ARROW_BYTES = 16 << 20
+ARROW_ROWS = 1000
+ARROW_BYTES = 4 << 20
 
 
 def vocabulary() -> str:

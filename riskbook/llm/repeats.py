@@ -56,7 +56,7 @@ LAST_ID = (1 << 63) - 1
 #: Low bits of a gram's rank that hold its position, so the leftmost of equal grams is smallest.
 PLACE_BITS = 22
 SEGMENT = 1 << 21
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:

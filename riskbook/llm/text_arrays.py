@@ -17,7 +17,7 @@ U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 SHINGLE_WORDS = 5
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True

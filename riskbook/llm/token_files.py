@@ -46,7 +46,7 @@ MAGIC = b"TOKBITS1"
 BLOCK_IDS = 1 << 16
 FILE_IDS = 4 << 20
 #: Bytes of text encoded at a time.
-ENCODE_BYTES = 8 << 20
+ENCODE_BYTES = 4 << 20
 END_ID = 0
 MANIFEST = "part int, seq int, path string, n_docs long, n_ids long"
 
