@@ -4,13 +4,12 @@ Layout:
 
 * ``riskbook.sources``   — table read/write, the shared folder, test fixtures.
 * ``riskbook.functions`` — column-level helpers (dates, tax-id check digits,
-  hash ranks, size-checked joins).
+  exact ranks, joins).
 * ``riskbook.operators`` — the relational operators (transfers, behaviour,
   trailing book, master table, labels, metrics, model).
 * ``riskbook.plans``     — compositions of operators: the feature run, the
   train/score run, the daily run, the query catalogue used by
   ``__spark_entry__``.
-* ``riskbook.streaming`` — intentionally empty (every input is a batch table).
 
 The most used entry points are re-exported here.
 """

@@ -10,13 +10,15 @@ from __future__ import annotations
 import calendar
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # The trailing windows (days) the book may hold.
 POSSIBLE_WINDOWS = [1, 7, 15, 30, 60, 90, 180]
 
 ISO = "%Y-%m-%d"
+ISO_DAY = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
 
 def _minus_months(d: date, months: int) -> date:
@@ -44,8 +46,23 @@ def window_start_col(end: Column, days: int = 0, months: int = 0, years: int = 0
 
 
 def window_list(days_to_evaluate: int, possible: list[int] | None = None) -> list[int]:
-    """Windows up to and including ``days_to_evaluate``; unknown values fail."""
-    possible = POSSIBLE_WINDOWS if possible is None else list(possible)
-    if days_to_evaluate not in possible:
-        raise ValueError(f"days_to_evaluate={days_to_evaluate} is not one of {possible}")
-    return possible[: possible.index(days_to_evaluate)] + [days_to_evaluate]
+    """The possible windows that are not longer than ``days_to_evaluate``, which
+    must be one of them."""
+    choices = sorted(POSSIBLE_WINDOWS if possible is None else possible)
+    if not any(w == days_to_evaluate for w in choices):
+        raise ValueError(f"days_to_evaluate={days_to_evaluate} is not one of {choices}")
+    return [w for w in choices if w <= days_to_evaluate]
+
+
+def in_window(df: DataFrame, start: str, end: str, day_col: str = "dat_ref_carga") -> DataFrame:
+    """The rows dated ``start..end`` (ISO days, both included), with ``day_col`` as an ISO string.
+
+    Date and timestamp columns are compared as they are (so the bounds reach the
+    Parquet scan) up to the end of the last day, and written as their day. Of string
+    columns only ``yyyy-MM-dd`` values are days: anything else is in no window.
+    """
+    day = F.col(day_col)
+    if isinstance(df.schema[day_col].dataType, StringType):
+        return df.filter(day.between(start, end) & day.rlike(ISO_DAY))
+    kept = df.filter((day >= F.lit(start).cast("date")) & (day < F.date_add(F.lit(end).cast("date"), 1)))
+    return kept.withColumn(day_col, F.date_format(day, "yyyy-MM-dd"))

@@ -1,66 +1,20 @@
-"""Joins against a side whose size is checked before it is broadcast."""
+"""Equi-joins against a side that is usually small."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bound for an explicit broadcast: 1M short keys is a few tens of MB
-# per executor. Above it the join is salted (see join_small); AQE may still
-# turn it into a broadcast at run time if the shuffled side turns out small,
-# and splits skewed sort-merge partitions otherwise.
-MAX_BROADCAST_ROWS = 1_000_000
 
+def join_on(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str) -> DataFrame:
+    """``big[big_key] = small[small_key]``; ``small_key`` is dropped unless the
+    join keeps only the big side.
 
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``limit(max_rows + 1).count()`` stops early, so the check costs at most
-    ``max_rows + 1`` rows of output even when the side is huge.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-# Salts for the non-broadcast path: a hot key is spread over this many
-# tasks; the small side is shuffled this many times over.
-DEFAULT_SALTS = 8
-
-
-def join_small(
-    big: DataFrame,
-    small: DataFrame,
-    big_key: str,
-    small_key: str,
-    how: str,
-    max_rows: int = MAX_BROADCAST_ROWS,
-    known_rows: int | None = None,
-    salts: int = DEFAULT_SALTS,
-) -> DataFrame:
-    """Equi-join ``big[big_key] = small[small_key]`` that survives hot keys.
-
-    The small side is broadcast when its row count is proven ≤ ``max_rows``:
-    by ``known_rows``, an upper bound the caller has by construction (a rank
-    band holds at most ``hi - lo`` rows), or by :func:`bounded_rows`. Otherwise the join is salted: every big row
-    gets a salt from a hash of the whole row (deterministic, so re-run
-    tasks agree) and the small side is repeated once per salt, so one key
-    holding a third of the big side is spread over ``salts`` tasks instead
-    of one. Works for inner, left, left_semi and left_anti joins (each big
-    row meets every small row of its key exactly once). ``small_key`` is
-    dropped from the output unless the join keeps only the big side.
-
-    Salting alone does not bound the task size: a key holding a third of
-    the data is still a third divided by ``salts`` per task. The bound
-    comes from AQE's skew-join split (enabled by ``session.configure``),
-    which cuts oversized partitions into advisory-sized chunks at run time
-    and composes with the salted partitioning.
+    One lazy plan at every size: no row is counted and nothing is forced. AQE
+    broadcasts the small side when its measured bytes allow it, and otherwise
+    splits the partitions of hot keys (``spark.sql.adaptive.skewJoin``, which
+    ``session.configure`` turns on), so a key holding a third of the big side is
+    read by many tasks.
     """
-    if (known_rows is not None and known_rows <= max_rows) or bounded_rows(small, max_rows):
-        out = big.join(F.broadcast(small), F.col(big_key) == F.col(small_key), how)
-    elif salts <= 1:
-        out = big.join(small, F.col(big_key) == F.col(small_key), how)
-    else:
-        salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)))
-        salted_small = small.withColumn("_salt_s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-        cond = (F.col(big_key) == F.col(small_key)) & (F.col("_salt") == F.col("_salt_s"))
-        out = salted_big.join(salted_small, cond, how).drop("_salt", "_salt_s")
-    return out if how in ("left_semi", "left_anti", "semi", "anti") else out.drop(small_key)
+    out = big.join(small, F.col(big_key) == F.col(small_key), how)
+    return out if how in ("left_semi", "left_anti") else out.drop(small_key)

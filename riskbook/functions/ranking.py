@@ -1,5 +1,9 @@
 """Deterministic hashing and exact global ranks without a single-task sort.
 
+:func:`exact_rank` ranks by any columns: rows go to ranges, are numbered inside
+them, and the ranges' counts (one row per range) give the offsets.
+:func:`smallest_by_hash` needs no sorted ranges:
+
 ``row_number()`` over an unpartitioned window moves every row into one
 task. When the ranked keys are uniform hashes, the same exact rank can be
 computed distributedly: bucket by a hash prefix, count the buckets (a
@@ -14,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskbook.session import scratch_path
+
 
 def hash_hex(*parts: Column | str) -> Column:
     """md5 hex digest of the parts joined by ':' (same text as SQL ``md5``)."""
@@ -75,3 +81,37 @@ def smallest_by_hash(
     w = Window.partitionBy("_b").orderBy("_h", id_col)
     ranked = keyed.join(F.broadcast(offsets), "_b").withColumn("_rank", F.col("_off") + F.row_number().over(w))
     return ranked.filter(F.col("_rank") <= F.col("_n")).drop("_h", "_b", "_off", "_n")
+
+
+# monotonically_increasing_id: the partition above, the row within it below this bit.
+_ROW_BITS = 33
+
+
+def in_ranges(df: DataFrame, *order: Column | str) -> DataFrame:
+    """``df`` sorted by ``order`` over range partitions, with ``_part`` (number of
+    the range, rising with the order) and ``_at`` (place within it, from 0).
+
+    Written to the shared folder and read back: the ranges come from a sample, so
+    two evaluations could draw different ones, while the written rows are fixed.
+    """
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    path = scratch_path(df.sparkSession, "ranges")
+    placed.write.parquet(path)
+    placed = df.sparkSession.read.schema(placed.schema).parquet(path)
+    at = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return placed.withColumns({"_part": F.shiftright("_id", _ROW_BITS), "_at": at}).drop("_id")
+
+
+def exact_rank(df: DataFrame, *order: Column | str) -> DataFrame:
+    """``df`` with ``_rank`` (1-based place in ``order``, which must tell all rows apart for
+    a defined result) and ``_rows`` (number of rows). No task holds more than one range; the window runs over one row per
+    range."""
+    placed = in_ranges(df, *order)
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_part")
+    offsets = counts.select(
+        "_part",
+        (F.sum("_n").over(w) - F.col("_n")).alias("_off"),
+        F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_rows"),
+    )
+    return placed.join(offsets, "_part").withColumn("_rank", F.col("_off") + F.col("_at") + 1).drop("_part", "_at", "_off")

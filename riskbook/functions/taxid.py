@@ -48,15 +48,3 @@ def is_valid_tax_id(id_col: str, type_col: str) -> Column:
             f" and ascii(substr({i}, {length}, 1)) - 48 = {_check_digit_sql(i, w2)})"
         )
     return F.expr(f"case when coalesce({' or '.join(forms)}, false) then 1 else 0 end")
-
-
-def check_digits_sql(base: str, weights: list[int], prev: str | None = None) -> str:
-    """SQL text for one check digit of ``base`` (plus ``prev`` as the last digit).
-
-    Used only to build the tax-id fixture, which both Spark and DuckDB read.
-    """
-    terms = [f"{w} * cast(substr({base}, {i + 1}, 1) as integer)" for i, w in enumerate(weights[: len(weights) - (1 if prev else 0)])]
-    if prev:
-        terms.append(f"{weights[-1]} * {prev}")
-    total = " + ".join(terms)
-    return f"(case when 11 - ({total}) % 11 >= 10 then 0 else 11 - ({total}) % 11 end)"

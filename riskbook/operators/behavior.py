@@ -21,13 +21,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskbook.functions.dates import window_start
+from riskbook.functions.dates import in_window, window_start
 
 ID, DAY = "nr_cpf_cnpj", "dat_ref_carga"
 
 
 def _campaign_rows(raw_campanhas: DataFrame, start: str, end: str) -> DataFrame:
-    return raw_campanhas.filter(F.col(DAY).between(start, end)).select(
+    return in_window(raw_campanhas, start, end).select(
         F.col(ID).cast("string").alias(ID),
         F.col("camp_disparo").try_cast("int").alias("camp_disparo"),
         F.col("camp_conversao").try_cast("int").alias("camp_conversao"),
@@ -48,7 +48,7 @@ def campaign_daily(raw_campanhas: DataFrame, end_date: str, days_to_evaluate: in
 def risk_window(raw_riscos: DataFrame, end_date: str, days_to_evaluate: int) -> DataFrame:
     """Risk rows in the base window, typed; not deduplicated."""
     start = window_start(end_date, days=days_to_evaluate + 1)
-    return raw_riscos.filter(F.col(DAY).between(start, end_date)).select(
+    return in_window(raw_riscos, start, end_date).select(
         F.col(ID).cast("string").alias(ID),
         F.col("flag_bloqueio").try_cast("int").alias("flag_bloqueio"),
         F.col(DAY).cast("string").alias(DAY),

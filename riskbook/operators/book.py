@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskbook.functions.dates import window_list, window_start
-from riskbook.functions.joins import MAX_BROADCAST_ROWS, join_small
+from riskbook.functions.joins import join_on
 
 ID = "nr_cpf_cnpj"
 OWN_BANK = 1
@@ -46,24 +46,15 @@ def flagged_ids(flagged_table: DataFrame) -> DataFrame:
     return flagged_table.filter(F.col("fl_cartola") == 1).select(F.col(ID).cast("string").alias("_flagged_id")).distinct()
 
 
-def mark_flagged(
-    df: DataFrame,
-    flagged_table: DataFrame,
-    receiver_col: str = "nr_cpf_cnpj_receiver",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    flagged_rows: int | None = None,
-) -> DataFrame:
+def mark_flagged(df: DataFrame, flagged_table: DataFrame, receiver_col: str = "nr_cpf_cnpj_receiver") -> DataFrame:
     """``bet_trans`` = 1 when the receiver is a flagged id, else 0.
 
     The reference collects the flagged list to the driver and inlines it as
     an IN list; here it is a left join against the distinct flagged ids
-    (unique, so no row fans out), broadcast only when its row count is
-    proven small (``flagged_rows``: a bound known by construction), salted
-    otherwise so a hot receiver does not land in one task. Null or unknown
-    receivers get 0.
+    (unique, so no row fans out). Null or unknown receivers get 0.
     """
     flagged = flagged_ids(flagged_table).withColumn("_hit", F.lit(1))
-    joined = join_small(df, flagged, receiver_col, "_flagged_id", "left", max_broadcast_rows, flagged_rows)
+    joined = join_on(df, flagged, receiver_col, "_flagged_id", "left")
     return joined.withColumn("bet_trans", F.coalesce(F.col("_hit"), F.lit(0))).drop("_hit")
 
 
@@ -79,8 +70,6 @@ def trailing_book(
     days_to_evaluate: int | None = None,
     windows: list[int] | None = None,
     own_bank: int = OWN_BANK,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    flagged_rows: int | None = None,
 ) -> DataFrame:
     """B11 + B12: one row per distinct sender of ``financial``.
 
@@ -107,9 +96,7 @@ def trailing_book(
         F.col("qtd_titulo").alias("qt_tran"),
         "dat_ref_carga",
     )
-    fin = mark_flagged(
-        mark_own_bank(fin, code=own_bank), flagged_table, max_broadcast_rows=max_broadcast_rows, flagged_rows=flagged_rows
-    )
+    fin = mark_flagged(mark_own_bank(fin, code=own_bank), flagged_table)
     fin = fin.selectExpr(
         ID,
         "dat_ref_carga",

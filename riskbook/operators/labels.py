@@ -12,36 +12,27 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskbook.functions.joins import MAX_BROADCAST_ROWS, join_small
-from riskbook.functions.ranking import hash_hex, hash_int, smallest_by_hash
+from riskbook.functions.joins import join_on
+from riskbook.functions.ranking import exact_rank, hash_hex, hash_int, smallest_by_hash
 from riskbook.functions.taxid import is_valid_tax_id
 
 ID = "nr_cpf_cnpj"
 RECEIVER = "nr_cpf_cnpj_receiver"
 SENDER = "nr_cpf_cnpj_sender"
 DAY = "dat_ref_carga"
-# Upper bound of distinct transfer days (about 1,000 years of dates).
-MAX_CALENDAR_DAYS = 400_000
 
 
-def received_by_type(
-    transfers: DataFrame,
-    persons: DataFrame,
-    doc_type: str = "J",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def received_by_type(transfers: DataFrame, persons: DataFrame, doc_type: str = "J") -> DataFrame:
     """Transfers whose receiver is a person of ``doc_type``.
 
     INNER join to the persons table as it is, one row per account: a
     receiver with k accounts of that type yields each transfer k times (Q5).
-    The persons side is broadcast when proven small, else the join is salted
-    (a hot receiver is spread over several tasks).
     """
     people = persons.filter(F.col("cd_tipo_doc") == doc_type).select(F.col(ID).alias("_person_id"), "cd_tipo_doc")
-    return join_small(transfers, people, RECEIVER, "_person_id", "inner", max_broadcast_rows)
+    return join_on(transfers, people, RECEIVER, "_person_id", "inner")
 
 
 def receiver_totals(
@@ -72,33 +63,21 @@ def rank_band(totals: DataFrame, lo: int, hi: int, id_col: str = RECEIVER, value
     """C4: rows ranked ``lo <= rank < hi`` by ``value_col`` descending, ties
     by id (the reference leaves ties arbitrary, Q6); emits (id, fl_cartola=1).
 
-    A band of a ranking is a top-(hi-1) report: Catalyst plans a per-partition
-    limit of ``hi - 1`` rows below the single-partition window, so only
-    ``partitions × (hi - 1)`` rows move, however large ``totals`` is.
+    The same plan for any band: an exact distributed rank (``exact_rank``), whose
+    sorted ranges are a written table, then a filter.
     """
-    w = Window.orderBy(F.col(value_col).desc(), F.col(id_col).asc())
-    ranked = totals.withColumn("_rank", F.row_number().over(w))
+    ranked = exact_rank(totals.select(id_col, value_col), F.col(value_col).desc(), F.col(id_col).asc())
     return ranked.filter((F.col("_rank") >= lo) & (F.col("_rank") < hi)).select(
         F.col(id_col).alias(ID), F.lit(1).alias("fl_cartola")
     )
 
 
-def band_size(lo: int, hi: int) -> int:
-    """Upper bound of the rows :func:`rank_band` returns."""
-    return max(0, hi - max(lo, 1))
-
-
-def last_flagged_transfer(
-    transfers: DataFrame,
-    flagged: DataFrame,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    flagged_rows: int | None = None,
-) -> DataFrame:
+def last_flagged_transfer(transfers: DataFrame, flagged: DataFrame) -> DataFrame:
     """Per sender, the latest date of a transfer to a flagged receiver
     (a semi join: each transfer counts once however often its receiver is
     listed)."""
     ids = flagged.select(F.col(ID).alias("_flagged_id")).distinct()
-    hits = join_small(transfers, ids, RECEIVER, "_flagged_id", "left_semi", max_broadcast_rows, flagged_rows)
+    hits = join_on(transfers, ids, RECEIVER, "_flagged_id", "left_semi")
     return hits.groupBy(F.col(SENDER).alias(ID)).agg(F.max(DAY).alias("data_ulti_trans_cartola"))
 
 
@@ -117,38 +96,24 @@ def sample_customers(
     The reference draws with a driver-side RNG over collected rows. Here the
     draw is the order of ``md5(id:seed)`` (exact, distributed rank — see
     ``smallest_by_hash``) and the date is ``md5(id:seed:date)`` modulo the
-    number of dates. Distinct dates are bounded by the calendar span, so
-    their ranked list is broadcast. Deterministic, so a re-run task after a
+    number of dates, whose exact distributed rank names the date. Deterministic, so a re-run task after a
     lost executor draws the same rows.
     """
     ids = persons.filter(F.col("cd_tipo_doc") == doc_type).select(ID).distinct()
     picked = smallest_by_hash(ids, ID, seed, fraction=fraction, minimum=minimum)
-    # Distinct dates are a calendar (bounded by the span of the data, not by
-    # its volume): one scan, sorted on the driver, broadcast back. The limit
-    # makes the bound explicit: at most MAX_CALENDAR_DAYS rows ever move.
-    days = sorted(
-        r[0]
-        for r in transfers.select(DAY).filter(F.col(DAY).isNotNull()).distinct().limit(MAX_CALENDAR_DAYS + 1).collect()
-    )
-    if len(days) > MAX_CALENDAR_DAYS:
-        raise ValueError(f"more than {MAX_CALENDAR_DAYS} distinct values in {DAY}: not a calendar of days")
-    if not days:
-        return picked.select(ID, F.lit(None).cast("string").alias("data_ulti_trans_cartola_1"))
-    spark = persons.sparkSession
-    dates = spark.createDataFrame(list(enumerate(days)), f"_di bigint, {DAY} string")
-    di = hash_int(hash_hex(ID, F.lit(str(seed)), F.lit("date")), 8) % F.lit(len(days))
-    return (
-        picked.withColumn("_di", di)
-        .join(F.broadcast(dates), "_di")
-        .select(ID, F.col(DAY).alias("data_ulti_trans_cartola_1"))
-    )
+    days = exact_rank(transfers.select(DAY).filter(F.col(DAY).isNotNull()).distinct(), DAY)
+    draw = hash_int(hash_hex(ID, F.lit(str(seed)), F.lit("date")), 8)
+    # One row: the number of dates, joined on a constant key.
+    n_days = days.agg(F.max("_rows").alias("_days")).withColumn("_one", F.lit(1))
+    placed = picked.withColumn("_one", F.lit(1)).join(n_days, "_one").withColumn("_di", draw % F.col("_days") + 1)
+    dates = days.select(F.col("_rank").alias("_di"), F.col(DAY).alias("data_ulti_trans_cartola_1"))
+    return placed.join(dates, "_di", "left").select(ID, "data_ulti_trans_cartola_1")
 
 
 @dataclass
 class Labels:
     flagged: DataFrame  # (nr_cpf_cnpj, fl_cartola)
     risks: DataFrame  # (nr_cpf_cnpj, dat_ref_carga, flag_bloqueio)
-    flagged_rows: int  # upper bound of flagged's rows (the band width)
 
 
 def derive_labels(
@@ -166,7 +131,7 @@ def derive_labels(
     are dropped, ``flag_bloqueio`` = 1."""
     totals = receiver_totals(transfers, persons, "J", dedupe_persons)
     flagged = rank_band(totals, lo, hi)
-    last = last_flagged_transfer(transfers, flagged, flagged_rows=band_size(lo, hi))
+    last = last_flagged_transfer(transfers, flagged)
     sample = sample_customers(persons, transfers, fraction, seed)
     customers = persons.filter(F.col("cd_tipo_doc") == "F").select(ID).distinct()
     risks = (
@@ -176,7 +141,7 @@ def derive_labels(
         .filter(F.col(DAY).isNotNull())
         .select(ID, DAY, F.lit(1).alias("flag_bloqueio"))
     )
-    return Labels(flagged, risks, band_size(lo, hi))
+    return Labels(flagged, risks)
 
 
 def check_tax_ids(df: DataFrame, id_col: str = ID, type_col: str = "cd_tipo_doc") -> DataFrame:

@@ -3,12 +3,9 @@ retrain gate (D5), threshold labels (D9), hash folds (D2).
 
 ``roc_auc`` is the Mann-Whitney statistic with ties counted half — what
 the reference computes on the driver with a single-machine library — as a
-distributed aggregation:
-
-1. per (group, score): positives and negatives (partial aggregation);
-2. inside each finest score bucket: a running count of lower negatives;
-3. per bucket level, coarsest last: negatives of the lower sibling buckets,
-   a window over at most ``2 ** bucket_bits`` rows.
+distributed aggregation: counts per (group, score), sorted ranges of the distinct
+scores, a running count of negatives inside each range, and offsets from one
+row per (range, group).
 
 AUC = Σ pos(s) · (neg(< s) + ½ neg(s)) / (P · N), NULL when a group holds
 one class only. No task holds a whole group.
@@ -22,76 +19,48 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskbook.functions.dates import window_start
-from riskbook.functions.ranking import hash_hex, hash_int
-
-# Nested score buckets: 2 levels of 2**12 (about 16.7M finest buckets on [0, 1]).
-BUCKET_BITS = 12
-BUCKET_LEVELS = 2
-
-
-def roc_auc(
-    scored: DataFrame,
-    score_col: str = "score",
-    label_col: str = "label",
-    group_cols: Sequence[str] = (),
-    bucket_bits: int = BUCKET_BITS,
-    levels: int = BUCKET_LEVELS,
-) -> DataFrame:
-    """One row per group: ``n_pos``, ``n_neg``, ``roc_auc`` (double).
-
-    Scores are placed in nested fixed-width buckets: level ``k`` splits
-    [0, 1] into ``2 ** (bucket_bits * (k + 1))`` buckets (scores outside are
-    clamped to the end buckets, which keeps the result exact). Then, from the
-    finest level up:
-
-    * finest: inside each bucket, pos(s) · (negatives below s + ½ ties),
-      a running sum over the distinct scores of that bucket only;
-    * every level: each bucket adds pos(bucket) · (negatives of the lower
-      sibling buckets) — a window over at most ``2 ** bucket_bits`` rows —
-      and folds into its parent.
-
-    One scan; ``levels + 2`` shuffles. No window holds more than
-    ``2 ** bucket_bits`` bucket rows or the distinct scores of one finest
-    bucket (width ``2 ** -(bucket_bits * levels)``), so a group holding a
-    third of all rows, or scores crowded into a narrow range, still spreads.
+from riskbook.functions.ranking import hash_hex, hash_int, in_ranges
+
+def roc_auc(scored: DataFrame, score_col: str = "score", label_col: str = "label", group_cols: Sequence[str] = ()) -> DataFrame:
+    """One row per group: ``n_pos``, ``n_neg``, ``n_unusable``, ``roc_auc`` (double).
+
+    Scores may be any numbers; NaN ranks above all others, as Spark and SQL order
+    it. Rows without a score or with a label other than 0 and 1 cannot be ranked;
+    ``n_unusable`` counts them. Equal scores are one row before anything is sorted, so
+    neither a group nor a score that holds a third of the rows lands in one task.
     """
     g = list(group_cols)
-    # Rows without a score or with a label other than 0/1 do not count.
-    usable = scored.filter(F.col(score_col).isNotNull() & F.col(label_col).isin(0, 1))
-    per_score = usable.groupBy(*g, F.col(score_col).alias("_s")).agg(
-        F.sum(F.when(F.col(label_col) == 1, 1).otherwise(0)).alias("_pos"),
-        F.sum(F.when(F.col(label_col) == 0, 1).otherwise(0)).alias("_neg"),
+    usable = F.col(score_col).isNotNull() & F.coalesce(F.col(label_col).isin(0, 1), F.lit(False))
+    count = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    per_score = scored.groupBy(*g, F.col(score_col).alias("_s")).agg(
+        count(usable & (F.col(label_col) == 1)).alias("_pos"),
+        count(usable & (F.col(label_col) == 0)).alias("_neg"),
+        count(~usable).alias("_bad"),
     )
-    bkeys = [f"_b{k}" for k in range(levels)]
-    for k, name in enumerate(bkeys):
-        n = 2 ** (bucket_bits * (k + 1))
-        per_score = per_score.withColumn(
-            name, F.least(F.greatest(F.floor(F.col("_s") * n), F.lit(0)), F.lit(n - 1)).cast("bigint")
-        )
-
-    def before(parts: list[str], order: str):
-        w = Window.partitionBy(*parts) if parts else Window.partitionBy(F.lit(0))
-        return w.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-
-    # Finest level: running negatives among the distinct scores of one bucket.
-    inner = per_score.withColumn(
-        "_u",
-        F.col("_pos")
-        * (F.coalesce(F.sum("_neg").over(before([*g, *bkeys], "_s")), F.lit(0)).cast("double") + F.col("_neg") * 0.5),
+    placed = in_ranges(per_score, *g, "_s")
+    inside = Window.partitionBy("_part", *g).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("_neg").over(inside), F.lit(0)).cast("double") + F.col("_neg") * 0.5
+    parts = (
+        placed.withColumn("_u", F.col("_pos") * below)
+        .groupBy(*g, "_part")
+        .agg(F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"), F.sum("_bad").alias("_x"), F.sum("_u").alias("_u"))
+    )
+    # One row per range and group: positives of a range beat the negatives of the ranges below.
+    before = Window.partitionBy(*g).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    lower = F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("double")
+    total = (
+        parts.withColumn("_u", F.col("_u") + F.col("_p").cast("double") * lower)
+        .groupBy(*g)
+        .agg(F.sum("_p").alias("_p"), F.sum("_n").alias("_n"), F.sum("_x").alias("_x"), F.sum("_u").alias("_u"))
     )
-    cur = inner.groupBy(*g, *bkeys).agg(F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"), F.sum("_u").alias("_u"))
-    # Each level: positives of a bucket beat all negatives of its lower siblings.
-    for k in range(levels - 1, -1, -1):
-        parent = [*g, *bkeys[:k]]
-        lower = F.coalesce(F.sum("_n").over(before(parent, bkeys[k])), F.lit(0)).cast("double")
-        cur = (
-            cur.withColumn("_u", F.col("_u") + F.col("_p").cast("double") * lower)
-            .groupBy(*parent)
-            .agg(F.sum("_p").alias("_p"), F.sum("_n").alias("_n"), F.sum("_u").alias("_u"))
-        )
     denom = F.col("_p").cast("double") * F.col("_n").cast("double")
-    auc = F.when(denom > 0, F.col("_u") / denom)
-    return cur.select(*g, F.col("_p").cast("bigint").alias("n_pos"), F.col("_n").cast("bigint").alias("n_neg"), auc.alias("roc_auc"))
+    return total.select(
+        *g,
+        F.coalesce("_p", F.lit(0)).cast("bigint").alias("n_pos"),
+        F.coalesce("_n", F.lit(0)).cast("bigint").alias("n_neg"),
+        F.coalesce("_x", F.lit(0)).cast("bigint").alias("n_unusable"),
+        F.when(denom > 0, F.col("_u") / denom).alias("roc_auc"),
+    )
 
 
 def auc_by_date(history: DataFrame, date_col: str = "dat_ref_carga", **kw) -> DataFrame:

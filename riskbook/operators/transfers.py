@@ -18,7 +18,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskbook.functions.dates import window_start
+from riskbook.functions.dates import in_window, window_start
+from riskbook.sources.tables import write_table
 
 # Output columns of the cleaned feed, with their types.
 KEY_TYPES = [
@@ -51,12 +52,13 @@ def _clean_columns(extra: Sequence[str] = ()) -> list[Column]:
     )
 
 
-def clean_transfers(raw: DataFrame, start: str, end: str) -> DataFrame:
+def clean_transfers(raw: DataFrame, start: str, end: str, extra: Sequence[str] = ()) -> DataFrame:
     """B2: rows dated ``start..end`` (inclusive), typed, amount > 0, exact
-    duplicates removed (there is no transfer id, so equal rows are replays)."""
+    duplicates removed (there is no transfer id, so equal rows are replays).
+    ``extra`` columns (such as the feed's name) come first and tell rows apart."""
     return (
-        raw.filter(F.col("dat_ref_carga").between(start, end))
-        .select(*_clean_columns())
+        in_window(raw, start, end)
+        .select(*_clean_columns(extra))
         .filter(F.col("vl_titulo") > 0)
         .dropDuplicates()
     )
@@ -98,13 +100,11 @@ def financial_features(
     if isinstance(feeds, DataFrame):
         if channel_col is None:
             raise ValueError("a single feed table needs channel_col")
-        tagged = feeds.filter(F.col("dat_ref_carga").between(start, end_date)).select(
-            F.col(channel_col).alias(CHANNEL_COL), *cols
-        )
+        tagged = in_window(feeds, start, end_date).select(F.col(channel_col).alias(CHANNEL_COL), *cols)
     else:
         tagged = None
         for name, raw in _as_channels(feeds):
-            part = raw.filter(F.col("dat_ref_carga").between(start, end_date)).select(F.lit(name).alias(CHANNEL_COL), *cols)
+            part = in_window(raw, start, end_date).select(F.lit(name).alias(CHANNEL_COL), *cols)
             tagged = part if tagged is None else tagged.unionByName(part)
     clean = tagged.select(*_clean_columns([CHANNEL_COL])).filter(F.col("vl_titulo") > 0).dropDuplicates()
     return daily_pairs(clean, extra_keys=[CHANNEL_COL]).drop(CHANNEL_COL)
@@ -122,5 +122,4 @@ def split_channels(df: DataFrame, column: str, values: Sequence[str]) -> dict[st
 def write_channels(df: DataFrame, column: str, path: str) -> DataFrame:
     """C1 sink form: one pass, one directory per channel value
     (``path/column=value``); reading one channel back prunes partitions."""
-    df.write.mode("overwrite").partitionBy(column).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return write_table(df, path, partition_by=[column])

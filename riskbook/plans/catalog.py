@@ -1,6 +1,6 @@
 """Query catalogue: every operator of the survey run over the fixture views
 of one scale-factor folder. Each entry takes ``(spark, sf_dir)`` and returns
-a lazy DataFrame; ``riskbook.plans.oracle_sql`` holds the matching DuckDB SQL.
+a DataFrame; ``riskbook.plans.oracle_sql`` holds the matching DuckDB SQL.
 """
 
 from __future__ import annotations
@@ -47,11 +47,20 @@ def q_window_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_clean_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transfers.clean_transfers(fx.fixture(spark, sf_dir, "raw_pix"), base_start(), END_DATE)
+    """All feeds, each row with its feed."""
+    return transfers.clean_transfers(fx.fixture(spark, sf_dir, "transfers_raw"), base_start(), END_DATE, extra=["tp_transacao"])
+
+
+def q_clean_transfers_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same feeds with times of day: the whole end date counts, days stay days."""
+    raw = fx.fixture(spark, sf_dir, "transfers_raw")
+    hours = F.pmod(F.col("vl_pgto").cast("int"), F.lit(24))
+    timed = raw.withColumn("dat_ref_carga", F.col("dat_ref_carga").cast("timestamp") + F.make_dt_interval(hours=hours))
+    return transfers.clean_transfers(timed, base_start(), END_DATE, extra=["tp_transacao"])
 
 
 def q_daily_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transfers.daily_pairs(q_clean_transfers(spark, sf_dir))
+    return transfers.daily_pairs(q_clean_transfers(spark, sf_dir), extra_keys=["tp_transacao"])
 
 
 def q_financial_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +68,11 @@ def q_financial_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transfers.financial_features(fx.fixture(spark, sf_dir, "transfers_raw"), END_DATE, DAYS, channel_col="tp_transacao")
 
 
+def q_financial_features_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three-table form: one table per feed."""
+    return transfers.financial_features(fx.raw_channels(spark, sf_dir), END_DATE, DAYS)
+
+
 def q_campaign_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return behavior.campaign_daily(fx.fixture(spark, sf_dir, "raw_campanhas"), END_DATE, DAYS)
 
@@ -85,6 +99,12 @@ def q_trailing_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.trailing_book(q_financial_features(spark, sf_dir), fx.fixture(spark, sf_dir, "flagged_table"), END_DATE, DAYS)
 
 
+def q_trailing_book_30(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Another length: the windows up to 30 days, over a base window of 30 days."""
+    fin = transfers.financial_features(fx.raw_channels(spark, sf_dir), END_DATE, 30)
+    return book.trailing_book(fin, fx.fixture(spark, sf_dir, "flagged_table"), END_DATE, 30)
+
+
 def q_master_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return master.master_table(q_behavioral_features(spark, sf_dir), q_trailing_book(spark, sf_dir))
 
@@ -94,14 +114,15 @@ def q_class_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_split_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transfers.split_channels(fx.fixture(spark, sf_dir, "transfers_raw"), "tp_transacao", ["TED"])["TED"]
+    """Every channel's table, with the channel named again."""
+    parts = transfers.split_channels(fx.fixture(spark, sf_dir, "transfers_raw"), "tp_transacao", list(fx.CHANNELS))
+    named = [df.withColumn("tp_transacao", F.lit(name)) for name, df in parts.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2])
 
 
 def q_write_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C1 sink form: one partitioned write, then one channel read back
-    (partition pruning keeps the other directories unread)."""
-    table = transfers.write_channels(fx.fixture(spark, sf_dir, "transfers_raw"), "tp_transacao", scratch_path(spark, "channels"))
-    return table.filter(F.col("tp_transacao") == "DOC")
+    """C1 sink form: one partitioned write, all channels read back."""
+    return transfers.write_channels(fx.fixture(spark, sf_dir, "transfers_raw"), "tp_transacao", scratch_path(spark, "channels"))
 
 
 # -------------------------------------------------------------------- labels
@@ -123,10 +144,13 @@ def q_rank_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.rank_band(_totals(spark, sf_dir), fx.RANK_LO, fx.RANK_HI)
 
 
+def q_rank_band_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A band below the first thousand places: the same plan."""
+    return labels.rank_band(_totals(spark, sf_dir), fx.DEEP_LO, fx.DEEP_HI)
+
+
 def q_last_flagged_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return labels.last_flagged_transfer(
-        fx.fixture(spark, sf_dir, "transfers"), q_rank_band(spark, sf_dir), flagged_rows=labels.band_size(fx.RANK_LO, fx.RANK_HI)
-    )
+    return labels.last_flagged_transfer(fx.fixture(spark, sf_dir, "transfers"), q_rank_band(spark, sf_dir))
 
 
 def q_sample_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,6 +190,11 @@ def q_roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.roc_auc(by_month, "score", "label", ["mes"])
 
 
+def q_roc_auc_margins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores far outside [0, 1], and labels that cannot be ranked."""
+    return metrics.roc_auc(fx.fixture(spark, sf_dir, "score_margins"), "score", "label", ["mes"])
+
+
 def q_auc_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.auc_by_date(_scores(spark, sf_dir), "dat_ref_carga", score_col="score", label_col="label")
 
@@ -183,16 +212,27 @@ def q_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_table(q_financial_features(spark, sf_dir), scratch_path(spark, "financial"))
 
 
-def labelled_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Master table whose risks are the labels derived from transfers (C7),
-    as in the reference, where the derived risk table feeds the features."""
+def q_table_roundtrip_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: the financial table partitioned by day; types, values and column order stay."""
+    return write_table(q_financial_features(spark, sf_dir), scratch_path(spark, "financial-days"), partition_by=["dat_ref_carga"])
+
+
+def written_labels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The derived flagged list and risk table as named tables, written once."""
     derived = labels.derive_labels(
         fx.fixture(spark, sf_dir, "persons"), fx.fixture(spark, sf_dir, "transfers"), fx.RANK_LO, fx.RANK_HI,
         fx.SAMPLE_FRACTION, fx.SEED,
     )
-    beh = behavior.behavioral_features(fx.fixture(spark, sf_dir, "raw_campanhas"), derived.risks, END_DATE, DAYS)
-    bk = book.trailing_book(q_financial_features(spark, sf_dir), derived.flagged, END_DATE, DAYS, flagged_rows=derived.flagged_rows)
-    return master.master_table(beh, bk)
+    flagged = write_table(derived.flagged, scratch_path(spark, "flagged"))
+    return flagged, write_table(derived.risks, scratch_path(spark, "riscos"))
+
+
+def labelled_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Master table whose risks are the labels derived from transfers (C7),
+    as in the reference, where the derived risk table feeds the features."""
+    flagged, risks = written_labels(spark, sf_dir)
+    beh = behavior.behavioral_features(fx.fixture(spark, sf_dir, "raw_campanhas"), risks, END_DATE, DAYS)
+    return master.master_table(beh, book.trailing_book(q_financial_features(spark, sf_dir), flagged, END_DATE, DAYS))
 
 
 # Small fixed model for the rows-only checks; the search keeps it small too.
@@ -207,6 +247,44 @@ def q_gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.score(m, model.load_model(path), fx.CUTOFF)
 
 
+def q_assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every feature of the assembled vector, as (id, feature, value)."""
+    m = labelled_master(spark, sf_dir)
+    names = model.feature_columns(m)
+    vector = model.assembler(names).transform(m).select("nr_cpf_cnpj", model.vector_to_array("features").alias("value"))
+    pairs = vector.select("nr_cpf_cnpj", F.posexplode("value").alias("at", "value"))
+    return pairs.select("nr_cpf_cnpj", F.element_at(F.array(*[F.lit(n) for n in names]), F.col("at") + 1).alias("feature"), "value")
+
+
+def _fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, object]:
+    m = write_table(labelled_master(spark, sf_dir), scratch_path(spark, "master"))
+    return m, model.fit(m, SMOKE_PARAMS, fx.SEED)
+
+
+def q_score_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per customer, 1 if the probability is in [0, 1] and the label is (p >= cutoff)."""
+    m, fitted = _fitted(spark, sf_dir)
+    p, label = F.col("probabilidade_inadimplente"), F.col("flag_predito")
+    right = p.between(0, 1) & (label == (p >= fx.CUTOFF).cast("int"))
+    return model.score(m, fitted, fx.CUTOFF).select("nr_cpf_cnpj", right.cast("int").alias("ok"))
+
+
+def q_model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per customer, 1 if the reloaded model gives the same probability."""
+    m, fitted = _fitted(spark, sf_dir)
+    again = model.load_model(model.save_model(fitted, scratch_path(spark, "gbt")))
+    a = model.score(m, fitted, fx.CUTOFF).select("nr_cpf_cnpj", F.col("probabilidade_inadimplente").alias("a"))
+    b = model.score(m, again, fx.CUTOFF).select("nr_cpf_cnpj", F.col("probabilidade_inadimplente").alias("b"))
+    return a.join(b, "nr_cpf_cnpj").select("nr_cpf_cnpj", (F.col("a") == F.col("b")).cast("int").alias("ok"))
+
+
+def q_importance_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per feature, importances between 0 and 1."""
+    _, fitted = _fitted(spark, sf_dir)
+    found = model.feature_importance_df(fitted, spark)
+    return found.select("feature", F.col("importance").between(0, 1).cast("int").alias("ok"))
+
+
 def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = write_table(labelled_master(spark, sf_dir), scratch_path(spark, "master"))
     return model.feature_importance_df(model.fit(m, SMOKE_PARAMS, fx.SEED), spark)
@@ -224,16 +302,13 @@ def q_daily_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     (it retrains)."""
     from riskbook.plans.daily import daily_run
 
-    derived = labels.derive_labels(
-        fx.fixture(spark, sf_dir, "persons"), fx.fixture(spark, sf_dir, "transfers"), fx.RANK_LO, fx.RANK_HI,
-        fx.SAMPLE_FRACTION, fx.SEED,
-    )
+    flagged, risks = written_labels(spark, sf_dir)
     run = daily_run(
         spark,
         fx.raw_channels(spark, sf_dir),
         fx.fixture(spark, sf_dir, "raw_campanhas"),
-        derived.risks,
-        derived.flagged,
+        risks,
+        flagged,
         END_DATE,
         DAYS,
         threshold=fx.RETRAIN_THRESHOLD,
@@ -250,31 +325,42 @@ def q_daily_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "window_bounds": q_window_bounds,  # B1 (column form, every transfer day)
     "clean_transfers": q_clean_transfers,  # B2
+    "clean_transfers_timestamps": q_clean_transfers_timestamps,  # B2, dates with times
     "daily_pairs": q_daily_pairs,  # B3
     "financial_features": q_financial_features,  # B4
+    "financial_features_feeds": q_financial_features_feeds,  # B4, one table per feed
     "campaign_daily": q_campaign_daily,  # B5
     "risk_window": q_risk_window,  # B6
     "behavioral_features": q_behavioral_features,  # B7
     "mark_flagged": q_mark_flagged,  # B8
     "own_bank_flag": q_own_bank_flag,  # B9
     "trailing_book": q_trailing_book,  # B10 + B11 + B12
+    "trailing_book_30": q_trailing_book_30,  # B10 + B11 at another length
     "master_table": q_master_table,  # B13
+    "labelled_master": labelled_master,  # C7 into B7, B11 and B13
     "class_balance": q_class_balance,  # B14
     "split_channels": q_split_channels,  # C1
     "write_channels": q_write_channels,  # C1 sink
     "received_by_type": q_received_by_type,  # C2
     "receiver_totals": q_receiver_totals,  # C3
     "rank_band": q_rank_band,  # C4
+    "rank_band_deep": q_rank_band_deep,  # C4 beyond the first thousand places
     "last_flagged_transfer": q_last_flagged_transfer,  # C5
     "sample_customers": q_sample_customers,  # C6
     "derive_labels": q_derive_labels,  # C7
     "check_tax_ids": q_check_tax_ids,  # C8
     "assign_fold": q_assign_fold,  # D2
     "roc_auc": q_roc_auc,  # D4
+    "roc_auc_margins": q_roc_auc_margins,  # D4, any scores
     "auc_by_date": q_auc_by_date,  # D5
     "needs_retrain": q_needs_retrain,  # D5 gate
     "threshold_label": q_threshold_label,  # D9
     "table_roundtrip": q_table_roundtrip,  # A2 write + A1 read back
+    "table_roundtrip_partitioned": q_table_roundtrip_partitioned,  # A2 partitioned
+    "assembled_features": q_assembled_features,  # D1
+    "score_contract": q_score_contract,  # D8
+    "model_reload": q_model_reload,  # D6
+    "importance_names": q_importance_names,  # D7
     "gbt_scores": q_gbt_scores,  # D1 + D6 + D8 (rows-only)
     "feature_importance": q_feature_importance,  # D7 (rows-only)
     "cv_metrics": q_cv_metrics,  # D2 + D3 (rows-only)

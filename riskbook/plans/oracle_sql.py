@@ -12,6 +12,8 @@ from __future__ import annotations
 from riskbook.sources.fixtures import DAYS_TO_EVALUATE as DAYS
 from riskbook.sources.fixtures import (
     CUTOFF,
+    DEEP_HI,
+    DEEP_LO,
     END_DATE,
     FOLDS,
     RANK_HI,
@@ -26,6 +28,9 @@ from riskbook.sources.fixtures import (
 BOOK_WINDOWS = [1, 7, 15, 30, 60, 90, 180]
 
 
+FEED = "tp_transacao"
+
+
 def _start(days: int) -> str:
     return f"strftime(date '{END_DATE}' - interval '{days}' day, '%Y-%m-%d')"
 
@@ -34,9 +39,9 @@ def _between(days: int) -> str:
     return f"dat_ref_carga between {_start(days)} and '{END_DATE}'"
 
 
-def _clean(feed: str) -> str:
+def _clean(feed: str, extra: str = "", days: int = DAYS) -> str:
     return f"""
-select distinct cast(nr_cpf_cnpj_sender as varchar) as nr_cpf_cnpj_sender,
+select distinct {extra}cast(nr_cpf_cnpj_sender as varchar) as nr_cpf_cnpj_sender,
   try_cast(nr_account_sender as integer) as nr_account_sender,
   try_cast(nr_office_sender as integer) as nr_office_sender,
   try_cast(cd_bank_sender as integer) as cd_bank_sender,
@@ -47,7 +52,7 @@ select distinct cast(nr_cpf_cnpj_sender as varchar) as nr_cpf_cnpj_sender,
   cast(vl_pgto as double) as vl_titulo,
   cast(dat_ref_carga as varchar) as dat_ref_carga
 from {feed}
-where {_between(DAYS + 1)} and cast(vl_pgto as double) > 0
+where {_between(days + 1)} and cast(vl_pgto as double) > 0
 """
 
 
@@ -57,14 +62,18 @@ _KEYS9 = (
 )
 
 
-def _pairs(clean_sql: str) -> str:
+def _pairs(clean_sql: str, extra: str = "") -> str:
     return f"""
-select {_KEYS9}, sum(vl_titulo) as vl_titulo, cast(count(*) as integer) as qtd_titulo
-from ({clean_sql}) c group by {_KEYS9}
+select {extra}{_KEYS9}, sum(vl_titulo) as vl_titulo, cast(count(*) as integer) as qtd_titulo
+from ({clean_sql}) c group by {extra}{_KEYS9}
 """
 
 
-FINANCIAL = " union all ".join(f"({_pairs(_clean(feed))})" for feed in ("raw_pix", "raw_ted", "raw_doc"))
+def _financial(days: int = DAYS) -> str:
+    return " union all ".join(f"({_pairs(_clean(feed, days=days))})" for feed in ("raw_pix", "raw_ted", "raw_doc"))
+
+
+FINANCIAL = _financial()
 FEEDS = ["raw_pix", "raw_ted", "raw_doc"]
 
 CAMPAIGN_DAILY = f"""
@@ -108,7 +117,7 @@ _MEASURES = [
 ]
 
 
-def _book_sql() -> str:
+def _book_sql(days: int = DAYS) -> str:
     fin = f"""
 select nr_cpf_cnpj_sender as nr_cpf_cnpj, vl_titulo as vl_tran, qtd_titulo as qt_tran, dat_ref_carga,
   case when cd_bank_sender = 1 then 1 else 0 end as sant,
@@ -116,7 +125,7 @@ select nr_cpf_cnpj_sender as nr_cpf_cnpj, vl_titulo as vl_tran, qtd_titulo as qt
 from financial"""
     joins = []
     cols = []
-    for d in BOOK_WINDOWS:
+    for d in (w for w in BOOK_WINDOWS if w <= days):
         aggs = ", ".join(f"{expr} as {name}_{d}" for name, expr in _MEASURES)
         joins.append(
             f"left join (select nr_cpf_cnpj, {aggs} from fin where {_between(d)} group by nr_cpf_cnpj) w{d} "
@@ -135,15 +144,15 @@ def _with(names: list[str], body: str, steps: list[tuple[str, str]] = ()) -> str
     return oracle_ctes(names, body, list(steps))
 
 
-def _financial_steps() -> list[tuple[str, str]]:
-    return [("financial", FINANCIAL)]
+def _financial_steps(days: int = DAYS) -> list[tuple[str, str]]:
+    return [("financial", _financial(days))]
 
 
-def _book_with(body: str, extra: list[tuple[str, str]] = ()) -> str:
+def _book_with(body: str, days: int = DAYS) -> str:
     # The book needs the financial table and the flagged list.
-    text = oracle_ctes(FEEDS + ["flagged_table"], "select 1", _financial_steps() + list(extra))
+    text = oracle_ctes(FEEDS + ["flagged_table"], "select 1", _financial_steps(days))
     head = text[: text.rfind("select 1")].rstrip()
-    return f"{head},\n{_book_sql()}\n{body}"
+    return f"{head},\n{_book_sql(days)}\n{body}"
 
 
 def _window_bounds() -> str:
@@ -164,13 +173,19 @@ from transfers t join (select nr_cpf_cnpj, cd_tipo_doc from persons) p on t.nr_c
 where p.cd_tipo_doc = 'J'
 """
 TOTALS = "select nr_cpf_cnpj_receiver, sum(vl_pgto) as vl_total_recebido from received group by nr_cpf_cnpj_receiver"
-BAND = f"""
+
+
+def _band(lo: int, hi: int) -> str:
+    return f"""
 select nr_cpf_cnpj_receiver as nr_cpf_cnpj, 1 as fl_cartola
 from (select nr_cpf_cnpj_receiver,
              row_number() over (order by vl_total_recebido desc, nr_cpf_cnpj_receiver) as rn
       from totals) r
-where rn >= {RANK_LO} and rn < {RANK_HI}
+where rn >= {lo} and rn < {hi}
 """
+
+
+BAND = _band(RANK_LO, RANK_HI)
 LAST = """
 select t.nr_cpf_cnpj_sender as nr_cpf_cnpj, max(t.dat_ref_carga) as data_ulti_trans_cartola
 from transfers t join band b on t.nr_cpf_cnpj_receiver = b.nr_cpf_cnpj
@@ -242,18 +257,21 @@ group by cd_tipo_doc, fl_valido
 """
 
 
-def _auc_sql(group_expr: str, group_name: str) -> str:
-    # Rank-sum form of the Mann-Whitney statistic, average ranks for ties.
+def _auc_sql(group_expr: str, group_name: str, table: str = "score_history") -> str:
+    # Rank-sum form of the Mann-Whitney statistic, average ranks for ties; rows that cannot be ranked are counted.
     return f"""
-select {group_name}, cast(sum(label) as bigint) as n_pos, cast(sum(1 - label) as bigint) as n_neg,
-  case when sum(label) > 0 and sum(1 - label) > 0 then
-    (sum(case when label = 1 then avg_rank else 0 end) - cast(sum(label) as double) * (sum(label) + 1) / 2.0)
-    / (cast(sum(label) as double) * cast(sum(1 - label) as double)) end as roc_auc
-from (select {group_name}, label,
-             cast(rank() over (partition by {group_name} order by score) as double)
-             + (count(*) over (partition by {group_name}, score) - 1) / 2.0 as avg_rank
-      from (select {group_expr} as {group_name}, score, label from score_history
-            where score is not null and label in (0, 1)) s) r
+select {group_name}, cast(coalesce(sum(label) filter (ok), 0) as bigint) as n_pos,
+  cast(coalesce(sum(1 - label) filter (ok), 0) as bigint) as n_neg,
+  cast(count(*) filter (not ok) as bigint) as n_unusable,
+  case when sum(label) filter (ok) > 0 and sum(1 - label) filter (ok) > 0 then
+    (sum(case when label = 1 then avg_rank else 0 end) filter (ok)
+       - cast(sum(label) filter (ok) as double) * (sum(label) filter (ok) + 1) / 2.0)
+    / (cast(sum(label) filter (ok) as double) * cast(sum(1 - label) filter (ok) as double)) end as roc_auc
+from (select {group_name}, label, ok,
+             cast(rank() over (partition by {group_name}, ok order by score) as double)
+             + (count(*) over (partition by {group_name}, ok, score) - 1) / 2.0 as avg_rank
+      from (select {group_expr} as {group_name}, score, label,
+                   coalesce(score is not null and label in (0, 1), false) as ok from {table}) s) r
 group by {group_name}
 """
 
@@ -261,9 +279,12 @@ group by {group_name}
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["window_bounds"] = _window_bounds()
-    q["clean_transfers"] = _with(["raw_pix"], _clean("raw_pix"))
-    q["daily_pairs"] = _with(["raw_pix"], _pairs(_clean("raw_pix")))
+    clean = _clean("transfers_raw", f"{FEED}, ")
+    q["clean_transfers"] = _with(["transfers_raw"], clean)
+    q["clean_transfers_timestamps"] = q["clean_transfers"]
+    q["daily_pairs"] = _with(["transfers_raw"], _pairs(clean, f"{FEED}, "))
     q["financial_features"] = _with(FEEDS, FINANCIAL)
+    q["financial_features_feeds"] = q["financial_features"]
     q["campaign_daily"] = _with(["raw_campanhas"], CAMPAIGN_DAILY)
     q["risk_window"] = _with(["raw_riscos"], RISK_WINDOW)
     q["behavioral_features"] = _with(["raw_campanhas", "raw_riscos"], BEHAVIORAL)
@@ -278,18 +299,23 @@ def build() -> dict[str, str]:
         _financial_steps(),
     )
     q["trailing_book"] = _book_with("select * from book")
+    q["trailing_book_30"] = _book_with("select * from book", 30)
+    q["labelled_master"] = _labelled_sql("select * from master")
+    features = [f"{name}_{d}" for d in BOOK_WINDOWS for name, _ in _MEASURES] + ["qtd_camp_disparo", "qtd_camp_conversao"]
+    rows = " union all ".join(f"select nr_cpf_cnpj, '{f}' as feature, cast({f} as double) as value from master" for f in features)
+    q["assembled_features"] = _labelled_sql(rows)
+    q["score_contract"] = q["model_reload"] = _labelled_sql("select nr_cpf_cnpj, 1 as ok from master")
+    q["importance_names"] = " union all ".join(f"select '{f}' as feature, 1 as ok" for f in features)
     q["master_table"] = _master_sql("select * from master")
     q["class_balance"] = _master_sql('select flag_bloqueio, count(*) as "count" from master group by flag_bloqueio')
-    q["split_channels"] = _with(
-        ["transfers_raw"],
-        "select nr_cpf_cnpj_sender, nr_account_sender, nr_office_sender, cd_bank_sender, nr_cpf_cnpj_receiver, "
-        "nr_account_receiver, nr_office_receiver, cd_bank_receiver, vl_pgto, dat_ref_carga "
-        "from transfers_raw where tp_transacao = 'TED'",
-    )
-    q["write_channels"] = _with(["transfers_raw"], "select * from transfers_raw where tp_transacao = 'DOC'")
+    q["split_channels"] = _with(["transfers_raw"], "select * from transfers_raw")
+    q["write_channels"] = q["split_channels"]
     q["received_by_type"] = _with(["transfers", "persons"], RECEIVED)
     q["receiver_totals"] = _with(["transfers", "persons"], TOTALS, [("received", RECEIVED)])
     q["rank_band"] = _with(["transfers", "persons"], "select * from band", LABEL_STEPS[:3])
+    q["rank_band_deep"] = _with(
+        ["transfers", "persons"], "select * from deep", [*LABEL_STEPS[:2], ("deep", _band(DEEP_LO, DEEP_HI))]
+    )
     q["last_flagged_transfer"] = _with(["transfers", "persons"], "select * from last", LABEL_STEPS[:4])
     q["sample_customers"] = _with(["transfers", "persons"], "select * from sample", SAMPLE_STEPS)
     q["derive_labels"] = _with(
@@ -301,6 +327,7 @@ def build() -> dict[str, str]:
         " as fold from master"
     )
     q["roc_auc"] = _with(["score_history"], _auc_sql("substr(dat_ref_carga, 1, 7)", "mes"))
+    q["roc_auc_margins"] = _with(["score_margins"], _auc_sql("mes", "mes", "score_margins"))
     daily = _auc_sql("dat_ref_carga", "dat_ref_carga")
     q["auc_by_date"] = _with(["score_history"], daily)
     q["needs_retrain"] = _with(
@@ -314,10 +341,29 @@ def build() -> dict[str, str]:
     q["threshold_label"] = _with(
         ["score_history"], f"select *, cast(score >= {CUTOFF} as integer) as flag_predito from score_history"
     )
-    q["table_roundtrip"] = q["financial_features"]
+    q["table_roundtrip"] = q["table_roundtrip_partitioned"] = q["financial_features"]
     return q
 
 
+def _labelled_sql(body: str) -> str:
+    """The master over the derived flagged list and risk table instead of the given ones."""
+    steps = [
+        *LABEL_STEPS,
+        ("flagged_table", "select * from band"),
+        ("raw_riscos", "select * from labels where dat_ref_carga is not null"),
+        *_financial_steps(),
+        ("behavioral", BEHAVIORAL),
+    ]
+    text = oracle_ctes(["transfers", "persons", *FEEDS, "raw_campanhas"], "select 1", steps)
+    head = text[: text.rfind("select 1")].rstrip()
+    return (
+        f"{head},\n{_book_sql()},\n"
+        "master as (select b.*, h.qtd_camp_disparo, h.qtd_camp_conversao, h.flag_bloqueio "
+        "from book b join behavioral h on b.nr_cpf_cnpj = h.nr_cpf_cnpj)\n"
+        f"{body}"
+    )
+
+
 def _master_sql(body: str) -> str:
     text = oracle_ctes(
         FEEDS + ["flagged_table", "raw_campanhas", "raw_riscos"],

@@ -1,7 +1,7 @@
 """Test inputs in the reference's schemas, derived from the driver's tables.
 
 Each fixture is one SQL text over the base tables (``lineitem``, ``orders``,
-``customer``, ``supplier``, ``events``) that runs unchanged in Spark SQL and
+``customer``, ``supplier``, ``part``, ``events``) that runs unchanged in Spark SQL and
 DuckDB. Spark reads the Parquet files directly (``parquet.`path```), so the
 scan still prunes and pushes filters; the DuckDB oracle gets the same text
 as leading CTEs. Amounts are integer-valued doubles, so sums are exact in any
@@ -17,13 +17,13 @@ from riskbook.functions.taxid import (
     COMPANY_WEIGHTS_2,
     PERSON_WEIGHTS_1,
     PERSON_WEIGHTS_2,
-    check_digits_sql,
 )
 
 # Parameters of every fixture query.
 END_DATE = "1998-06-30"
 DAYS_TO_EVALUATE = 180
 RANK_LO, RANK_HI = 3, 8
+DEEP_LO, DEEP_HI = 875, 1300  # a band below the first thousand places
 SEED = 42
 SAMPLE_FRACTION = 0.005
 CUTOFF = 0.5
@@ -38,32 +38,39 @@ _TRANSFER_COLUMNS = (
     "vl_pgto, dat_ref_carga"
 )
 
-# Every l_linenumber = 1 row appears twice: exact replays for the duplicate rule.
-_TRANSFERS_RAW = f"""
-select {_TRANSFER_COLUMNS}, tp_transacao
-from (select cast(o_custkey as varchar(20)) as nr_cpf_cnpj_sender,
+_TRANSFER_SOURCE = """
+select cast(o_custkey as varchar(20)) as nr_cpf_cnpj_sender,
   lpad(cast(100000 + o_custkey as varchar(20)), 8, '0') as nr_account_sender,
   cast(1000 + o_custkey % 25 as varchar(20)) as nr_office_sender,
   cast(o_custkey % 5 + 1 as varchar(20)) as cd_bank_sender,
-  cast(1000000 + l_suppkey % 50 as varchar(20)) as nr_cpf_cnpj_receiver,
-  lpad(cast(200000 + l_suppkey as varchar(20)), 8, '0') as nr_account_receiver,
-  cast(2000 + l_suppkey % 25 as varchar(20)) as nr_office_receiver,
-  cast(l_suppkey % 5 + 1 as varchar(20)) as cd_bank_receiver,
+  case when l_partkey % 211 = 0 then null else cast(1000000 + l_partkey as varchar(20)) end as nr_cpf_cnpj_receiver,
+  lpad(cast(200000 + l_partkey as varchar(20)), 8, '0') as nr_account_receiver,
+  cast(2000 + l_partkey % 25 as varchar(20)) as nr_office_receiver,
+  cast(l_partkey % 5 + 1 as varchar(20)) as cd_bank_receiver,
   (l_quantity - 5) * 10 as vl_pgto,
   substr(cast(o_orderdate as varchar(30)), 1, 10) as dat_ref_carga,
-  case l_returnflag when 'R' then 'PIX' when 'A' then 'TED' else 'DOC' end as tp_transacao,
-  case when l_linenumber = 1 then 2 else 1 end as copies
-  from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey) t
-join (select 1 as n union all select 2 as n) k on k.n <= t.copies
+  case l_returnflag when 'R' then 'PIX' when 'A' then 'TED' else 'DOC' end as tp_transacao
+from {lineitem} join {orders} on l_orderkey = o_orderkey
+"""
+
+# Receivers grow with the data (one per part); a few are null. Every l_linenumber = 1 row appears twice: exact replays for the duplicate rule.
+_TRANSFERS_RAW = f"""
+select {_TRANSFER_COLUMNS}, tp_transacao from ({_TRANSFER_SOURCE.strip()}) t
+union all
+select {_TRANSFER_COLUMNS}, tp_transacao from ({_TRANSFER_SOURCE.strip()} where l_linenumber = 1) r
 """
 
+# One account per customer; companies have one or two, however large the data.
 _PERSONS = """
 select cast(c_custkey as varchar(20)) as nr_cpf_cnpj, 'F' as cd_tipo_doc,
   cast(c_custkey % 5 + 1 as varchar(20)) as cd_bank, cast(1000 + c_custkey % 25 as varchar(20)) as nr_office,
   lpad(cast(100000 + c_custkey as varchar(20)), 8, '0') as nr_account from {customer}
 union all
-select cast(1000000 + s_suppkey % 50 as varchar(20)), 'J', cast(s_suppkey % 5 + 1 as varchar(20)),
-  cast(2000 + s_suppkey % 25 as varchar(20)), lpad(cast(200000 + s_suppkey as varchar(20)), 8, '0') from {supplier}
+select cast(1000000 + p_partkey as varchar(20)), 'J', cast(p_partkey % 5 + 1 as varchar(20)),
+  cast(2000 + p_partkey % 25 as varchar(20)), lpad(cast(200000 + p_partkey as varchar(20)), 8, '0') from {part}
+union all
+select cast(1000000 + p_partkey as varchar(20)), 'J', '7',
+  '2999', lpad(cast(700000 + p_partkey as varchar(20)), 8, '0') from {part} where p_partkey % 3 = 0
 """
 
 # One zero row per customer (as the reference fabricates) plus events moved back 9345 days.
@@ -83,8 +90,18 @@ from {orders} where o_orderstatus = 'F' and o_orderpriority = '1-URGENT'
 
 # Duplicates and fl_cartola = 0 rows on purpose.
 _FLAGGED = """
-select cast(1000000 + s_suppkey % 50 as varchar(20)) as nr_cpf_cnpj,
-  case when s_suppkey % 50 < 8 then 1 else 0 end as fl_cartola from {supplier}
+select cast(1000000 + p_partkey as varchar(20)) as nr_cpf_cnpj,
+  case when p_partkey % 50 < 8 then 1 else 0 end as fl_cartola from {part}
+union all
+select cast(1000000 + p_partkey as varchar(20)), 1 from {part} where p_partkey % 100 = 1
+"""
+
+# Margins far outside [0, 1], positive and negative.
+_MARGINS = """
+select cast(o_orderkey as varchar(20)) as nr_cpf_cnpj, substr(cast(o_orderdate as varchar(30)), 1, 7) as mes,
+  cast(o_totalprice as double) - cast(150000 as double) as score,
+  case when o_orderkey % 11 = 0 then 2 when o_orderstatus = 'F' then 1 else 0 end as label
+from {orders}
 """
 
 # Scores with ties on purpose; single days may hold one class only.
@@ -97,11 +114,22 @@ from {orders}
 """
 
 
+def _check_digits_sql(base: str, weights: list[int], prev: str | None = None) -> str:
+    """SQL text for one check digit of ``base`` (plus ``prev`` as the last digit).
+    Both Spark and DuckDB read it.
+    """
+    terms = [f"{w} * cast(substr({base}, {i + 1}, 1) as integer)" for i, w in enumerate(weights[: len(weights) - (1 if prev else 0)])]
+    if prev:
+        terms.append(f"{weights[-1]} * {prev}")
+    total = " + ".join(terms)
+    return f"(case when 11 - ({total}) % 11 >= 10 then 0 else 11 - ({total}) % 11 end)"
+
+
 def _tax_ids_sql() -> str:
-    p1 = check_digits_sql("b", PERSON_WEIGHTS_1)
-    p2 = check_digits_sql("b", PERSON_WEIGHTS_2, prev="dv1")
-    c1 = check_digits_sql("b", COMPANY_WEIGHTS_1)
-    c2 = check_digits_sql("b", COMPANY_WEIGHTS_2, prev="dv1")
+    p1 = _check_digits_sql("b", PERSON_WEIGHTS_1)
+    p2 = _check_digits_sql("b", PERSON_WEIGHTS_2, prev="dv1")
+    c1 = _check_digits_sql("b", COMPANY_WEIGHTS_1)
+    c2 = _check_digits_sql("b", COMPANY_WEIGHTS_2, prev="dv1")
     # Valid ids, a corrupted last digit on every 10th (persons) / 7th
     # (companies) key, and a truncated id on keys ending in 7 (persons).
     return f"""
@@ -131,10 +159,11 @@ BASE_SQL = {
     "raw_riscos": _RISCOS,
     "flagged_table": _FLAGGED,
     "score_history": _SCORES,
+    "score_margins": _MARGINS,
     "tax_ids": _tax_ids_sql(),
 }
 
-_BASE_TABLES = ("lineitem", "orders", "customer", "supplier", "events")
+_BASE_TABLES = ("lineitem", "orders", "customer", "supplier", "part", "events")
 
 
 def _spark_sql(name: str, sf_dir: str) -> str:

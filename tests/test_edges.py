@@ -6,9 +6,11 @@ import pytest
 from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
-from riskbook.functions.dates import window_list, window_start
+from riskbook.functions.dates import in_window, window_list, window_start
 from riskbook.operators import behavior, book, labels, transfers
-from tests import reference_forms
+from riskbook.session import scratch_path
+from riskbook.sources.tables import write_table
+from tests import brute_force
 
 RAW_SCHEMA = (
     "nr_cpf_cnpj_sender string, nr_account_sender string, nr_office_sender string, cd_bank_sender string, "
@@ -102,8 +104,8 @@ def test_q8_duplicate_risk_rows_multiply_campaign_sums(spark):
     assert got["1"]["qtd_camp_disparo"] == 4 and got["1"]["qtd_camp_conversao"] == 2 and got["1"]["flag_bloqueio"] == 1
     assert got["2"]["qtd_camp_disparo"] == 1 and got["2"]["flag_bloqueio"] == 0
     assert got["3"]["qtd_camp_disparo"] == 0 and got["3"]["flag_bloqueio"] == 1
-    ref = as_dict(reference_forms.behavioral_features_joined(camp, risk, END, 1))
-    assert got == ref
+    ref = brute_force.behavior_rows([tuple(r) for r in camp.collect()], [tuple(r) for r in risk.collect()], {END})
+    assert {k: tuple(r[c] for c in ("qtd_camp_disparo", "qtd_camp_conversao", "flag_bloqueio")) for k, r in got.items()} == ref
 
 
 def test_behavioral_null_ids_and_null_flags_match_full_join(spark):
@@ -116,9 +118,8 @@ def test_behavioral_null_ids_and_null_flags_match_full_join(spark):
         "nr_cpf_cnpj string, dat_ref_carga string, flag_bloqueio int",
     )
     got = behavior.behavioral_features(camp, risk, END, 1)
-    ref = reference_forms.behavioral_features_joined(camp, risk, END, 1)
-    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, ref.collect()), key=str)
-    assert got.schema == ref.schema
+    ref = brute_force.behavior_rows([tuple(r) for r in camp.collect()], [tuple(r) for r in risk.collect()], {END, "2024-06-29"})
+    assert {r[0]: tuple(r[1:]) for r in got.collect()} == ref
 
 
 def test_q9_malformed_ints_become_null_not_errors(spark):
@@ -142,8 +143,13 @@ def test_q11_null_or_unknown_receiver_and_empty_list(spark):
     assert flags == {"1": 0, "2": 0, "3": 1}
     empty = cart.limit(0)
     assert {r.bet_trans for r in book.mark_flagged(fin, empty).collect()} == {0}
-    # the non-broadcast path gives the same flags
-    flags2 = {r.nr_cpf_cnpj_sender: r.bet_trans for r in book.mark_flagged(fin, cart, max_broadcast_rows=0).collect()}
+    # a shuffled join gives the same flags
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flags2 = {r.nr_cpf_cnpj_sender: r.bet_trans for r in book.mark_flagged(fin, cart).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert flags2 == flags
 
 
@@ -216,56 +222,30 @@ def test_tax_id_rules(spark):
     assert [r.v for r in got] == [r.expected for r in got]
 
 
-def test_salted_join_equals_plain_join(spark):
-    from riskbook.functions.joins import join_small
+def test_times_of_day_stay_in_their_day(spark):
+    rows = [("1", "2024-06-28 23:59:59"), ("1", "2024-06-30 10:00:00"), ("1", "2024-07-01 00:00:00"), ("1", None)]
+    text = spark.createDataFrame(rows, "k string, dat_ref_carga string")
+    for kind in ("timestamp", "timestamp_ntz", "date"):
+        got = in_window(text.withColumn("dat_ref_carga", F.col("dat_ref_carga").cast(kind)), "2024-06-28", "2024-06-30").collect()
+        assert sorted(r.dat_ref_carga for r in got) == ["2024-06-28", "2024-06-30"]
+    odd = spark.createDataFrame([("2024-06-29",), ("2024-06-29 10:00",), ("29/06/2024",), ("2024-06-3",), (None,)], "dat_ref_carga string")
+    assert [r[0] for r in in_window(odd, "2024-06-28", "2024-06-30").collect()] == ["2024-06-29"]
 
-    big = spark.createDataFrame(
-        [("hot", i, float(i)) for i in range(300)] + [("a", 1, 1.0), ("a", 1, 1.0), ("b", 2, 2.0), (None, 3, 3.0)],
-        "k string, n int, v double",
-    )
-    small = spark.createDataFrame([("hot", "x"), ("hot", "y"), ("a", "z"), ("c", "w")], "sk string, tag string")
-    for how in ("inner", "left", "left_semi", "left_anti"):
-        plain = big.join(small, F.col("k") == F.col("sk"), how)
-        plain = plain if how in ("left_semi", "left_anti") else plain.drop("sk")
-        salted = join_small(big, small, "k", "sk", how, max_rows=0, salts=5)
-        assert salted.columns == plain.columns
-        assert sorted(map(tuple, salted.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str), how
-
-
-def test_salted_join_spreads_a_hot_key(spark):
-    """With broadcast and AQE skew handling off, a plain join puts a hot key
-    in one task; the salted join spreads it over the salts."""
-    from riskbook.functions.joins import join_small
-
-    big = spark.range(6000).select(
-        F.when(F.col("id") % 3 == 0, F.concat(F.lit("other"), F.col("id").cast("string"))).otherwise(F.lit("hot")).alias("k"),
-        F.col("id"),
-    )
-    small = spark.createDataFrame([("hot", "x")], "sk string, tag string")
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
-    old = {k: spark.conf.get(k) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        salted = join_small(big, small, "k", "sk", "inner", max_rows=0, salts=8)
-        parts = salted.groupBy(F.spark_partition_id().alias("p")).count().collect()
-        plain = big.join(small, F.col("k") == F.col("sk"), "inner")
-        plain_parts = plain.groupBy(F.spark_partition_id().alias("p")).count().collect()
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
-    assert sum(r["count"] for r in parts) == sum(r["count"] for r in plain_parts) == 4000
-    assert len(plain_parts) == 1
-    assert len(parts) >= 6 and max(r["count"] for r in parts) < 1500
+
+def test_partitioned_tables_keep_types_values_and_order(spark):
+    df = spark.createDataFrame([("2024-01-01", "001", 1, 2.5), ("2024-01-02", "002", 2, None), ("2024-01-02", None, 3, 1.0)], "day string, code string, n int, v double")
+    back = write_table(df, scratch_path(spark, "parts"), partition_by=["code", "day"])
+    assert back.schema == df.schema
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
 
 
-def test_aqe_splits_skewed_salted_join(spark):
-    """AQE's skew-join split applies on top of the salted join (tiny
-    thresholds so the small test data counts as skewed)."""
+def test_aqe_splits_a_hot_key(spark):
+    """AQE splits the partition of a hot key (tiny thresholds, so that the small
+    test data counts as skewed)."""
     import contextlib
     import io
 
-    from riskbook.functions.joins import join_small
+    from riskbook.functions.joins import join_on
 
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -285,7 +265,7 @@ def test_aqe_splits_skewed_salted_join(spark):
         big = spark.range(200000).select(key.alias("k"), "id")
         small = spark.range(5000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("sk"))
         small = small.union(spark.createDataFrame([("hot",)], "sk string"))
-        df = join_small(big, small, "k", "sk", "left", max_rows=0)
+        df = join_on(big, small, "k", "sk", "left")
         assert df.count() == 200000
         df.collect()
         buf = io.StringIO()

@@ -10,7 +10,7 @@ import re
 
 import pytest
 
-from riskbook.operators import behavior, book, master, metrics, transfers
+from riskbook.operators import behavior, book, labels, master, metrics, transfers
 from riskbook.sources import fixtures as fx
 
 
@@ -66,9 +66,9 @@ def test_book_is_one_aggregate_and_master_join_adds_no_shuffle(no_broadcast):
     bk = book.trailing_book(fin, flagged, fx.END_DATE, fx.DAYS_TO_EVALUATE)
     beh = behavior.behavioral_features(camp, risk, fx.END_DATE, fx.DAYS_TO_EVALUATE)
     p_book, p_beh = plan(bk), plan(beh)
-    # book: distinct flagged ids (1) + the one groupBy(sender) (1); the flagged
-    # join is a broadcast after the row-count check, even with auto-broadcast off
-    assert shuffles(p_book) == 2 and "BroadcastHashJoin" in p_book
+    # book: distinct flagged ids (1), the flagged join (its other side), the one
+    # groupBy(sender); with broadcasts allowed the join's shuffle goes.
+    assert shuffles(p_book) == 3 and p_book.count("SortMergeJoin") == 1
     # behaviour: partial agg per (customer, day) + per customer, no join
     assert shuffles(p_beh) == 2 and "Join" not in p_beh
     p_master = plan(master.master_table(beh, bk))
@@ -76,16 +76,28 @@ def test_book_is_one_aggregate_and_master_join_adds_no_shuffle(no_broadcast):
     assert shuffles(p_master) == shuffles(p_book) + shuffles(p_beh)
 
 
-def test_auc_is_linear_with_levels_plus_two_shuffles(no_broadcast):
+def test_auc_after_the_ranges_needs_no_join_and_no_single_task(no_broadcast):
     spark = no_broadcast
     df = spark.createDataFrame([("d", 0.5, 1), ("d", 0.2, 0)], "g string, score double, label int")
-    for levels in (1, 2, 3):
-        p = plan(metrics.roc_auc(df, group_cols=["g"], levels=levels))
-        assert shuffles(p) == levels + 2 and "Join" not in p
+    p = plan(metrics.roc_auc(df, group_cols=["g"]))
+    assert "Join" not in p and "SinglePartition" not in p and shuffles(p) <= 3
+
+
+def test_rank_band_is_one_plan_at_any_depth(no_broadcast):
+    spark = no_broadcast
+    totals = spark.range(5000).selectExpr("cast(id as string) as nr_cpf_cnpj_receiver", "cast(id % 700 as double) as vl_total_recebido")
+    plans = []
+    for lo, hi in ((3, 8), (4000, 4500)):
+        df = labels.rank_band(totals, lo, hi)
+        assert df.count() == hi - lo
+        text = plan(df)
+        # The only single task is the window over one row per range.
+        assert text.count("SinglePartition") == 1 and "TakeOrdered" not in text
+        plans.append(re.sub(r"\d+|ranges-[0-9a-f]+", "", text))
+    assert plans[0] == plans[1]
 
 
 def test_hash_sample_shares_one_shuffle_of_the_ids(spark):
-    from riskbook.operators import labels
     from riskbook.session import scratch_path
 
     path = scratch_path(spark, "persons")
@@ -96,4 +108,4 @@ def test_hash_sample_shares_one_shuffle_of_the_ids(spark):
     assert df.count() == 10
     df.collect()  # executed plan: the histogram and the ranking reuse one shuffle of the ids
     text = plan(df).split("== Initial Plan ==")[0]
-    assert text.count("FileScan parquet") == 1 and "Reused" in text
+    assert text.count("ReadSchema: struct<nr_cpf_cnpj:string,cd_tipo_doc:string>") == 1 and "Reused" in text
