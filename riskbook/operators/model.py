@@ -127,8 +127,10 @@ def search_and_fit(
     spark = master.sparkSession
     shared_dir(spark)
     feats = feature_columns(master, (ID, target, "fold"))
+    asm = assembler(feats)
     data = assign_fold(master, ID, folds, seed).withColumn(target, F.col(target).cast("double"))
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    # The vector is assembled once and cached; every fit of the search reads it.
+    data = asm.transform(data).select(ID, target, "fold", "features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         draws = draw_params(n_trials, seed, space)
         clf = gbt(None, seed, target)
@@ -140,7 +142,7 @@ def search_and_fit(
                 "featureSubsetStrategy", "minInstancesPerNode", "minWeightFractionPerNode")})
         evaluator = BinaryClassificationEvaluator(labelCol=target, metricName="areaUnderROC", numBins=0)
         cv = CrossValidator(
-            estimator=Pipeline(stages=[assembler(feats), clf]),
+            estimator=clf,
             estimatorParamMaps=maps,
             evaluator=evaluator,
             foldCol="fold",
@@ -151,9 +153,8 @@ def search_and_fit(
         best_i = max(range(len(draws)), key=lambda i: cv.avgMetrics[i])
         cv_rows = [(i, json.dumps(draws[i], sort_keys=True), float(cv.avgMetrics[i])) for i in range(len(draws))]
         cv_df = spark.createDataFrame(cv_rows, "candidate int, params string, avg_auc double")
-        model = cv.bestModel
-        auc_row = roc_auc(score(data, model, keep=[target]), "probabilidade_inadimplente", target).first()
-        return SearchResult(model, draws[best_i], cv_df, auc_row["roc_auc"] if auc_row else None)
+        auc_row = roc_auc(score(data, cv.bestModel, keep=[target]), "probabilidade_inadimplente", target).first()
+        return SearchResult(PipelineModel(stages=[asm, cv.bestModel]), draws[best_i], cv_df, auc_row["roc_auc"] if auc_row else None)
     finally:
         data.unpersist()
 

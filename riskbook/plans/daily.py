@@ -4,28 +4,34 @@ Layout below ``out_dir`` (a folder of the shared file system):
 
 * ``<end_date>/financial``, ``behavioral``, ``agg_financial``,
   ``master_table``, ``score_table`` — the day's tables (overwrite);
-* ``model`` — the promoted model (replaced when the gate retrains);
-* ``auc_history/dat_ref_carga=<day>`` — one row per run day with its AUC.
-  The next day's gate reads it: retrain when yesterday is missing or below
-  the threshold (the data side of the reference's run tracking).
+* ``<end_date>/flagged``, ``riscos`` — the day's flagged list and risk table, written once
+  and read by every step that needs them;
+* ``model/<end_date>-<id>`` — one folder per fitted model, never overwritten;
+* ``auc_history/dat_ref_carga=<day>`` — one row per run day with its AUC and the
+  folder of the model in use. It is written after the model, so it promotes only models that
+  were saved whole. The next day's gate reads it: retrain when yesterday is missing or below
+  the threshold, else go on with yesterday's model (the data side of the reference's run tracking).
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from riskbook.functions.dates import window_start
 from riskbook.plans.features import FeatureTables, build_features
 from riskbook.plans.train import TrainRun, score_table, train
 from riskbook.session import shared_dir
 from riskbook.sources.tables import write_table
 
 
-HISTORY_SCHEMA = "roc_auc double, dat_ref_carga string"
+HISTORY_SCHEMA = "roc_auc double, model_path string, dat_ref_carga string"
 
 
 @dataclass
@@ -35,14 +41,15 @@ class DailyRun:
     scores: DataFrame
 
 
-def _read_or_none(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame | None:
-    """The table at ``path``, or None when nothing was written there yet."""
+def _read_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The table at ``path``, or None when nothing was written there yet. Any other
+    failure to read it is an error, not a missing history."""
     try:
-        df = spark.read.schema(schema).format(fmt).load(path)
-        df.limit(1).collect()  # forces the listing; a missing path raises here at the latest
-        return df
-    except AnalysisException:
-        return None
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def daily_run(
@@ -63,22 +70,28 @@ def daily_run(
 ) -> DailyRun:
     out = (out_dir or os.path.join(shared_dir(spark), "riskbook")).rstrip("/")
     day_dir = f"{out}/{end_date}"
+    flagged_table = write_table(flagged_table, f"{day_dir}/flagged")
+    raw_riscos = write_table(raw_riscos, f"{day_dir}/riscos")
     tables = build_features(
         feeds, raw_campanhas, raw_riscos, flagged_table, end_date, days_to_evaluate, checkpoint_to=day_dir,
         channel_col=channel_col,
     )
     history_path = f"{out}/auc_history"
-    model_path = f"{out}/model"
     # Explicit schema: the partition value stays an ISO string (discovery
     # would infer a date type).
     history = _read_or_none(spark, history_path, HISTORY_SCHEMA)
-    if _read_or_none(spark, f"{model_path}/metadata", "value string", "text") is None:
-        history = None  # no saved model to reuse: the gate must retrain
-    run = train(tables.master, history, end_date, threshold, model_path, folds, n_trials, space=space)
-    spark.createDataFrame([(run.roc_auc,)], "roc_auc double").write.mode("overwrite").parquet(
+    yesterday = None
+    if history is not None:
+        yesterday = history.filter(F.col("dat_ref_carga") == window_start(end_date, days=1)).select("model_path").first()
+    promoted = yesterday["model_path"] if yesterday else None
+    run = train(
+        tables.master, history if promoted else None, end_date, threshold, f"{out}/model/{end_date}-{uuid.uuid4().hex[:8]}",
+        folds, n_trials, space=space, reuse_path=promoted,
+    )
+    spark.createDataFrame([(run.roc_auc, run.model_path)], "roc_auc double, model_path string").write.mode("overwrite").parquet(
         f"{history_path}/dat_ref_carga={end_date}"
     )
-    scores = write_table(score_table(tables.master, model_path, cutoff), f"{day_dir}/score_table")
+    scores = write_table(score_table(tables.master, run.model_path, cutoff), f"{day_dir}/score_table")
     return DailyRun(tables, run, scores)
 
 

@@ -19,6 +19,7 @@ from riskbook.operators import metrics, model
 @dataclass
 class TrainRun:
     model: PipelineModel
+    model_path: str
     retrained: bool
     roc_auc: float | None
     params: dict | None
@@ -35,15 +36,19 @@ def train(
     n_trials: int = 30,
     seed: int = 42,
     space: dict | None = None,
+    reuse_path: str | None = None,
 ) -> TrainRun:
+    """A new model is saved at ``model_path``; the one to go on with, if the gate
+    allows it, is at ``reuse_path`` (by default the same place)."""
     retrain = daily_auc is None or metrics.retrain_today(daily_auc, end_date, threshold)
     if retrain:
         res = model.search_and_fit(master, n_trials=n_trials, folds=folds, seed=seed, space=space)
         model.save_model(res.model, model_path)
-        return TrainRun(res.model, True, res.in_sample_auc, res.params, res.cv)
-    fitted = model.load_model(model_path)
+        return TrainRun(res.model, model_path, True, res.in_sample_auc, res.params, res.cv)
+    current = reuse_path or model_path
+    fitted = model.load_model(current)
     row = metrics.roc_auc(model.score(master, fitted, keep=[model.TARGET]), "probabilidade_inadimplente", model.TARGET).first()
-    return TrainRun(fitted, False, row["roc_auc"] if row else None, None, None)
+    return TrainRun(fitted, current, False, row["roc_auc"] if row else None, None, None)
 
 
 def score_table(master: DataFrame, model_path: str, cutoff: float = 0.5) -> DataFrame:

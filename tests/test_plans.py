@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskbook.operators import metrics
@@ -81,6 +82,34 @@ def test_daily_run_gate_uses_yesterdays_history(spark):
     assert third.training.retrained
     hist = {r.dat_ref_carga: r.roc_auc for r in spark.read.schema(HISTORY_SCHEMA).parquet(f"{out}/auc_history").collect()}
     assert set(hist) == {"1998-06-29", "1998-06-30", "1998-07-02"}
+    assert second.training.model_path == first.training.model_path != third.training.model_path
+
+
+def test_a_failing_save_leaves_the_promoted_model(spark, monkeypatch):
+    from riskbook.operators import model
+    from riskbook.operators.model import SMOKE_SPACE
+    from riskbook.plans.daily import daily_run
+
+    args = (
+        fx.raw_channels(spark, SF_SMALL),
+        fx.fixture(spark, SF_SMALL, "raw_campanhas"),
+        fx.fixture(spark, SF_SMALL, "raw_riscos"),
+        fx.fixture(spark, SF_SMALL, "flagged_table"),
+    )
+    kw = dict(days_to_evaluate=30, folds=2, n_trials=1, space=SMOKE_SPACE, out_dir=scratch_path(spark, "daily"))
+    first = daily_run(spark, *args, end_date="1998-06-29", threshold=0.0, **kw)
+
+    def broken(fitted, path):
+        fitted.stages[-1].write().save(path + "/part")
+        raise RuntimeError("lost while saving")
+
+    monkeypatch.setattr(model, "save_model", broken)
+    with pytest.raises(RuntimeError):
+        daily_run(spark, *args, end_date="1998-06-30", threshold=1.1, **kw)
+    monkeypatch.undo()
+    assert score_table(first.features.master, first.training.model_path).count() == first.scores.count()
+    again = daily_run(spark, *args, end_date="1998-06-30", threshold=0.0, **kw)
+    assert not again.training.retrained and again.training.model_path == first.training.model_path
 
 
 def test_run_from_folder_reads_named_tables_and_writes_outputs(spark):
