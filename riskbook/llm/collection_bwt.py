@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 
-NO_SYMBOL = 0  # before the first symbol of a string; byte b is symbol b + 1
+NO_SYMBOL = 0  # before the first symbol of a string
 
 
 def suffix_order(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -24,51 +24,69 @@ def suffix_order(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     n = len(lengths)
     if n and lengths.max() > 254:
         raise ValueError("strings of more than 254 bytes")
-    symbol = data.astype(np.uint16) + 1
+    # Symbols are the bytes that occur, in order, from 1; one byte each unless all 256 occur.
+    code = np.cumsum(np.bincount(data, minlength=256) > 0)
+    symbol = code.astype(np.uint8 if code[-1] < 256 else np.uint16)[data]
     # Round 0: the empty suffixes, each with the last symbol of its string before it.
-    bwt = np.full(n, NO_SYMBOL, dtype=np.uint16)
-    some = np.flatnonzero(lengths > 0)
-    bwt[some] = symbol[offsets[1:][some] - 1]
+    bwt = np.full(n, NO_SYMBOL, dtype=symbol.dtype)
+    string = np.flatnonzero(lengths > 0)
+    bwt[string] = symbol[offsets[1:][string] - 1]
     lcp = np.zeros(n, dtype=np.uint8)
-    owner, length = np.arange(n, dtype=np.int32), np.zeros(n, dtype=np.uint8)
-    place, string = some.astype(np.int64), some  # where the latest suffix of each unfinished string stands
+    place = string.astype(np.int64)  # where the latest suffix of each unfinished string stands
     t = 0
     while len(string):
         t += 1
         size = len(bwt)
-        order = np.argsort(bwt, kind="stable")
-        rank = np.empty(size, dtype=np.int64)
-        rank[order] = np.arange(size)
-        ended = int((bwt == NO_SYMBOL).sum())
+        order, rank, ended = _mapping(bwt)
+        by_rank = np.argsort(rank[place], kind="stable")
+        k, string = rank[place][by_rank], string[by_rank]
         # The k-th symbol in sorted order starts the suffix at n + k - ended of the new list.
-        k = np.sort(rank[place])
         at = n + k - ended
-        pairs = np.unique(np.concatenate((k - 1, k)))
-        pairs = pairs[(pairs >= ended) & (pairs + 1 < size)]
+        beside = np.zeros(size + 1, dtype=bool)
+        beside[k - 1] = beside[k] = True
+        beside[: max(ended, 0)] = False
+        pairs = np.flatnonzero(beside[: size - 1])
         pairs = pairs[bwt[order[pairs]] == bwt[order[pairs + 1]]]
-        by = np.argsort(order[pairs], kind="stable")
-        pairs = pairs[by]
-        first, last = order[pairs] + 1, order[pairs + 1] + 1
-        shared = np.zeros(len(pairs), dtype=np.uint8)
+        # Common prefixes beside the new suffixes: one more than the least between two equal symbols.
+        pairs = pairs[np.argsort(order[pairs], kind="stable")]
         if len(pairs):
-            bounds = np.stack((first, last), axis=1).ravel()
+            bounds = np.stack((order[pairs] + 1, order[pairs + 1] + 1), axis=1).ravel()
             shared = np.minimum.reduceat(np.append(lcp, np.uint8(0)), bounds)[::2] + np.uint8(1)
-        # Rewrite the arrays with the new suffixes in place.
+        # Rewrite both sequences with the new suffixes in place.
         grown = size + len(string)
-        new = np.zeros(grown, dtype=bool)
-        new[at] = True
-        old = ~new
-        by_rank = np.argsort(rank[place], kind="stable")
-        inserted = string[by_rank]
-        bwt, lcp, owner, length = (_spread(x, old, grown) for x in (bwt, lcp, owner, length))
-        owner[at] = inserted
-        length[at] = t
-        more = lengths[inserted] > t
-        bwt[at] = NO_SYMBOL
-        bwt[at[more]] = symbol[offsets[inserted[more] + 1] - 1 - t]
-        lcp[n + pairs + 1 - ended] = shared
-        place, string = at[more], inserted[more]
-    return owner, length, lcp
+        old = np.ones(grown, dtype=bool)
+        old[at] = False
+        bwt, lcp = _spread(bwt, old, grown), _spread(lcp, old, grown)
+        more = lengths[string] > t
+        bwt[at[more]] = symbol[offsets[string[more] + 1] - 1 - t]
+        if len(pairs):
+            lcp[n + pairs + 1 - ended] = shared
+        place, string = at[more], string[more]
+    return *_owners(bwt, lengths), lcp
+
+
+def _mapping(bwt: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Places in order of their symbols, the rank of each place in it, and the number of places without a symbol."""
+    order = np.argsort(bwt, kind="stable")
+    rank = np.empty(len(bwt), dtype=np.int64)
+    rank[order] = np.arange(len(bwt))
+    return order, rank, int(np.count_nonzero(bwt == NO_SYMBOL))
+
+
+def _owners(bwt: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """String and length of every suffix, by following the mapping from the empty suffixes."""
+    n = len(lengths)
+    owner, length = np.empty(len(bwt), dtype=np.int32), np.empty(len(bwt), dtype=np.uint8)
+    string = place = np.arange(n)
+    owner[:n], length[:n] = string, 0
+    _, rank, ended = _mapping(bwt)
+    t = 0
+    while len(string):
+        t += 1
+        go = lengths[string] >= t
+        string, place = string[go], n + rank[place[go]] - ended
+        owner[place], length[place] = string, t
+    return owner, length
 
 
 def _spread(x: np.ndarray, old: np.ndarray, size: int) -> np.ndarray:

@@ -50,7 +50,7 @@ from riskbook.llm.text_arrays import U64, SpanHasher, buffers, mix, runs_within,
 
 LENGTH = 100
 GRAM = 24
-BLOCK = 4096
+BLOCK = 2048
 LARGEST_GROUP = 32768
 LAST_ID = (1 << 63) - 1
 #: Low bits of a gram's rank that hold its position, so the leftmost of equal grams is smallest.
@@ -204,8 +204,8 @@ def _fetch(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, limit=SLICE):
-                data, offsets = buffers(part.column(2))
-                marks = part.column(3)
+                data, offsets = buffers(part.column(3))
+                marks = part.column(4)
                 at = marks.offsets.to_numpy()
                 flat = marks.values.slice(at[0], at[-1] - at[0])
                 h, start, n = (flat.field(k).to_numpy() for k in range(3))
@@ -214,7 +214,7 @@ def _fetch(length: int):
                 raw = data[np.repeat(offsets[row] + start, size) + runs_within(size)]
                 ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
                 body = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(raw)])
-                yield pa.RecordBatch.from_arrays([pa.array(h), part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)), pa.array(start), body], names=["h", "node", "variant", "start", "bytes"])
+                yield pa.RecordBatch.from_arrays([pa.array(h), part.column(1).take(pa.array(row)), part.column(2).take(pa.array(row)), pa.array(start), body], names=["h", "node", "variant", "start", "bytes"])
 
     return run
 
@@ -357,8 +357,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     by_document = keyed.repartition("node", "variant")
 
     def fragments(which: DataFrame) -> DataFrame:
+        # All columns of the documents are kept, needed or not: so this join and the last one read one shuffle of the texts.
         wanted = which.groupBy("node", "variant").agg(F.collect_list(F.struct("h", "start", "n")).alias("marks"))
-        return by_document.select("doc_id", "node", "variant", "text").join(wanted, ["node", "variant"]).select("node", "variant", "text", "marks").mapInArrow(_fetch(length), FRAGMENT)
+        return by_document.select("doc_id", "node", "variant", "text").join(wanted, ["node", "variant"]).select("doc_id", "node", "variant", "text", "marks").mapInArrow(_fetch(length), FRAGMENT)
 
     # A group beyond ``largest_group`` holds that many fragments, so there are few such groups.
     usual = fragments(compare.join(F.broadcast(large), "h", "left_anti"))
