@@ -7,7 +7,9 @@ configuration always wins.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -49,6 +51,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not (sc.master or "").startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
     local = tempfile.mkdtemp(prefix="riskbook-ckpt-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)  # tests only: nothing outlives the process
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")

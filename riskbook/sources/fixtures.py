@@ -171,8 +171,22 @@ def _spark_sql(name: str, sf_dir: str) -> str:
     return BASE_SQL[name].format(**refs)
 
 
+# Folders whose fixture tables were written as Parquet (see write_inputs).
+_WRITTEN: dict[str, str] = {}
+
+
+def write_inputs(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Write every fixture table of ``sf_dir`` as Parquet below ``folder``; from then on
+    :func:`fixture` reads those, so plans start from plain tables as in production."""
+    for name in BASE_SQL:
+        fixture(spark, sf_dir, name).write.mode("overwrite").parquet(f"{folder}/{name}")
+    _WRITTEN[sf_dir.rstrip("/")] = folder
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture table over ``sf_dir``; channel names give one raw feed."""
+    if sf_dir.rstrip("/") in _WRITTEN and name in BASE_SQL:
+        return spark.read.parquet(f"{_WRITTEN[sf_dir.rstrip('/')]}/{name}")
     if name in CHANNELS or name.lower() in {f"raw_{c.lower()}" for c in CHANNELS}:
         from riskbook.operators.transfers import split_channels
 
