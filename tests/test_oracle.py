@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as contract
+from riskbook.plans.catalog import QUERIES as CATALOG
 from tests.conftest import SF_SMALL
 from tests.oracle_harness import compare, duck_connect
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = {k: v for k, v in contract.queries().items() if k in CATALOG}
+SQL = {k: v for k, v in contract.oracle_sql().items() if k in CATALOG}
 MODEL_KEYS = {"gbt_scores", "feature_importance", "cv_metrics", "daily_scores"}
 
 
