@@ -16,5 +16,8 @@ def join_on(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how:
     ``session.configure`` turns on), so a key holding a third of the big side is
     read by many tasks.
     """
+    # AQE splits only partitions that the join itself asked to shuffle. A side that
+    # comes hash-partitioned from a distinct would not be shuffled again; a computed (string) key is.
+    small = small.withColumn(small_key, F.concat(F.col(small_key), F.lit("")))
     out = big.join(small, F.col(big_key) == F.col(small_key), how)
     return out if how in ("left_semi", "left_anti") else out.drop(small_key)

@@ -122,6 +122,7 @@ def main(argv: list[str]) -> None:
     fin_r = fin.withColumn("nr_cpf_cnpj_receiver", hot_recv)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # measure the shuffled join paths
     spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64k")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
     sc.setJobDescription("mark_flagged (hot receiver, no broadcast, AQE skew split)")
     book.mark_flagged(fin_r, flagged).write.format("noop").mode("overwrite").save()

@@ -264,7 +264,7 @@ def test_aqe_splits_a_hot_key(spark):
         key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 5000).cast("string")))
         big = spark.range(200000).select(key.alias("k"), "id")
         small = spark.range(5000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("sk"))
-        small = small.union(spark.createDataFrame([("hot",)], "sk string"))
+        small = small.union(spark.createDataFrame([("hot",)], "sk string")).distinct()
         df = join_on(big, small, "k", "sk", "left")
         assert df.count() == 200000
         df.collect()

@@ -66,9 +66,9 @@ def test_book_is_one_aggregate_and_master_join_adds_no_shuffle(no_broadcast):
     bk = book.trailing_book(fin, flagged, fx.END_DATE, fx.DAYS_TO_EVALUATE)
     beh = behavior.behavioral_features(camp, risk, fx.END_DATE, fx.DAYS_TO_EVALUATE)
     p_book, p_beh = plan(bk), plan(beh)
-    # book: distinct flagged ids (1), the flagged join (its other side), the one
-    # groupBy(sender); with broadcasts allowed the join's shuffle goes.
-    assert shuffles(p_book) == 3 and p_book.count("SortMergeJoin") == 1
+    # book: distinct flagged ids (1), both sides of the flagged join (2), the one
+    # groupBy(sender); where the list may be broadcast the join's shuffles go.
+    assert shuffles(p_book) == 4 and p_book.count("SortMergeJoin") == 1
     # behaviour: partial agg per (customer, day) + per customer, no join
     assert shuffles(p_beh) == 2 and "Join" not in p_beh
     p_master = plan(master.master_table(beh, bk))
