@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +24,13 @@ def vocabulary() -> str:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session defaults of the library, and bounded Arrow batches."""
+    """Session defaults of the library, bounded Arrow batches, and this package's folder on the
+    Python path of the workers (a checkout need not be installed, nor be the working folder)."""
     configure(spark)
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark
