@@ -119,7 +119,8 @@ def planned(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     plan = budgets.select(F.col("source").alias("s"), "source_size", "target", "whole").join(
         cut.select(F.col("source").alias("t"), "threshold"), F.col("s").eqNullSafe(F.col("t"))
     )
-    return sized, plan.drop("t")
+    # Written: a table of one row per source, whose measured size lets the joins with documents broadcast it.
+    return sized, stored(plan.drop("t"), "mix-plan")
 
 
 def copies(repeats: int = REPEATS) -> Column:
@@ -130,7 +131,7 @@ def copies(repeats: int = REPEATS) -> Column:
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
     """doc_id, size, source_size, target, taken for every document."""
     sized, plan = planned(docs, weights, share, repeats)
-    # Both sides are small beside the documents; with few sources AQE broadcasts the plan by its measured size.
+    # No text here; the plan is broadcast where its measured size allows.
     return sized.join(plan, F.col("source").eqNullSafe(F.col("s"))).select("doc_id", "size", "source_size", "target", (F.col("size") * copies(repeats)).alias("taken"))
 
 
