@@ -3,8 +3,8 @@
 from collections import Counter
 
 import corpus_pipeline
-from riskbook.llm import bagminhash, language, mixing, pii
-from riskbook.llm.common import prepare, stored, table, vocabulary
+from riskbook.llm import language, mixing, pii
+from riskbook.llm.common import prepare, stored, table
 from pyspark.sql import functions as F
 from tests.conftest import SF_SMALL
 from tests.llm.edge import edge_docs
