@@ -90,7 +90,8 @@ def signatures(hashes: np.ndarray, rows: np.ndarray, weights: np.ndarray, n: int
         a = mix(seed[:, None] ^ counter * U64(0xA0761D6478BD642F))
         b = mix(a + _GOLDEN)
         gaps = -np.log1p(-((a >> U64(11)).astype(np.float64) * 2.0**-53)) / length[:, None]
-        times = time[:, None] + np.cumsum(gaps, axis=1)
+        # Added one by one from the last time on: a point's time must not depend on where chunks begin.
+        times = np.cumsum(np.concatenate((time[:, None], gaps), axis=1), axis=1)[:, 1:]
         place = (b >> U64(40)).astype(np.int64) % places
         # Unit of weight within the range by repeated halving: the high bits of a random number.
         unit = low[:, None] + ((b & U64((1 << 32) - 1)).astype(np.int64) * length[:, None] >> 32)

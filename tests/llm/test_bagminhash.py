@@ -46,6 +46,15 @@ def test_signatures_are_unbiased():
         assert abs((sig[0] == sig[1]).mean() - exact) < 4 * np.sqrt(exact * (1 - exact) / places) + 1e-9
 
 
+def test_keys_do_not_depend_on_the_slice():
+    rng = random.Random(11)
+    texts = [" ".join(f"v{rng.randint(0, 400)}" for _ in range(rng.randint(1, 110))) for _ in range(400)]
+    alone = np.concatenate([B.band_keys(pa.array([t])) for t in texts])
+    for size in (2, 17, 130, 400):
+        inside = np.concatenate([B.band_keys(pa.array(texts[i : i + size])) for i in range(0, len(texts), size)])
+        assert (inside == alone).all()
+
+
 def near_texts(rng, groups, copies, edits):
     texts = []
     for g in range(groups):
