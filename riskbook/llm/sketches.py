@@ -3,16 +3,18 @@
 A text's sketch holds all distinct hashes of its five-word shingles below
 2**64 / SCALE, so the sketches of two texts hold the same sample of the shingles
 they share, however unequal their lengths; the sketch of a union is the union of the
-sketches. A text of at most FULL_SHINGLES shingles, of which such a sample would say nothing,
-keeps them all (fraction 1); compared with a sampled one, both are first cut to the
+sketches. A text of at most FULL_SHINGLES distinct shingles, of which such a sample would say nothing,
+keeps them all (fraction 1), and so does one whose sample would be empty; compared with a sampled one, both are first cut to the
 smaller fraction, so the estimates stay those of one threshold. As text a
 fingerprint is the inverse fraction, a colon, and 16 hexadecimal digits per hash in
 ascending order.
 
 Defined results: null text is empty; a text without words has the fingerprint
 "1:"; a text of one to four words has one shingle. Two equal fingerprints have
-likeness 1, also empty ones; otherwise likeness is shared hashes over all
-hashes (Jaccard), 0 where neither holds any.
+likeness 1, also "1:" twice; otherwise likeness is shared hashes over all
+hashes (Jaccard), 0 where neither holds any at the smaller fraction. Containment
+of a text without words is 1, and null where the cut to the smaller fraction leaves
+nothing of a text that has some.
 
 :func:`with_next` pairs each document with the next one in descending doc_id in one range
 shuffle of the texts, without a global window: documents go to id ranges, and the first document of each
@@ -73,14 +75,17 @@ def likeness(a: Sketch, b: Sketch) -> float:
     """Estimated Jaccard similarity of the shingle sets."""
     both, n, m = shared(a, b)
     if n + m - both == 0 or (both == n == m and a.scale == b.scale):
-        return float(a.scale == b.scale and len(a.hashes) == len(b.hashes) and bool((a.hashes == b.hashes).all()))
+        # Two empty samples say nothing; only texts without words are known to be equal.
+        return float(a.scale == b.scale and (n > 0 or a.scale == 1))
     return both / (n + m - both)
 
 
-def containment(a: Sketch, b: Sketch) -> float:
-    """Estimated share of a's shingles that b has; 1 if a has none."""
+def containment(a: Sketch, b: Sketch) -> float | None:
+    """Estimated share of a's shingles that b has; 1 if a has none, None if the common fraction holds none of them."""
     both, n, _ = shared(a, b)
-    return both / n if n else 1.0
+    if n:
+        return both / n
+    return 1.0 if a.scale == 1 and not len(a.hashes) else None
 
 
 def merge(a: Sketch, b: Sketch) -> Sketch:
@@ -93,14 +98,16 @@ def sketches(column: pa.Array, scale: int = SCALE, full: int = FULL_SHINGLES) ->
     data, offsets = buffers(column)
     hashes, rows = shingles(data, offsets)
     n = len(offsets) - 1
-    all_kept = np.bincount(rows, minlength=n) <= full
-    keep = (hashes < np.uint64((1 << 64) // scale)) | all_kept[rows]
-    hashes, rows = hashes[keep], rows[keep]
     order = np.lexsort((hashes, rows))
     hashes, rows = hashes[order], rows[order]
     new = np.ones(len(hashes), dtype=bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])
     hashes, rows = hashes[new], rows[new]
+    low = hashes < np.uint64((1 << 64) // scale) if scale > 1 else np.ones(len(hashes), dtype=bool)
+    # A sample of few distinct shingles says nothing, an empty one even less: those texts keep all.
+    all_kept = (np.bincount(rows, minlength=n) <= full) | (np.bincount(rows[low], minlength=n) == 0)
+    keep = low | all_kept[rows]
+    hashes, rows = hashes[keep], rows[keep]
     at = np.searchsorted(rows, np.arange(n + 1))
     return [Sketch(hashes[at[i] : at[i + 1]], 1 if all_kept[i] else scale) for i in range(n)]
 

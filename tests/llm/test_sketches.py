@@ -50,6 +50,28 @@ def test_short_texts_are_exact():
     assert found[0].text() == found[5].text() and found[3].text() == "1:"
 
 
+def test_repetitive_texts_are_exact():
+    texts = [f"{word} " * n for word in ("ha", "ho", "hum") for n in (5, 70, 900)]
+    texts += [" ".join([f"line {k} says the same thing again"] * 40) for k in range(20)]
+    found = S.sketches(pa.array(texts))
+    assert all(len(a.hashes) == len(shingle_set(t)) for t, a in zip(texts, found, strict=True))
+    for x, a in zip(texts, found, strict=True):
+        for y, b in zip(texts, found, strict=True):
+            assert S.likeness(a, b) == pytest.approx(jaccard(x, y))
+
+
+def test_a_short_text_against_a_long_one():
+    long = S.sketches(pa.array([" ".join(f"w{i}" for i in range(6000))]))[0]
+    short = S.sketches(pa.array([f"x{i} y z" for i in range(60)] + [""]))
+    got = [S.containment(a, long) for a in short]
+    # Nothing of a short text below the long one's fraction says nothing; a text without words is in every text.
+    assert got[-1] == 1.0 and None in got and set(got[:-1]) <= {None, 0.0}
+    assert all(S.likeness(a, long) == 0 for a in short)
+    # An empty sample is not known to equal another one, and no text's own sketch is one.
+    assert S.likeness(S.Sketch.parse("8:"), S.Sketch.parse("8:")) == 0 and S.containment(S.Sketch.parse("8:"), long) is None
+    assert all(len(a.hashes) for k in range(200) for a in S.sketches(pa.array([" ".join(f"t{k}_{i}" for i in range(14))]), full=0))
+
+
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_edited_texts_of_the_table(spark, partitions):
     prepare(spark)
