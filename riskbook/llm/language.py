@@ -14,8 +14,12 @@ documents per language in expectation; each language's sample is clustered by
 spherical k-means in one task. What reaches the driver is DIMENSIONS counts, one row count and
 ``centroids`` vectors per language.
 
-Rejection: every language has a floor, the smallest cosine of any text it was
-fitted on (to the text's nearest centroid) times FLOOR_FACTOR. A text below the
+Rejection: every language has a floor for short texts (under SHORT_NGRAMS n-grams) and one for
+the others: the FLOOR_QUANTILE of the cosines of its own learning rows, all of them, to its centroids,
+times FLOOR_MARGIN, since the rows that centroids were fitted on lie nearer to them than new text. The quantile comes
+from a histogram of FLOOR_BINS steps, so single odd or mislabelled rows do not move it. A language with
+fewer than 1 / FLOOR_QUANTILE rows of a kind of length takes the floor over all languages where that is lower; without
+any row of that kind, it is FLOOR_FACTOR times the other kind's. A text below the
 floor of its nearest centroid's language, without letters, or null is rejected. The classification itself is not
 touched by that: ``lang_pred`` is the nearest language for any text with letters.
 
@@ -43,6 +47,8 @@ FIT_PER_LANGUAGE = 1500
 CENTROIDS = 4
 ROUNDS = 12
 FLOOR_FACTOR = 0.35
+FLOOR_QUANTILE, FLOOR_MARGIN, FLOOR_BINS = 0.005, 0.5, 1000
+SHORT_NGRAMS = 256
 UNKNOWN = "und"
 _SAMPLE_PARTS = 1 << 24
 
@@ -106,7 +112,7 @@ def cluster(vectors: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
 class Model:
     languages: list[str]  # of each centroid
     centroids: np.ndarray
-    floors: np.ndarray
+    floors: np.ndarray  # of each centroid's language, for other and for short texts
     idf: np.ndarray
 
 
@@ -130,7 +136,7 @@ def fit(docs: DataFrame, learn: Column, fit_per_language: int = FIT_PER_LANGUAGE
     idf = np.log((1 + n) / (1 + np.array([total.get(i, 0) for i in range(DIMENSIONS)]))).astype(np.float32) + np.float32(1)
     per_language = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not per_language:
-        return Model([], np.zeros((0, DIMENSIONS), np.float32), np.zeros(0), idf)
+        return Model([], np.zeros((0, DIMENSIONS), np.float32), np.zeros((0, 2)), idf)
     share = rows.sparkSession.createDataFrame([(k, min(_SAMPLE_PARTS, fit_per_language * _SAMPLE_PARTS // v + 1)) for k, v in per_language.items()], "lang string, below long")
     place = F.pmod(F.xxhash64(F.lit("fit"), "doc_id", "text"), F.lit(_SAMPLE_PARTS))
     # One row per language, made from the counts above: the texts are not shuffled to find the sample.
@@ -142,15 +148,57 @@ def fit(docs: DataFrame, learn: Column, fit_per_language: int = FIT_PER_LANGUAGE
         vectors = unit_vectors(np.concatenate(counts), idf)
         vectors = vectors[np.einsum("ij,ij->i", vectors, vectors) > 0]
         if not len(vectors):
-            return pd.DataFrame({"lang": [], "number": [], "floor": [], "centroid": []})
+            return pd.DataFrame({"lang": [], "number": [], "centroid": []})
         c = cluster(vectors, centroids)
-        cosine = vectors @ c.T
-        return pd.DataFrame({"lang": pdf["lang"].iloc[0], "number": range(len(c)), "floor": float(cosine.max(axis=1).min()), "centroid": list(c)})
+        return pd.DataFrame({"lang": pdf["lang"].iloc[0], "number": range(len(c)), "centroid": list(c)})
 
-    found = sample.groupBy("lang").applyInPandas(centres, "lang string, number int, floor double, centroid array<float>").collect()
+    found = sample.groupBy("lang").applyInPandas(centres, "lang string, number int, centroid array<float>").collect()
     found.sort(key=lambda r: (r.lang, r.number))
     matrix = np.array([r.centroid for r in found], dtype=np.float32).reshape(-1, DIMENSIONS)
-    return Model([r.lang for r in found], matrix, FLOOR_FACTOR * np.array([r.floor for r in found]), idf)
+    of = [r.lang for r in found]
+
+    def cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = np.array(of, dtype=object)
+        for batch in batches:
+            for part in slices(batch):
+                counts = ngram_counts(part.column(1))
+                own = names[None, :] == np.array(part.column(0).to_pylist(), dtype=object)[:, None]
+                cosine = np.where(own, unit_vectors(counts, idf) @ matrix.T, -1).max(axis=1, initial=-1)
+                bins = (np.clip(cosine, 0, 1) * FLOOR_BINS).astype(np.int32)
+                # Text without letters is rejected anyway.
+                read = (counts.sum(axis=1) > 0) & (cosine >= 0)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(is_short(counts)), pa.array(bins)], names=["lang", "short", "bin"]).filter(pa.array(read))
+
+    # At most 2 x (FLOOR_BINS + 1) counts per language come back.
+    seen = rows.select("lang", "text").mapInArrow(cosines, "lang string, short boolean, bin int").groupBy("lang", "short", "bin").agg(F.count("*").alias("n")).collect()
+    return Model(of, matrix, floors_of(of, [(r.lang, r.short, r.bin, r.n) for r in seen]), idf)
+
+
+def is_short(counts: np.ndarray) -> np.ndarray:
+    return counts.sum(axis=1) < SHORT_NGRAMS
+
+
+def floors_of(languages: list[str], seen: list[tuple[str, bool, int, int]]) -> np.ndarray:
+    """Floors (other, short texts) of each language from its histogram rows (language, short, bin, rows)."""
+
+    def quantile(short: bool, lang: str | None = None) -> tuple[float, int]:
+        bins = sorted((b, n) for x, s, b, n in seen if s == short and lang in (None, x))
+        if not bins:
+            return np.inf, 0
+        below = np.cumsum([n for _, n in bins])
+        return FLOOR_MARGIN * bins[int(np.searchsorted(below, FLOOR_QUANTILE * below[-1], "right"))][0] / FLOOR_BINS, int(below[-1])
+
+    pooled = {short: quantile(short)[0] for short in (False, True)}
+
+    def floor(lang: str, short: bool) -> float:
+        own, n = quantile(short, lang)
+        low = own if n * FLOOR_QUANTILE >= 1 else min(own, pooled[short])
+        if np.isfinite(low):
+            return low
+        return FLOOR_FACTOR * pooled[not short] if np.isfinite(pooled[not short]) else 0.0
+
+    by = {x: (floor(x, False), floor(x, True)) for x in set(languages)}
+    return np.array([by[x] for x in languages]).reshape(-1, 2)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -173,7 +221,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                     best = np.stack([cosine[:, code == k].max(axis=1) for k in range(len(names))], axis=1)
                     score = np.clip(best.max(axis=1), 0, 1).astype(np.float64)
                     lang = np.array(names, dtype=object)[best.argmax(axis=1)]
-                    low = score < model.floors[cosine.argmax(axis=1)]
+                    low = score < model.floors[cosine.argmax(axis=1), is_short(counts).astype(int)]
                 else:
                     score, lang, low = np.zeros(len(text)), np.full(len(text), UNKNOWN, dtype=object), np.zeros(len(text), dtype=bool)
                 lang = np.where(readable, lang, UNKNOWN)

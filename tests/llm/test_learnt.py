@@ -41,6 +41,23 @@ def test_language_of_held_out_documents(spark):
     assert sum(r.rejected for r in seen) <= 1 and all(0 <= r.score <= 1 for r in seen)
 
 
+@pytest.mark.parametrize("unknown", ["fr", "de"])
+def test_an_unlearnt_language_is_rejected(spark, unknown):
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    out = held_out("doc_id", 3, 1)
+    model = language.fit(docs, ~out & (F.col("lang") != unknown))
+    rows = language.predict(docs.where(out), model).groupBy((F.col("lang") == unknown).alias("strange")).agg(F.avg(F.col("rejected").cast("int")).alias("share")).collect()
+    share = {r.strange: r.share for r in rows}
+    assert share[True] > 0.9 and share[False] < 0.01
+
+
+def test_odd_rows_do_not_set_the_floor():
+    seen = [("x", False, 900, 5000), ("x", False, 1, 2), ("y", True, 300, 10)]
+    floors = language.floors_of(["x", "x", "y"], seen)
+    assert floors[0].tolist() == floors[1].tolist() and floors[0][0] == pytest.approx(0.9 * language.FLOOR_MARGIN)
+    assert 0 < floors[0][1] < floors[0][0] and floors[2][1] == pytest.approx(0.3 * language.FLOOR_MARGIN)
+
+
 def test_language_of_awkward_documents(spark):
     model = language.fit(table(spark, SF, "documents"), F.lit(True))
     docs = edge_docs(prepare(spark))
