@@ -13,6 +13,12 @@ def test_every_operator_is_registered():
     assert set(ORACLE_SQL) <= set(contract.oracle_sql())
 
 
+def test_oracles_are_sql_text():
+    sql = contract.oracle_sql()
+    assert set(sql) <= set(contract.queries())
+    assert all(isinstance(v, str) and v.strip().lower().startswith(("select", "with")) for v in sql.values())
+
+
 def test_mix_matches_its_sql(spark):
     name = "op4_source_mixing"
     r = compare(spark, name, SF_SMALL, contract.queries()[name], contract.oracle_sql()[name], duck_connect(SF_SMALL))
