@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.llm import bagminhash, hnsw, language, mixing, packing, pii, repeats, sketches, token_files, toxicity
+from riskbook.llm import bagminhash, hnsw, language, mixing, packing, pii, quality, repeats, sketches, token_files, toxicity
 from riskbook.llm.common import held_out, table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,5 +72,18 @@ def op10_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.edited_likeness(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op1_bagminhash_dedup": op1_bagminhash_dedup, "op2_genetic_packing": op2_genetic_packing, "op3_toxicity_mil": op3_toxicity_mil, "op4_source_mixing": op4_source_mixing, "op5_suffix_dedup": op5_suffix_dedup, "op6_language_id": op6_language_id, "op7_token_files": op7_token_files, "op8_pii_crf": op8_pii_crf, "op9_hnsw_search": op9_hnsw_search, "op10_scaled_sketch": op10_scaled_sketch}
-ORACLE_SQL: dict[str, str] = {"op4_source_mixing": mixing.oracle_sql()}
+def op13_certified_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by cutoffs certified per language; odd crc32 of the id: holdout."""
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("lang"), held_out("doc_id", 2, 1))
+    return judged.drop("broken_rules")
+
+
+_ALL = [
+    op1_bagminhash_dedup, op2_genetic_packing, op3_toxicity_mil, op4_source_mixing, op5_suffix_dedup, op6_language_id, op7_token_files,
+    op8_pii_crf, op9_hnsw_search, op10_scaled_sketch, op13_certified_quality,
+]
+QUERIES: dict[str, Query] = {f.__name__: f for f in _ALL}
+ORACLE_SQL: dict[str, str] = {
+    "op4_source_mixing": mixing.oracle_sql(),
+    "op13_certified_quality": quality.oracle_sql(),
+}
