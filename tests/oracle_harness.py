@@ -28,12 +28,13 @@ def duck_connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        # A column of whole numbers with nulls comes as floats from one engine and as integers from the other.
+        return int(v) if v.is_integer() else round(v, 6)
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
