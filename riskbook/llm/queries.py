@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.llm import bagminhash, hnsw, language, mixing, packing, pii, quality, repeats, sketches, spelling, token_files, toxicity
+from riskbook.llm import bagminhash, hnsw, language, mixing, packing, pii, quality, repeats, sketches, spelling, token_files, toxicity, trie
 from riskbook.llm.common import held_out, table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_certified_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by cutoffs certified per language; odd crc32 of the id: holdout."""
     judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("lang"), held_out("doc_id", 2, 1))
@@ -85,11 +90,12 @@ def op13_certified_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = [
     op1_bagminhash_dedup, op2_genetic_packing, op3_toxicity_mil, op4_source_mixing, op5_suffix_dedup, op6_language_id, op7_token_files,
-    op8_pii_crf, op9_hnsw_search, op10_scaled_sketch, op11_spelling_variants, op13_certified_quality,
+    op8_pii_crf, op9_hnsw_search, op10_scaled_sketch, op11_spelling_variants, op12_conversation_trie, op13_certified_quality,
 ]
 QUERIES: dict[str, Query] = {f.__name__: f for f in _ALL}
 ORACLE_SQL: dict[str, str] = {
     "op4_source_mixing": mixing.oracle_sql(),
     "op11_spelling_variants": spelling.oracle_sql(),
+    "op12_conversation_trie": trie.oracle_sql(),
     "op13_certified_quality": quality.oracle_sql(),
 }
