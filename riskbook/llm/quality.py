@@ -185,10 +185,13 @@ def certified(measured: DataFrame, labels: DataFrame, holdout: Column, rules: tu
     buckets = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.expr(r.sql("div")).cast("int").alias("bucket")) for r in rules])
     one = labelled.select("stratum", holdout.alias("held"), "quality", F.explode(buckets).alias("b")).select("stratum", "held", "quality", "b.*")
     count = lambda c: F.sum(c.cast("long"))
-    histogram = one.groupBy("stratum", "rule", "bucket").agg(
-        count(~F.col("held") & (F.col("quality") == 1)).alias("tune_good"),
-        count(~F.col("held") & (F.col("quality") == 0)).alias("tune_bad"),
-        count(F.col("held") & (F.col("quality") == 1)).alias("good"),
+    histogram = stored(
+        one.groupBy("stratum", "rule", "bucket").agg(
+            count(~F.col("held") & (F.col("quality") == 1)).alias("tune_good"),
+            count(~F.col("held") & (F.col("quality") == 0)).alias("tune_bad"),
+            count(F.col("held") & (F.col("quality") == 1)).alias("good"),
+        ),
+        "quality-histogram",
     )
     # Rejected at a cutoff: this bucket and those above. At most BUCKETS rows for each rule and stratum.
     per = Window.partitionBy("stratum", "rule")
@@ -203,9 +206,9 @@ def certified(measured: DataFrame, labels: DataFrame, holdout: Column, rules: tu
     walk = walk.withColumn("aim", F.when(best["gain"] > 0, best["bucket"]))
     tests = walk.where((F.col("bucket") >= F.col("aim")) & (F.col("n_good") > 0))
     # Tested are the strata that have good holdout documents.
-    strata = histogram.where("good > 0").select("stratum").distinct().agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("strata"))
+    strata = max(1, histogram.where("good > 0").select("stratum").distinct().count())
     tests = tests.withColumn("p_value", binomial_tail(F.col("n_rejected"), F.col("n_good"), limit / len(rules)))
-    passed = tests.join(F.broadcast(strata)).withColumn("ok", F.col("p_value") <= risk / len(rules) / F.col("strata"))
+    passed = tests.withColumn("ok", F.col("p_value") <= risk / len(rules) / strata)
     unbroken = F.min(F.col("ok").cast("int")).over(above) == 1
     last = F.min(F.struct("bucket", "n_rejected", "p_value"))
     return (
