@@ -1,59 +1,36 @@
-"""Boosted-tree model on the master table with Spark ML: assemble (D1),
-search and fit (D3), save / load (D6), feature importance (D7), score (D8).
+"""The risk model on the master table: assemble (D1), search and fit (D3), save / load (D6), feature
+importance (D7), score (D8).
 
 The reference pulls the master table into driver memory, runs a 30-trial
 single-machine search and scores locally, writing predictions back into
-the plan as literals. Here training, cross-validation and scoring run on
-the executors (Spark ML trees aggregate split statistics per partition);
-only parameters, metrics and the tree ensemble reach the driver. Scores
+the plan as literals. Here binning, training, cross-validation, scoring and explanation run on
+the executors (:mod:`boosting`, :mod:`search`, :mod:`explain`);
+only parameters, metrics and the trees reach the driver. Scores
 are one scalar probability and label per customer (the reference puts
 every prediction in an array on every row, Q2).
 """
 
 from __future__ import annotations
 
-import json
-import random
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.operators.metrics import assign_fold, roc_auc
-from riskbook.session import shared_dir
+from riskbook.operators import boosting, search
+from riskbook.operators.boosting import Grower, Model, Params
+from riskbook.operators.metrics import fold_of, roc_auc
+
+__all__ = ["Model", "Params", "assembler", "feature_columns", "vector_to_array"]
 
 ID = "nr_cpf_cnpj"
 TARGET = "flag_bloqueio"
-
-# The reference's search ranges, mapped to Spark ML GBT
-# parameters as (low, high, integer?). Trees 100-1000 -> maxIter, depth
-# 3-10 -> maxDepth, learning rate -> stepSize, row / column subsampling ->
-# subsamplingRate / featureSubsetStrategy fraction. The split-gain and the
-# two regularisation terms have no GBT equivalent; minInfoGain,
-# minInstancesPerNode and minWeightFractionPerNode take their place on
-# Spark's own scales.
-REFERENCE_SPACE = {
-    "maxIter": (100, 1000, True),
-    "maxDepth": (3, 10, True),
-    "stepSize": (0.01, 0.3, False),
-    "minInfoGain": (0.0, 0.05, False),
-    "subsamplingRate": (0.5, 1.0, False),
-    "featureFraction": (0.5, 1.0, False),
-    "minInstancesPerNode": (1, 10, True),
-    "minWeightFractionPerNode": (0.0, 0.05, False),
-}
-# Same dimensions with short boosting runs: boosting is sequential in Spark
-# (one distributed pass per tree level), so smoke runs keep it small.
-SMOKE_SPACE = dict(REFERENCE_SPACE, maxIter=(5, 15, True), maxDepth=(3, 5, True))
-DEFAULT_SPACE = REFERENCE_SPACE
+PATIENCE = search.PATIENCE
+# Of a plain fit, one row in so many validates and stops the model early.
+VALIDATION_FOLDS = 5
 
 
 def feature_columns(df: DataFrame, exclude: Sequence[str] = (ID, TARGET, "fold")) -> list[str]:
@@ -65,130 +42,65 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
 
 
-def gbt(params: dict | None = None, seed: int = 42, target: str = TARGET) -> GBTClassifier:
-    params = dict(params or {})
-    fraction = params.pop("featureFraction", None)
-    clf = GBTClassifier(
-        labelCol=target,
-        featuresCol="features",
-        lossType="logistic",
-        seed=seed,
-        checkpointInterval=10,
-        maxIter=int(params.pop("maxIter", 10)),
-        maxDepth=int(params.pop("maxDepth", 3)),
-    )
-    if fraction is not None:
-        clf.setFeatureSubsetStrategy(f"{float(fraction):.4f}")
-    for name, value in params.items():
-        clf.set(clf.getParam(name), int(value) if name == "minInstancesPerNode" else float(value))
-    return clf
-
-
-def draw_params(n: int, seed: int = 42, space: dict | None = None) -> list[dict]:
-    """Seeded random draws from ``space`` (the driver only draws numbers)."""
-    space = space or DEFAULT_SPACE
-    rng = random.Random(seed)
-    draws = []
-    for _ in range(n):
-        p = {}
-        for name, (lo, hi, is_int) in space.items():
-            p[name] = rng.randint(int(lo), int(hi)) if is_int else round(rng.uniform(lo, hi), 4)
-        draws.append(p)
-    return draws
-
-
-def fit(master: DataFrame, params: dict | None = None, seed: int = 42, target: str = TARGET) -> PipelineModel:
-    """Fit assembler + GBT with fixed parameters."""
-    shared_dir(master.sparkSession)  # tree checkpoints go to the shared folder
-    feats = feature_columns(master, (ID, target, "fold"))
-    data = master.withColumn(target, F.col(target).cast("double"))
-    return Pipeline(stages=[assembler(feats), gbt(params, seed, target)]).fit(data)
+def validation_rows(seed: int = 42) -> Column:
+    """A fifth of the customers by hash of the id: the same ones on every run."""
+    return fold_of(ID, VALIDATION_FOLDS, f"{seed}:validation") == 0
+
+
+def fit(master: DataFrame, params: Params, target: str = TARGET, early_stop: bool = True) -> Model:
+    """Fit with given parameters; by default a fifth of the customers validates, and the model stops after
+    ``PATIENCE`` trees that did not lower their loss."""
+    held = validation_rows(params.seed) if early_stop else None
+    return boosting.fit(master, feature_columns(master, (ID, target, "fold")), target, ID, params, held, PATIENCE if early_stop else None)
 
 
 @dataclass
 class SearchResult:
-    model: PipelineModel
-    params: dict
-    cv: DataFrame  # candidate, params (json), avg_auc
+    model: Model
+    params: Params
+    cv: DataFrame  # the trial table: search.ROWS
     in_sample_auc: float | None
 
 
 def search_and_fit(
     master: DataFrame,
-    n_trials: int = 30,
+    n_trials: int = search.N_TRIALS,
     folds: int = 3,
     seed: int = 42,
-    parallelism: int = 2,
-    space: dict | None = None,
+    space: search.Space | None = None,
     target: str = TARGET,
+    trials_path: str | None = None,
 ) -> SearchResult:
-    """D3: seeded random search, mean k-fold AUC (hash folds, D2), refit of
-    the best candidate on all rows, in-sample AUC of the refit."""
-    spark = master.sparkSession
-    shared_dir(spark)
-    feats = feature_columns(master, (ID, target, "fold"))
-    asm = assembler(feats)
-    data = assign_fold(master, ID, folds, seed).withColumn(target, F.col(target).cast("double"))
-    # The vector is assembled once and cached; every fit of the search reads it.
-    data = asm.transform(data).select(ID, target, "fold", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        draws = draw_params(n_trials, seed, space)
-        clf = gbt(None, seed, target)
-        maps = []
-        for p in draws:
-            est = gbt(p, seed, target)
-            maps.append({clf.getParam(k): est.getOrDefault(est.getParam(k)) for k in (
-                "maxIter", "maxDepth", "stepSize", "minInfoGain", "subsamplingRate",
-                "featureSubsetStrategy", "minInstancesPerNode", "minWeightFractionPerNode")})
-        evaluator = BinaryClassificationEvaluator(labelCol=target, metricName="areaUnderROC", numBins=0)
-        cv = CrossValidator(
-            estimator=clf,
-            estimatorParamMaps=maps,
-            evaluator=evaluator,
-            foldCol="fold",
-            numFolds=folds,
-            parallelism=parallelism,
-            seed=seed,
-        ).fit(data)
-        best_i = max(range(len(draws)), key=lambda i: cv.avgMetrics[i])
-        cv_rows = [(i, json.dumps(draws[i], sort_keys=True), float(cv.avgMetrics[i])) for i in range(len(draws))]
-        cv_df = spark.createDataFrame(cv_rows, "candidate int, params string, avg_auc double")
-        auc_row = roc_auc(score(data, cv.bestModel, keep=[target]), "probabilidade_inadimplente", target).first()
-        return SearchResult(PipelineModel(stages=[asm, cv.bestModel]), draws[best_i], cv_df, auc_row["roc_auc"] if auc_row else None)
-    finally:
-        data.unpersist()
-
-
-def save_model(model: PipelineModel, path: str) -> str:
-    """Persist (overwrite) the fitted pipeline."""
-    model.write().overwrite().save(path)
-    return path
-
-
-def load_model(path: str) -> PipelineModel:
-    """Reload a pipeline saved by :func:`save_model`."""
-    return PipelineModel.load(path)
-
-
-def feature_importance(model: PipelineModel) -> list[tuple[str, float]]:
-    """(feature, importance) pairs of the tree ensemble (one per
-    feature column, not per row)."""
-    names = model.stages[0].getInputCols()
-    imp = model.stages[-1].featureImportances.toArray()
-    return sorted(zip(names, (float(x) for x in imp)), key=lambda t: (-t[1], t[0]))
-
-
-def feature_importance_df(model: PipelineModel, spark) -> DataFrame:
-    return spark.createDataFrame(feature_importance(model), "feature string, importance double")
-
-
-def score(master: DataFrame, model: PipelineModel, cutoff: float = 0.5, keep: Sequence[str] = ()) -> DataFrame:
+    """D3: search (mean k-fold AUC over hash folds, D2), refit of the best parameters on all rows with
+    the folds' median number of trees, in-sample AUC of the refit."""
+    features = feature_columns(master, (ID, target, "fold"))
+    found, table, edges = search.search(master, features, target, ID, n_trials, folds, seed, space, trials_path=trials_path)
+    params = replace(found.params, n_estimators=found.n_trees)
+    grower = Grower(params, limit=found.n_trees)
+    boosting.grow(table, [grower], len(features))
+    model = Model(features, edges, grower.trees, params)
+    row = roc_auc(score(master, model, keep=[target]), "probabilidade_inadimplente", target).first()
+    return SearchResult(model, params, found.trials, row["roc_auc"] if row else None)
+
+
+def save_model(model: Model, path: str, spark: SparkSession) -> str:
+    """The fitted model as Parquet tables in a new folder."""
+    return model.save(spark, path)
+
+
+def load_model(path: str, spark: SparkSession) -> Model:
+    """Reload a model saved by :func:`save_model`."""
+    return Model.load(spark, path)
+
+
+def feature_importance(model: Model, spark: SparkSession) -> DataFrame:
+    """Feature, n_splits, total_gain, importance (share of the gain), one row per feature."""
+    return boosting.gain_by_feature(model.table(spark), model.features)
+
+
+def score(master: DataFrame, model: Model, cutoff: float = 0.5, keep: Sequence[str] = ()) -> DataFrame:
     """Probability of default and 0/1 label per customer, on the executors."""
-    out = model.transform(master)
-    prob = vector_to_array(F.col("probability"))[1]
-    return out.select(
-        ID,
-        *keep,
-        prob.alias("probabilidade_inadimplente"),
-        (prob >= F.lit(cutoff)).cast("int").alias("flag_predito"),
+    p = F.col("probability")
+    return boosting.predict(master, model, [ID, *keep]).select(
+        ID, *keep, p.alias("probabilidade_inadimplente"), (p >= F.lit(cutoff)).cast("int").alias("flag_predito")
     )

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskbook.functions.dates import window_start, window_start_col
-from riskbook.operators import behavior, book, labels, master, metrics, model, transfers
+from riskbook.operators import behavior, book, boosting, explain, labels, master, metrics, model, transfers
+from riskbook.operators.boosting import Model, Params
+from riskbook.plans.train import train
 from riskbook.session import scratch_path
 from riskbook.sources.tables import write_table
 from riskbook.sources import fixtures as fx
@@ -235,16 +237,17 @@ def labelled_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return master.master_table(beh, book.trailing_book(q_financial_features(spark, sf_dir), flagged, END_DATE, DAYS))
 
 
-# Small fixed model for the rows-only checks; the search keeps it small too.
-SMOKE_PARAMS = {"maxIter": 10, "maxDepth": 3, "stepSize": 0.1}
+# A single fit as a user would run it: many trees, stopped early by the validation rows.
+FIT_PARAMS = Params(n_estimators=1000, max_depth=6, learning_rate=0.1, gamma=0.5, subsample=0.8, colsample_bytree=0.8, seed=fx.SEED)
+# Few trees with every regularising term, so that SQL can grow the same ones.
+SQL_PARAMS = Params(n_estimators=3, max_depth=3, learning_rate=0.3, gamma=0.25, subsample=0.8, colsample_bytree=0.7, reg_alpha=0.1, reg_lambda=1.5, seed=fx.SEED)
 
 
 def q_gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D1 + D6 + D8: fit, save to the shared folder, reload, score."""
-    m = labelled_master(spark, sf_dir)
-    m = write_table(m, scratch_path(spark, "master"))
-    path = model.save_model(model.fit(m, SMOKE_PARAMS, fx.SEED), scratch_path(spark, "gbt"))
-    return model.score(m, model.load_model(path), fx.CUTOFF)
+    """D1 + D3 + D6 + D8: fit, save to the shared folder, reload, score."""
+    m = write_table(labelled_master(spark, sf_dir), scratch_path(spark, "master"))
+    path = model.save_model(model.fit(m, FIT_PARAMS), scratch_path(spark, "gbt"), spark)
+    return model.score(m, model.load_model(path, spark), fx.CUTOFF)
 
 
 def q_assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,43 +259,61 @@ def q_assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("nr_cpf_cnpj", F.element_at(F.array(*[F.lit(n) for n in names]), F.col("at") + 1).alias("feature"), "value")
 
 
-def _fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, object]:
+def _fitted(spark: SparkSession, sf_dir: str, params: Params, early_stop: bool) -> tuple[DataFrame, Model]:
     m = write_table(labelled_master(spark, sf_dir), scratch_path(spark, "master"))
-    return m, model.fit(m, SMOKE_PARAMS, fx.SEED)
+    return m, model.fit(m, params, early_stop=early_stop)
 
 
 def q_score_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per customer, 1 if the probability is in [0, 1] and the label is (p >= cutoff)."""
-    m, fitted = _fitted(spark, sf_dir)
-    p, label = F.col("probabilidade_inadimplente"), F.col("flag_predito")
-    right = p.between(0, 1) & (label == (p >= fx.CUTOFF).cast("int"))
-    return model.score(m, fitted, fx.CUTOFF).select("nr_cpf_cnpj", right.cast("int").alias("ok"))
+    """D3 + D8: probability and label of every customer; the oracle grows the same trees in SQL."""
+    m, fitted = _fitted(spark, sf_dir, SQL_PARAMS, False)
+    return model.score(m, fitted, fx.CUTOFF).withColumn("probabilidade_inadimplente", F.round("probabilidade_inadimplente", 9))
 
 
 def q_model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per customer, 1 if the reloaded model gives the same probability."""
-    m, fitted = _fitted(spark, sf_dir)
-    again = model.load_model(model.save_model(fitted, scratch_path(spark, "gbt")))
-    a = model.score(m, fitted, fx.CUTOFF).select("nr_cpf_cnpj", F.col("probabilidade_inadimplente").alias("a"))
-    b = model.score(m, again, fx.CUTOFF).select("nr_cpf_cnpj", F.col("probabilidade_inadimplente").alias("b"))
-    return a.join(b, "nr_cpf_cnpj").select("nr_cpf_cnpj", (F.col("a") == F.col("b")).cast("int").alias("ok"))
+    """The margins of the model read back from its tables."""
+    m, fitted = _fitted(spark, sf_dir, SQL_PARAMS, False)
+    again = model.load_model(model.save_model(fitted, scratch_path(spark, "gbt"), spark), spark)
+    return boosting.predict(m, again, ["nr_cpf_cnpj"]).select("nr_cpf_cnpj", F.round("margin", 9).alias("margin"))
 
 
 def q_importance_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per feature, importances between 0 and 1."""
-    _, fitted = _fitted(spark, sf_dir)
-    found = model.feature_importance_df(fitted, spark)
-    return found.select("feature", F.col("importance").between(0, 1).cast("int").alias("ok"))
+    """Splits and gain of every feature."""
+    _, fitted = _fitted(spark, sf_dir, SQL_PARAMS, False)
+    return model.feature_importance(fitted, spark).select("feature", "n_splits", F.round("total_gain", 6).alias("total_gain"), F.round("importance", 6).alias("importance"))
+
+
+def q_contribution_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base value plus contributions of every customer; the oracle has the margins of its own trees."""
+    m, fitted = _fitted(spark, sf_dir, SQL_PARAMS, False)
+    found = explain.contributions(m, fitted, "nr_cpf_cnpj")
+    total = F.aggregate("contributions", F.col("base_value"), lambda a, x: a + x)
+    return found.select("nr_cpf_cnpj", F.round(total, 9).alias("margin"))
+
+
+def q_gate_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D5 + D6: a day whose previous day has a good AUC goes on with that day's model and measures it."""
+    m, fitted = _fitted(spark, sf_dir, SQL_PARAMS, False)
+    path = model.save_model(fitted, scratch_path(spark, "gbt"), spark)
+    history = spark.createDataFrame([(window_start(END_DATE, days=1), 1.0)], "dat_ref_carga string, roc_auc double")
+    run = train(m, history, END_DATE, fx.RETRAIN_THRESHOLD, scratch_path(spark, "unused"), reuse_path=path)
+    return spark.createDataFrame([(END_DATE, int(run.retrained), int(run.model_path == path), run.roc_auc)], "dat_ref_carga string, retrained int, same_model int, roc_auc double").withColumn("roc_auc", F.round("roc_auc", 9))
 
 
 def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = write_table(labelled_master(spark, sf_dir), scratch_path(spark, "master"))
-    return model.feature_importance_df(model.fit(m, SMOKE_PARAMS, fx.SEED), spark)
+    return model.feature_importance(_fitted(spark, sf_dir, FIT_PARAMS, True)[1], spark)
+
+
+def q_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each feature adds to each customer's score."""
+    m, fitted = _fitted(spark, sf_dir, FIT_PARAMS, True)
+    return explain.contribution_rows(explain.contributions(m, fitted, "nr_cpf_cnpj"), fitted, "nr_cpf_cnpj")
 
 
 def q_cv_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 + D3: the trial table of the whole search."""
     m = write_table(labelled_master(spark, sf_dir), scratch_path(spark, "master"))
-    return model.search_and_fit(m, n_trials=2, folds=fx.FOLDS, seed=fx.SEED, space=model.SMOKE_SPACE).cv
+    return model.search_and_fit(m, folds=fx.FOLDS, seed=fx.SEED).cv
 
 
 def q_daily_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,8 +334,6 @@ def q_daily_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         DAYS,
         threshold=fx.RETRAIN_THRESHOLD,
         folds=fx.FOLDS,
-        n_trials=2,
-        space=model.SMOKE_SPACE,
         cutoff=fx.CUTOFF,
         out_dir=scratch_path(spark, "daily"),
     )
@@ -361,6 +380,9 @@ QUERIES: dict[str, Query] = {
     "score_contract": q_score_contract,  # D8
     "model_reload": q_model_reload,  # D6
     "importance_names": q_importance_names,  # D7
+    "contribution_sums": q_contribution_sums,  # D7, per customer
+    "gate_reuse": q_gate_reuse,  # D5 + D6, the second day
+    "contributions": q_contributions,  # D7, per customer (rows-only)
     "gbt_scores": q_gbt_scores,  # D1 + D6 + D8 (rows-only)
     "feature_importance": q_feature_importance,  # D7 (rows-only)
     "cv_metrics": q_cv_metrics,  # D2 + D3 (rows-only)

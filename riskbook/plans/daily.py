@@ -86,7 +86,7 @@ def daily_run(
     promoted = yesterday["model_path"] if yesterday else None
     run = train(
         tables.master, history if promoted else None, end_date, threshold, f"{out}/model/{end_date}-{uuid.uuid4().hex[:8]}",
-        folds, n_trials, space=space, reuse_path=promoted,
+        folds, n_trials, space=space, reuse_path=promoted, trials_path=f"{day_dir}/trials-{uuid.uuid4().hex[:8]}",
     )
     spark.createDataFrame([(run.roc_auc, run.model_path)], "roc_auc double, model_path string").write.mode("overwrite").parquet(
         f"{history_path}/dat_ref_carga={end_date}"

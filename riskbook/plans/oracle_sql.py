@@ -9,6 +9,9 @@ arithmetic. Every computed column is cast to the Spark type it must match.
 
 from __future__ import annotations
 
+import re
+
+from riskbook.plans.boosting_sql import boosted_steps, with_steps
 from riskbook.sources.fixtures import DAYS_TO_EVALUATE as DAYS
 from riskbook.sources.fixtures import (
     CUTOFF,
@@ -277,6 +280,8 @@ group by {group_name}
 
 
 def build() -> dict[str, str]:
+    from riskbook.plans.catalog import SQL_PARAMS
+
     q: dict[str, str] = {}
     q["window_bounds"] = _window_bounds()
     clean = _clean("transfers_raw", f"{FEED}, ")
@@ -304,8 +309,23 @@ def build() -> dict[str, str]:
     features = [f"{name}_{d}" for d in BOOK_WINDOWS for name, _ in _MEASURES] + ["qtd_camp_disparo", "qtd_camp_conversao"]
     rows = " union all ".join(f"select nr_cpf_cnpj, '{f}' as feature, cast({f} as double) as value from master" for f in features)
     q["assembled_features"] = _labelled_sql(rows)
-    q["score_contract"] = q["model_reload"] = _labelled_sql("select nr_cpf_cnpj, 1 as ok from master")
-    q["importance_names"] = " union all ".join(f"select '{f}' as feature, 1 as ok" for f in features)
+    last = f"margin_{SQL_PARAMS.n_estimators}"
+    chance = "1.0 / (1.0 + exp(-margin))"
+    q["score_contract"] = _boosted(features, f"select id as nr_cpf_cnpj, round({chance}, 9) as probabilidade_inadimplente, cast({chance} >= {CUTOFF} as integer) as flag_predito from {last}")
+    q["model_reload"] = q["contribution_sums"] = _boosted(features, f"select id as nr_cpf_cnpj, round(margin, 9) as margin from {last}")
+    names = ", ".join(f"'{f}'" for f in features)
+    q["importance_names"] = _boosted(
+        features,
+        f"""select n.feature, count(s.gain) as n_splits, round(coalesce(sum(s.gain), 0), 6) as total_gain,
+          round(coalesce(sum(s.gain) / (select sum(gain) from splits), 0), 6) as importance
+        from (select unnest([{names}]) as feature, unnest(range({len(features)})) as f) n left join splits s using (f) group by n.feature""",
+    )
+    scored = ("scored", f"select 'x' as day, margin as score, flag_bloqueio as label from {last} join master on id = nr_cpf_cnpj")
+    q["gate_reuse"] = _boosted(
+        features,
+        f"select '{END_DATE}' as dat_ref_carga, 0 as retrained, 1 as same_model, round(roc_auc, 9) as roc_auc from ({_auc_sql('day', 'day', 'scored')}) a",
+        [scored],
+    )
     q["master_table"] = _master_sql("select * from master")
     q["class_balance"] = _master_sql('select flag_bloqueio, count(*) as "count" from master group by flag_bloqueio')
     q["split_channels"] = _with(["transfers_raw"], "select * from transfers_raw")
@@ -345,6 +365,15 @@ def build() -> dict[str, str]:
     return q
 
 
+def _boosted(features: list[str], body: str, more: list[tuple[str, str]] = ()) -> str:
+    """The trees of the catalogue's small model, grown in SQL on the labelled master."""
+    from riskbook.plans.catalog import SQL_PARAMS
+
+    # Every step once: left to choose, DuckDB plans the whole chain anew for each of its many uses.
+    head = re.sub(r"(?m)(^with |, ?\n?|\n)(\w+) as \(", r"\1\2 as materialized (", _labelled_sql("").rstrip())
+    return with_steps(head, [*boosted_steps(features, SQL_PARAMS, "nr_cpf_cnpj", "flag_bloqueio"), *more], body)
+
+
 def _labelled_sql(body: str) -> str:
     """The master over the derived flagged list and risk table instead of the given ones."""
     steps = [

@@ -12,6 +12,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -27,10 +28,15 @@ DEFAULTS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply ``DEFAULTS`` where the session has no value yet."""
+    """Apply ``DEFAULTS`` where the session has no value yet, and put this package's folder on the
+    Python path of the workers (a checkout need not be installed, nor be the working folder)."""
     for key, value in DEFAULTS.items():
         if spark.conf.get(key, None) in (None, ""):
             spark.conf.set(key, value)
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
     return spark
 
 

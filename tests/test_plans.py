@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskbook.operators import metrics
+from riskbook.operators.search import REFERENCE_SPACE
 from riskbook.plans import catalog
 from riskbook.plans.features import build_features
 from riskbook.plans.train import score_table, train
@@ -15,6 +16,10 @@ from riskbook.sources.tables import write_table
 from tests.conftest import SF_SMALL
 
 
+# Few trees, so that a search in a test takes seconds; the ranges of the library are the reference's.
+SPACE = dict(REFERENCE_SPACE, n_estimators=(3, 5, True), max_depth=(2, 3, True))
+
+
 def rows_of(df):
     return sorted(map(tuple, df.collect()), key=str)
 
@@ -42,9 +47,8 @@ def test_build_features_with_checkpoints_equals_lazy(spark):
 def test_train_gate_retrains_then_reuses(spark):
     master = write_table(catalog.labelled_master(spark, SF_SMALL), scratch_path(spark, "master"))
     path = scratch_path(spark, "model")
-    from riskbook.operators.model import SMOKE_SPACE
 
-    first = train(master, None, fx.END_DATE, 0.85, path, folds=3, n_trials=2, space=SMOKE_SPACE)
+    first = train(master, None, fx.END_DATE, 0.85, path, folds=3, n_trials=2, space=SPACE)
     assert first.retrained and first.cv.count() == 2 and first.roc_auc is not None
     prev_day = "1998-06-29"
     good = spark.createDataFrame([(prev_day, 0.99)], "dat_ref_carga string, roc_auc double")
@@ -59,7 +63,6 @@ def test_train_gate_retrains_then_reuses(spark):
 
 
 def test_daily_run_gate_uses_yesterdays_history(spark):
-    from riskbook.operators.model import SMOKE_SPACE
     from riskbook.plans.daily import HISTORY_SCHEMA, daily_run
 
     args = (
@@ -69,7 +72,7 @@ def test_daily_run_gate_uses_yesterdays_history(spark):
         fx.fixture(spark, SF_SMALL, "flagged_table"),
     )
     out = scratch_path(spark, "daily")
-    kw = dict(days_to_evaluate=30, folds=3, n_trials=2, space=SMOKE_SPACE, out_dir=out)
+    kw = dict(days_to_evaluate=30, folds=3, n_trials=2, space=SPACE, out_dir=out)
     first = daily_run(spark, *args, end_date="1998-06-29", threshold=0.0, **kw)
     assert first.training.retrained
     n_master = first.features.master.count()
@@ -87,7 +90,6 @@ def test_daily_run_gate_uses_yesterdays_history(spark):
 
 def test_a_failing_save_leaves_the_promoted_model(spark, monkeypatch):
     from riskbook.operators import model
-    from riskbook.operators.model import SMOKE_SPACE
     from riskbook.plans.daily import daily_run
 
     args = (
@@ -96,11 +98,11 @@ def test_a_failing_save_leaves_the_promoted_model(spark, monkeypatch):
         fx.fixture(spark, SF_SMALL, "raw_riscos"),
         fx.fixture(spark, SF_SMALL, "flagged_table"),
     )
-    kw = dict(days_to_evaluate=30, folds=2, n_trials=1, space=SMOKE_SPACE, out_dir=scratch_path(spark, "daily"))
+    kw = dict(days_to_evaluate=30, folds=2, n_trials=1, space=SPACE, out_dir=scratch_path(spark, "daily"))
     first = daily_run(spark, *args, end_date="1998-06-29", threshold=0.0, **kw)
 
-    def broken(fitted, path):
-        fitted.stages[-1].write().save(path + "/part")
+    def broken(fitted, path, spark):
+        fitted.table(spark).write.parquet(path + "/trees")
         raise RuntimeError("lost while saving")
 
     monkeypatch.setattr(model, "save_model", broken)
@@ -113,7 +115,6 @@ def test_a_failing_save_leaves_the_promoted_model(spark, monkeypatch):
 
 
 def test_run_from_folder_reads_named_tables_and_writes_outputs(spark):
-    from riskbook.operators.model import SMOKE_SPACE
     from riskbook.plans.daily import run_from_folder
 
     base = scratch_path(spark, "inputs")
@@ -122,7 +123,7 @@ def test_run_from_folder_reads_named_tables_and_writes_outputs(spark):
     for name in ("raw_campanhas", "raw_riscos", "flagged_table"):
         fx.fixture(spark, SF_SMALL, name).write.parquet(f"{base}/{name}")
     out = scratch_path(spark, "outputs")
-    run = run_from_folder(spark, base, out, fx.END_DATE, 180, 3, 0.85, n_trials=1, space=SMOKE_SPACE)
+    run = run_from_folder(spark, base, out, fx.END_DATE, 180, 3, 0.85, n_trials=1, space=SPACE)
     day = f"{out}/{fx.END_DATE}"
     master = spark.read.parquet(f"{day}/master_table")
     assert rows_of(master) == rows_of(catalog.q_master_table(spark, SF_SMALL))
