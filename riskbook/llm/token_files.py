@@ -180,7 +180,10 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = END_ID, fi
             yield flush()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # One id (or none) may hold a third of the rows: ranges also split by text, and equal rows, which are
+    # interchangeable, by any number.
+    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("_text"), F.monotonically_increasing_id().alias("_any"))
+    rows = rows.repartitionByRange("doc_id", "_text", "_any").sortWithinPartitions("doc_id", "_text", "_any")
     manifest = stored(rows.mapInArrow(write, MANIFEST), "token-manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = manifest.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
@@ -206,4 +209,6 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return manifest.select("path", "start").repartition("path").mapInArrow(read, schema)
+    # A task per file: the rows of the manifest are small, what they name is not.
+    files = max(1, manifest.count())
+    return manifest.select("path", "start").repartition(files).mapInArrow(read, schema)
