@@ -10,10 +10,11 @@ displaced documents. Pieces of equal length are interchangeable, so a packing is
 a list of length patterns, and a pattern bred on one island can be injected on
 any other.
 
-Between epochs every island keeps the sequences that are full to within
-``slack`` tokens, its best patterns migrate to the next island of the ring, and
-all other pieces are dealt to new islands. So the waste is that of the
-last, small pool. Each epoch is one shuffle of narrow rows; its result is a
+An epoch has rounds: after each, an island's fullest patterns migrate to the next island of the ring
+(the last one's to the first), where they are injected into the residents' packing; pieces that they displace
+are swapped into other sequences where they fill better, then best-fitted. After an epoch, sequences that are full to within
+``slack`` tokens are kept, and all other pieces are dealt to new islands; the shortest pieces join
+only then, as they fill any gap. So the waste is that of the last, small pool. Each round is one shuffle of narrow rows; its result is a
 table in the shared folder.
 
 Defined results: null and empty texts are one piece holding the end id alone;
@@ -43,10 +44,16 @@ END_ID = 2
 ISLAND_PIECES = 4096
 EPOCHS = 3
 #: Unfilled tokens with which a sequence may leave the pool before the last epoch.
-SLACK = 1
+SLACK = 0
+#: Pieces up to this length stay out of the first epoch: short pieces fill what the others leave.
+HOLD_BACK = 40
 POPULATION = 4
-GENERATIONS = 8
+GENERATIONS = 6
+#: In the last epoch, whose pool is what no epoch before could fill: a tenth of the pieces.
+LAST_GENERATIONS = 48
 ELITES = 64
+#: Rounds of an epoch; between them each island sends its elites to the next.
+ROUNDS = 2
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -105,9 +112,40 @@ def best_fit(lengths: list[int], open_bins: list[Pattern], size: int) -> list[Pa
     return [tuple(sorted(b, reverse=True)) for b in bins]
 
 
+def swap_in(bins: list[Pattern], displaced: list[int], size: int) -> tuple[list[Pattern], list[int]]:
+    """Fill the bins further: a piece makes way for a longer displaced one that still fits (the longest such, of all
+    the bin's pieces). What is displaced then is shorter, so easier to place."""
+    left = [0] * (size + 1)
+    present = 0  # bit n: some displaced piece has length n
+    for n in displaced:
+        left[n] += 1
+        present |= 1 << n
+    out = []
+    for b in bins:
+        room = size - sum(b)
+        if room and present:
+            best, old, new = 0, 0, 0
+            for x in set(b):
+                fitting = present & ((2 << (x + room)) - 1)
+                y = fitting.bit_length() - 1
+                if y - x > best:
+                    best, old, new = y - x, x, y
+            if best:
+                left[new] -= 1
+                if not left[new]:
+                    present ^= 1 << new
+                left[old] += 1
+                present |= 1 << old
+                changed = list(b)
+                changed[changed.index(old)] = new
+                b = tuple(sorted(changed, reverse=True))
+        out.append(b)
+    return out, [n for n in range(size, 0, -1) for _ in range(left[n])]
+
+
 def inject(bins: list[Pattern], into: list[Pattern], counts: np.ndarray, size: int) -> list[Pattern]:
     """Crossover: ``bins`` come whole, as far as the pieces exist; the sequences
-    of ``into`` that still find all their pieces stay; the rest is best-fitted."""
+    of ``into`` that still find all their pieces stay; the displaced are swapped in where they fill better, and best-fitted."""
     left = counts.tolist()
     child: list[Pattern] = []
     for source in (bins, into):
@@ -124,6 +162,7 @@ def inject(bins: list[Pattern], into: list[Pattern], counts: np.ndarray, size: i
                 for length in b[:taken]:
                     left[length] += 1
     displaced = [length for length in range(size, 0, -1) for _ in range(left[length])]
+    child, displaced = swap_in(child, displaced, size)
     return best_fit(displaced, child, size) if displaced else child
 
 
@@ -132,39 +171,53 @@ def fitness(bins: list[Pattern], size: int) -> tuple[int, float]:
     return -len(bins), sum((sum(b) / size) ** 2 for b in bins)
 
 
-def evolve(lengths: np.ndarray, immigrants: list[Pattern], size: int, seed: int, generations: int = GENERATIONS) -> list[Pattern]:
-    """The best packing of the pieces that the island breeds, fullest sequences first."""
+def evolve(lengths: np.ndarray, residents: list[Pattern], immigrants: list[Pattern], size: int, seed: int, generations: int = GENERATIONS) -> list[Pattern]:
+    """The best packing of the pieces that the island breeds, fullest sequences first.
+
+    ``residents`` is the island's packing of the round before, if any; falling best fit is always in the
+    population, so the result never needs more sequences than that.
+    """
     rng = random.Random(seed)
     counts = np.bincount(lengths, minlength=size + 1)
     order = np.sort(lengths)[::-1].tolist()
     people = [best_fit(order, [], size)]
+    if residents:
+        people.append(residents)
     if immigrants:
-        people.append(inject(immigrants, people[0], counts, size))
+        people.append(inject(immigrants, people[-1], counts, size))
     while len(people) < POPULATION:
         # Best fit of the large pieces in falling, the others in a nearly falling order.
         noisy = sorted(order, key=lambda x: -x * rng.uniform(0.85, 1.15))
         people.append(best_fit(noisy, [], size))
     lower = -(-int(lengths.sum()) // size)
-    people.sort(key=lambda b: fitness(b, size), reverse=True)
+    rank = lambda b: fitness(b, size)
+    people.sort(key=rank, reverse=True)
     for _ in range(generations):
-        if len(people[0]) <= lower:
-            break
-        a, b = rng.sample(range(POPULATION), 2)
+        if len(people[0]) <= lower and sum(map(sum, people[0][:-1])) == (len(people[0]) - 1) * size:
+            break  # all but one sequence are full
+        a, b = rng.sample(range(len(people)), 2)
         full = [x for x in people[b] if size - sum(x) <= SLACK]
         rng.shuffle(full)
         child = inject(full[: max(1, len(full) * 2 // 3)], people[a], counts, size)
-        # Mutation: the worst sequences and a few others are emptied and packed anew.
+        # Mutation: the worst sequences are emptied, and their pieces swapped in or packed anew.
         child.sort(key=sum)
         out = max(2, len(child) // 20)
-        again = [length for x in child[:out] for length in x]
-        kept = child[out:]
-        rng.shuffle(again)
-        people[-1] = best_fit(again, kept, size)
-        people.sort(key=lambda b: fitness(b, size), reverse=True)
+        kept, again = swap_in(child[out:], [length for x in child[:out] for length in x], size)
+        child = best_fit(again, kept, size)
+        if rank(child) > rank(people[-1]):
+            people[-1] = child
+            people.sort(key=rank, reverse=True)
     return sorted(people[0], key=sum, reverse=True)
 
 
-def _island(size: int, epoch: int, last: bool, slack: int):
+def _patterns(items: pd.DataFrame) -> list[Pattern]:
+    """The sequences that the pieces were in after the round before (none before the first)."""
+    if (items["bin"] < 0).any():
+        return []
+    return [tuple(sorted(map(int, g), reverse=True)) for _, g in items.groupby("bin")["length"]]
+
+
+def _island(size: int, round_: int, last: bool, slack: int):
     def pack(items: pd.DataFrame, elites: pd.DataFrame) -> pd.DataFrame:
         if not len(items):
             return pd.DataFrame({c: pd.Series(dtype=t) for c, t in (("island", "int64"), ("item", "int64"), ("length", "int64"), ("bin", "int32"), ("offset", "int64"), ("done", "bool"))})
@@ -172,7 +225,7 @@ def _island(size: int, epoch: int, last: bool, slack: int):
         items = items.sort_values("item", kind="stable")
         lengths = items["length"].to_numpy()
         immigrants = [tuple(int(x) for x in p) for p in sorted(map(tuple, elites["lengths"]))]
-        bins = evolve(lengths, immigrants, size, seed=(epoch << 32) + island)
+        bins = evolve(lengths, _patterns(items), immigrants, size, (round_ << 32) + island, LAST_GENERATIONS if last else GENERATIONS)
         # Hand the island's pieces to the patterns, length by length.
         flat = np.array([x for b in bins for x in b], dtype=np.int64)
         per = np.array([len(b) for b in bins])
@@ -194,28 +247,34 @@ def pack(cut: DataFrame, sequence: int = SEQUENCE, island_pieces: int = ISLAND_P
     spark = cut.sparkSession
     cut = stored(cut.withColumn("item", F.monotonically_increasing_id()), "pack-pieces")
     pool = cut.where(F.col("length") < sequence).select("item", "length")
-    elites = spark.createDataFrame([], "island long, lengths array<long>")
-    placed = []
-    islands = 1
+    no_elites = spark.createDataFrame([], "island long, lengths array<long>")
+    elites, placed = no_elites, []
     for epoch in range(epochs):
+        held = pool.where(F.col("length") <= HOLD_BACK) if epoch == 0 < epochs - 1 else None
+        pool = pool.where(F.col("length") > HOLD_BACK) if held is not None else pool
         islands = max(1, -(-pool.count() // island_pieces))
-        dealt = pool.withColumn("island", F.pmod(F.xxhash64(F.lit(epoch), "item"), F.lit(islands)))
-        result = (
-            dealt.groupBy("island")
-            .cogroup(elites.where(F.col("island") < islands).groupBy("island"))
-            .applyInPandas(_island(sequence, epoch, epoch == epochs - 1, slack), "island long, item long, length long, bin int, offset long, done boolean")
-        )
-        result = stored(result, f"pack-epoch{epoch}")
+        dealt = pool.withColumn("island", F.pmod(F.xxhash64(F.lit(epoch), "item"), F.lit(islands))).withColumn("bin", F.lit(-1))
+        # Elites of the epoch before go to the islands that there are now; within the epoch the ring has all islands.
+        elites = elites.withColumn("island", F.col("island") % islands)
+        for part in range(ROUNDS):
+            round_, final = epoch * ROUNDS + part, epoch == epochs - 1
+            evolved = _island(sequence, round_, final, slack)
+            result = (
+                dealt.groupBy("island").cogroup(elites.groupBy("island")).applyInPandas(evolved, "island long, item long, length long, bin int, offset long, done boolean")
+            )
+            result = stored(result, f"pack-round{round_}")
+            dealt = result.select("item", "length", "island", "bin")
+            # The fullest patterns of each island move to the next one of the ring.
+            elites = (
+                result.where(F.col("bin") < ELITES)
+                .groupBy("island", "bin")
+                .agg(F.sort_array(F.collect_list("length"), asc=False).alias("lengths"))
+                .select(((F.col("island") + 1) % islands).alias("island"), "lengths")
+            )
         sequence_id = ((F.lit(epoch).cast("long") * F.lit(1 << 40) + F.col("island")) * F.lit(1 << 16) + F.col("bin")).alias("sequence_id")
         placed.append(result.where("done").select("item", sequence_id, "offset"))
         pool = result.where("not done").select("item", "length")
-        # The fullest patterns of each island move to the next one of the ring.
-        elites = (
-            result.where(F.col("done") & (F.col("bin") < ELITES))
-            .groupBy("island", "bin")
-            .agg(F.sort_array(F.collect_list("length"), asc=False).alias("lengths"))
-            .select((F.col("island") + 1).alias("island"), "lengths")
-        )
+        pool = pool.unionByName(held) if held is not None else pool
     where = placed[0]
     for more in placed[1:]:
         where = where.unionByName(more)

@@ -21,7 +21,7 @@ reads them back. A file is closed at the end of the document with which it
 reaches ``file_ids`` ids, so memory is bounded by that plus one document.
 
 Null text counts as empty (its only id is the end id); documents without rows
-give an empty manifest; repeated doc_ids are kept, in order of their text.
+give an empty manifest; repeated doc_ids are kept, in order of a hash of their text.
 Columns other than doc_id and text are ignored.
 """
 

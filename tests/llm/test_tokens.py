@@ -128,6 +128,57 @@ def test_genetic_steps_keep_every_piece():
     a = packing.best_fit(sorted(lengths.tolist(), reverse=True), [], 1024)
     b = packing.best_fit(lengths.tolist(), [], 1024)
     child = packing.inject([x for x in b if sum(x) > 1000] + [(1024,) * 3], a, counts, 1024)
-    for bins in (a, b, child, packing.evolve(lengths, [(512, 512), (1000, 24)], 1024, seed=5)):
+    for bins in (a, b, child, packing.evolve(lengths, [], [(512, 512), (1000, 24)], 1024, seed=5)):
         assert sorted(x for y in bins for x in y) == sorted(lengths.tolist()) and max(map(sum, bins)) <= 1024
-    assert len(packing.evolve(lengths, [], 1024, seed=5)) <= len(a)
+    assert len(packing.evolve(lengths, [], [], 1024, seed=5)) <= len(a)
+
+
+def triplets(seed=1, n=120):
+    """Pieces of which three always fill a sequence exactly, and no four fit."""
+    rng = np.random.default_rng(seed)
+    a, b = rng.integers(260, 400, n), rng.integers(260, 400, n)
+    return np.concatenate([a, b, 1024 - a - b])
+
+
+def test_crossover_beats_falling_best_fit():
+    lengths = triplets()
+    plain = len(packing.best_fit(sorted(lengths.tolist(), reverse=True), [], 1024))
+    bred = packing.evolve(lengths, [], [], 1024, seed=3, generations=60)
+    assert sorted(x for b in bred for x in b) == sorted(lengths.tolist()) and all(sum(b) <= 1024 for b in bred)
+    assert len(bred) < plain - 4
+
+
+def test_migrated_elites_are_used():
+    lengths = triplets()
+    full = [tuple(sorted((int(x), int(y), int(z)), reverse=True)) for x, y, z in lengths.reshape(3, -1).T]
+    without = packing.evolve(lengths, [], [], 1024, seed=3)
+    residents = packing.evolve(lengths, without, full[:60], 1024, seed=4)
+    assert len(set(full[:60]) & set(residents)) > len(set(full[:60]) & set(without)) + 10
+    assert len(residents) < len(without)
+
+
+def test_swapping_in_fills_bins():
+    bins, rest = packing.swap_in([(600, 300), (1000, 24), (500,)], [400, 350, 20], 1024)
+    assert bins == [(600, 400), (1000, 24), (500,)] and sorted(rest) == [20, 300, 350]
+
+
+def test_rounds_send_elites_around_the_ring(spark, monkeypatch):
+    """Every island but a lone one gets the patterns of its neighbour, the first from the last."""
+    seen = []
+    island = packing._island
+
+    def watched(size, round_, last, slack):
+        run = island(size, round_, last, slack)
+        seen.append(round_)
+        return run
+
+    monkeypatch.setattr(packing, "_island", watched)
+    rows = [(i, 0, 0, int(n), 0) for i, n in enumerate(triplets(n=200))]
+    cut = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    got = packing.pack(cut, island_pieces=150).collect()
+    assert seen == list(range(packing.EPOCHS * packing.ROUNDS))
+    fill = {}
+    for r in got:
+        fill.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert len(got) == len(rows) and all(sum(n for _, n in v) <= 1024 for v in fill.values())
+    assert all(o == sum(n for _, n in sorted(v)[:k]) for v in fill.values() for k, (o, _) in enumerate(sorted(v)))
