@@ -37,11 +37,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskbook.functions.buckets import bucket
 from riskbook.functions.ranking import hash_hex, hash_int
 from riskbook.session import configure, scratch_path
 
 MAX_BINS = 64
-BUCKETS_PER_OCTAVE = 32
 UNIT = float(1 << 30)
 REBASE = 5
 # Rows are drawn by (a key + b) mod this prime, below a share of it.
@@ -111,22 +111,6 @@ def route(tree: tuple[np.ndarray, ...], bins: np.ndarray) -> np.ndarray:
 # ------------------------------------------------------------------ binning
 
 
-def bucket(value: Column) -> Column:
-    """Number of the value's bucket: rising with the value, null for null and NaN."""
-    v = value.cast("double")
-    size = F.abs(v)
-    # The logarithm may be off by one at powers of two; comparing with the power itself settles it.
-    guess = F.floor(F.log2(size))
-    power = lambda e: F.pow(F.lit(2.0), e.cast("double"))
-    guess = F.when(power(guess) > size, guess - 1).otherwise(guess)
-    guess = F.when(power(guess + 1) <= size, guess + 1).otherwise(guess)
-    within = F.floor((size / power(guess) - 1) * BUCKETS_PER_OCTAVE)
-    number = (guess + 1100) * BUCKETS_PER_OCTAVE + within + 1
-    infinite = F.lit(BUCKETS_PER_OCTAVE * 3000)
-    number = F.when(size == float("inf"), infinite).otherwise(number)
-    return F.when(v.isNull() | F.isnan(v), F.lit(None)).when(v == 0, F.lit(0)).when(v > 0, number).otherwise(-number).cast("long")
-
-
 def bin_edges(df: DataFrame, features: Sequence[str], max_bins: int = MAX_BINS) -> list[np.ndarray]:
     """Per feature the lowest value of each of its bins, rising; bin 0 is for missing values and has none.
 

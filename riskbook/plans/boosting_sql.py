@@ -9,14 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from riskbook.operators.boosting import BUCKETS_PER_OCTAVE, MAX_BINS, PRIME, UNIT, Grower, Params
+from riskbook.functions.buckets import PER_OCTAVE
+from riskbook.operators.boosting import MAX_BINS, PRIME, UNIT, Grower, Params
 
 
-def _bucket(v: str) -> str:
+def bucket_sql(v: str, per_octave: int = PER_OCTAVE) -> str:
+    """The number of a value's bucket (not for nulls, NaN and infinities)."""
     size = f"abs({v})"
     guess = f"floor(log2({size}))"
     exponent = f"(case when power(2.0, {guess}) > {size} then {guess} - 1 when power(2.0, {guess} + 1) <= {size} then {guess} + 1 else {guess} end)"
-    number = f"(({exponent} + 1100) * {BUCKETS_PER_OCTAVE} + floor(({size} / power(2.0, {exponent}) - 1) * {BUCKETS_PER_OCTAVE}) + 1)"
+    number = f"(({exponent} + 1100) * {per_octave} + floor(({size} / power(2.0, {exponent}) - 1) * {per_octave}) + 1)"
     return f"(case when {v} = 0 then 0 when {v} > 0 then {number} else -{number} end)::bigint"
 
 
@@ -29,7 +31,7 @@ def boosted_steps(features: Sequence[str], params: Params, id_col: str, label: s
     listed = ", ".join(f"cast({f} as double)" for f in features)
     steps = [
         ("long", f"select {id_col} as id, unnest(range({len(features)})) as f, unnest([{listed}]) as v from master"),
-        ("bucketed", f"select id, f, {_bucket('v')} as bucket from long"),
+        ("bucketed", f"select id, f, {bucket_sql('v')} as bucket from long"),
         ("counted", "select f, bucket, count(*) as n from bucketed group by all"),
         ("placed", f"select f, bucket, floor((sum(n) over (partition by f order by bucket) - n) * {MAX_BINS - 1} / sum(n) over (partition by f)) as place from counted"),
         ("numbered", "select f, bucket, dense_rank() over (partition by f order by place) as bin from placed"),

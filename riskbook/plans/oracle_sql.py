@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import re
 
-from riskbook.plans.boosting_sql import boosted_steps, with_steps
+from riskbook.operators.auc_state import PER_OCTAVE
+from riskbook.plans.boosting_sql import boosted_steps, bucket_sql, with_steps
 from riskbook.sources.fixtures import DAYS_TO_EVALUATE as DAYS
 from riskbook.sources.fixtures import (
     CUTOFF,
@@ -361,7 +362,22 @@ def build() -> dict[str, str]:
     q["threshold_label"] = _with(
         ["score_history"], f"select *, cast(score >= {CUTOFF} as integer) as flag_predito from score_history"
     )
-    q["table_roundtrip"] = q["table_roundtrip_partitioned"] = q["financial_features"]
+    q["table_replaced"] = q["read_or_create"] = q["table_roundtrip"] = q["table_roundtrip_partitioned"] = q["financial_features"]
+    q["full_outer_hot"] = """
+select left_key, o_orderstatus, right_key, c_nationkey
+from (select case when o_orderkey % 7 = 0 then null when o_orderkey % 3 = 0 then 1 else o_custkey + 1 end as left_key, o_orderstatus from orders) l
+full outer join (select case when c_custkey % 11 = 0 then null else c_custkey end as right_key, c_nationkey from customer) r on left_key = right_key"""
+    q["auc_sketch"] = _with(
+        ["score_history"],
+        f"""
+select mes, cast(sum(p) as bigint) as n_pos, cast(sum(n) as bigint) as n_neg,
+  round(sum(p * (b + n * 0.5)) / nullif(cast(sum(p) as double) * sum(n), 0), 9) as roc_auc, round(sum(cast(p as double) * n) * 0.5 / nullif(cast(sum(p) as double) * sum(n), 0), 9) as error
+from (select *, cast(coalesce(sum(n) over (partition by mes order by bucket rows between unbounded preceding and 1 preceding), 0) as double) as b
+      from (select substr(dat_ref_carga, 1, 7) as mes, {bucket_sql("score", PER_OCTAVE)} as bucket,
+                   cast(count(*) filter (label = 1) as double) as p, cast(count(*) filter (label = 0) as double) as n
+            from score_history where score is not null and label in (0, 1) group by all) c) d
+group by mes""",
+    )
     return q
 
 

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from riskbook.functions.buckets import bucket
 from riskbook.operators import boosting, explain, search
 from riskbook.operators.boosting import Grower, Model, Params, Tree
 from riskbook.session import scratch_path
@@ -107,7 +108,7 @@ def test_edge_inputs(spark):
     one = boosting.fit(df.where("y = 1"), FEATURES, "y", "id", Params(n_estimators=2))
     assert all(r.probability > 0.5 for r in boosting.predict(df, one, ["id"]).collect())
     values = [None, float("nan"), float("-inf"), -8.0, -1.0, -0.5, 0.0, 1e-300, 0.5, 1.0, 1.03, 1.04, 2.0, 1e300, float("inf")]
-    got = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").select("i", boosting.bucket(F.col("v")).alias("k")).orderBy("i").collect()
+    got = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").select("i", bucket(F.col("v")).alias("k")).orderBy("i").collect()
     assert got[0].k is None and got[1].k is None
     assert all(x.k <= y.k for x, y in zip(got[2:], got[3:], strict=False)) and len({r.k for r in got[2:]}) == 12
 
