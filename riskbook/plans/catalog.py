@@ -6,6 +6,7 @@ a DataFrame; ``riskbook.plans.oracle_sql`` holds the matching DuckDB SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from riskbook.functions.dates import window_start, window_start_col
 from riskbook.functions.outer import full_outer
 from riskbook.operators import behavior, book, boosting, explain, labels, master, metrics, model, transfers
+from riskbook.operators.asof_book import book_as_of
 from riskbook.operators.auc_state import auc_of, auc_state, merged
 from riskbook.operators.boosting import Model, Params
 from riskbook.plans.train import train
@@ -39,6 +41,10 @@ BOUND_OFFSETS = {
 }
 
 
+# End dates of book_as_of: neighbours, a month end and a leap of months.
+AS_OF = [END_DATE, "1998-06-29", "1998-05-31", "1998-03-01"]
+
+
 def base_start() -> str:
     return window_start(END_DATE, days=DAYS + 1)
 
@@ -105,6 +111,13 @@ def q_trailing_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.trailing_book(q_financial_features(spark, sf_dir), fx.fixture(spark, sf_dir, "flagged_table"), END_DATE, DAYS)
 
 
+def q_book_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B11 for several end dates in one plan."""
+    span = (date.fromisoformat(max(AS_OF)) - date.fromisoformat(min(AS_OF))).days + DAYS
+    fin = transfers.financial_features(fx.fixture(spark, sf_dir, "transfers_raw"), max(AS_OF), span, channel_col="tp_transacao")
+    return book_as_of(fin, fx.fixture(spark, sf_dir, "flagged_table"), AS_OF, DAYS)
+
+
 def q_trailing_book_30(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Another length: the windows up to 30 days, over a base window of 30 days."""
     fin = transfers.financial_features(fx.raw_channels(spark, sf_dir), END_DATE, 30)
@@ -394,6 +407,7 @@ QUERIES: dict[str, Query] = {
     "mark_flagged": q_mark_flagged,  # B8
     "own_bank_flag": q_own_bank_flag,  # B9
     "trailing_book": q_trailing_book,  # B10 + B11 + B12
+    "book_as_of": q_book_as_of,  # B11, several end dates
     "trailing_book_30": q_trailing_book_30,  # B10 + B11 at another length
     "master_table": q_master_table,  # B13
     "labelled_master": labelled_master,  # C7 into B7, B11 and B13

@@ -306,6 +306,10 @@ def build() -> dict[str, str]:
     )
     q["trailing_book"] = _book_with("select * from book")
     q["trailing_book_30"] = _book_with("select * from book", 30)
+    from riskbook.plans.catalog import AS_OF
+
+    # A book of each date on its own, with that date in place of the fixture's.
+    q["book_as_of"] = " union all ".join(f"select '{d}' as dat_ref_fim, * from ({q['trailing_book'].replace(END_DATE, d)}) b" for d in AS_OF)
     q["labelled_master"] = _labelled_sql("select * from master")
     features = [f"{name}_{d}" for d in BOOK_WINDOWS for name, _ in _MEASURES] + ["qtd_camp_disparo", "qtd_camp_conversao"]
     rows = " union all ".join(f"select nr_cpf_cnpj, '{f}' as feature, cast({f} as double) as value from master" for f in features)
