@@ -2,7 +2,8 @@
 
 Base spans are e-mail addresses, IPv4 addresses, card numbers and phone numbers in
 international form, found by patterns (leftmost, non-overlapping per kind) and kept if they
-pass the kind's test. The field then labels every other token that holds a digit or an @.
+pass the kind's test. The field then labels the other tokens that hold a digit or an @, and tokens alike to
+one of those (the name before an address's @, written alone). It runs in every text that has any.
 Its nodes are those tokens; its potentials are
 
 * unary: shape of the token and of the tokens beside it;
@@ -13,7 +14,7 @@ Its nodes are those tokens; its potentials are
 
 Tokens of base spans have known labels; loopy belief propagation carries
 them along the links, so a token that repeats a known one is labelled like it
-anywhere in the document. A token whose most likely kind reaches ``MIN_BELIEF``
+anywhere in the document. A token that skip links join to a known one, and whose most likely kind reaches ``MIN_BELIEF``,
 adds a span; base spans always stay.
 
 Fitting maximises the pseudo-likelihood of the base labels on a bounded sample:
@@ -23,7 +24,8 @@ pass over the whole texts without a shuffle.
 
 Defined results: null and empty texts have no spans (base_sha256 is that of the empty
 string); without any base span in the sample nothing is added; a token belongs to
-one document, repeated rows give equal results; extra columns are ignored.
+one document, repeated rows give equal results; a null doc_id is kept, and counts as an empty id when the sample
+is drawn; repeated rows of the sample are learnt from once; extra columns are ignored.
 All patterns run in time linear in the text.
 """
 
@@ -49,7 +51,7 @@ PENALTY = 1e-3
 ROUNDS = 10
 MIN_BELIEF = 0.8
 #: Prior of the skip potentials: what two alike tokens gain by equal labels, before the data speak.
-AGREEMENT = 2.0
+AGREEMENT = 4.0
 LIKE_CHARS = 6
 _SAMPLE_PARTS = 1 << 24
 
@@ -63,6 +65,7 @@ _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _SIGN = re.compile(r"[0-9@]")
 _DIGITS = re.compile(r"[0-9]")
 _PLAIN = re.compile(r"[^0-9a-z]+")
+_HEAD = re.compile(r"[^@(\[]*")
 _TRIM = re.compile(r"[0-9A-Za-z+](?:.*[0-9A-Za-z])?", re.S)
 
 Span = tuple[str, int, int]
@@ -165,29 +168,36 @@ def _pairs(x: list[tuple[int, int]]) -> np.ndarray:
     return np.array(x, dtype=np.int64).reshape(-1, 2)
 
 
+def _keys(token: str) -> set[str]:
+    """What makes tokens alike: the whole token, or its first part where that is long enough."""
+    low = token.lower()
+    whole, head = _PLAIN.sub("", low), _PLAIN.sub("", _HEAD.match(low)[0])
+    return {"=" + whole, head} if len(head) >= LIKE_CHARS else {"=" + whole}
+
+
 def tokens(text: str, base: list[Span]) -> Tokens | None:
-    """The field's nodes: all tokens with a digit or @."""
+    """The field's nodes: all tokens with a digit or @, and all tokens alike to one of them (a name that an address starts with)."""
     if not _SIGN.search(text):
         return None
-    spans, shapes, number = [], [], []
-    for i, m in enumerate(_TOKEN.finditer(text)):
-        if _SIGN.search(m[0]):
-            spans.append(m.span())
-            shapes.append(_shape(m[0]))
-            number.append(i)
+    found = [(i, m.span(), m[0]) for i, m in enumerate(_TOKEN.finditer(text))]
+    signs = [(i, span, token, _keys(token)) for i, span, token in found if _SIGN.search(token)]
+    # A token without a sign has only letters in its key.
+    names = {k for *_, keys in signs for k in keys if k.isalpha()}
+    if names:
+        plain = ((i, span, token, _keys(token)) for i, span, token in found if len(token) >= LIKE_CHARS and not _SIGN.search(token))
+        signs = sorted(signs + [x for x in plain if x[3] & names])
+    spans = [span for _, span, _, _ in signs]
     n = len(spans)
-    chain = [(i, i + 1) for i in range(n - 1) if number[i + 1] == number[i] + 1]
-    shape = np.array(shapes)
+    chain = [(i, i + 1) for i in range(n - 1) if signs[i + 1][0] == signs[i][0] + 1]
+    shape = np.array([_shape(token) for _, _, token, _ in signs])
     before, after = np.zeros_like(shape), np.zeros_like(shape)
     for i, j in chain:
         before[j], after[i] = shape[i], shape[j]
     last: dict[str, int] = {}
     skip = []
-    for i, (a, b) in enumerate(spans):
-        whole = _PLAIN.sub("", text[a:b].lower())
-        head = _PLAIN.sub("", text[a:b].lower().partition("@")[0])
-        for key in {"=" + whole, head if len(head) >= LIKE_CHARS else "=" + whole}:
-            if key in last and last[key] != i and len(whole) > 1:
+    for i, (*_, keys) in enumerate(signs):
+        for key in sorted(keys):
+            if key in last and last[key] != i and len(key) > 2:
                 skip.append((last[key], i))
             last[key] = i
     known = np.full(n, -1)
@@ -196,7 +206,7 @@ def tokens(text: str, base: list[Span]) -> Tokens | None:
     for kind, a, b in base:
         known[(begin < b) & (stop > a)] = KINDS.index(kind) + 1
     features = np.concatenate((np.ones((n, 1)), shape, before, after), axis=1)
-    return Tokens(spans, features, known, _pairs(chain), _pairs(skip))
+    return Tokens(spans, features, known, _pairs(chain), _pairs(sorted(set(skip))))
 
 
 @dataclass
@@ -212,7 +222,8 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def fit_fields(fields: list[Tokens]) -> Model:
-    """Pseudo-likelihood fit: every node's label given its neighbours' labels; unknown means none."""
+    """Pseudo-likelihood fit: every node's label given its neighbours' labels; unknown means none, but for nodes
+    linked to one with a known label: whether those carry it is what the field decides, so they teach nothing."""
     size = 1 + 3 * N_SHAPE
     empty = Model(np.zeros((size, LABELS)), np.zeros((LABELS, LABELS)), np.zeros((LABELS, LABELS)))
     if not any((f.known > 0).any() for f in fields):
@@ -223,6 +234,9 @@ def fit_fields(fields: list[Tokens]) -> Model:
     chain = np.concatenate([f.chain + k for f, k in zip(fields, at, strict=False)])
     skip = np.concatenate([f.skip + k for f, k in zip(fields, at, strict=False)])
     hot = np.eye(LABELS)[y]
+    teaches = np.ones((len(y), 1))
+    for i, j in (skip.T, skip.T[::-1]):
+        teaches[i[(y[i] == 0) & (y[j] > 0)]] = 0.0
     params = [empty.unary, empty.chain, AGREEMENT * np.eye(LABELS)]
     priors = [p.copy() for p in params]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
@@ -233,7 +247,7 @@ def fit_fields(fields: list[Tokens]) -> Model:
         np.add.at(logits, chain[:, 0], a[:, y[chain[:, 1]]].T)
         np.add.at(logits, skip[:, 0], s[y[skip[:, 1]]])
         np.add.at(logits, skip[:, 1], s[y[skip[:, 0]]])
-        error = (hot - _softmax(logits)) / len(y)
+        error = teaches * (hot - _softmax(logits)) / len(y)
         ga, gs = np.zeros_like(a), np.zeros_like(s)
         np.add.at(ga, y[chain[:, 0]], error[chain[:, 1]])
         np.add.at(ga.T, y[chain[:, 1]], error[chain[:, 0]])
@@ -280,16 +294,19 @@ def beliefs(field: Tokens, model: Model, rounds: int = ROUNDS) -> np.ndarray:
 
 
 def added_spans(text: str, base: list[Span], model: Model) -> list[Span]:
-    """Spans of tokens outside the base spans that the field labels with confidence."""
-    if not base or not model.unary.any():
-        return []  # the field adds nothing where it knows no label to carry along
+    """Spans of tokens outside the base spans that the field labels with confidence; only tokens alike to others can be (a
+    lone token is what the patterns decide)."""
+    if not model.unary.any():
+        return []  # nothing was learnt
     field = tokens(text, base)
     if field is None or not len(field.skip):
         return []
     belief = beliefs(field, model)
     label = belief.argmax(axis=1)
-    linked = np.zeros(len(label), dtype=bool)
-    linked[field.skip.ravel()] = True
+    # Reached from a known label over skip links: consistency needs something to be consistent with.
+    linked = field.known > 0
+    for i, j in field.skip.tolist() + field.skip.tolist()[::-1]:
+        linked[i] = linked[j] = linked[i] or linked[j]
     out = []
     for i in np.flatnonzero((field.known < 0) & (label > 0) & linked & (belief.max(axis=1) >= MIN_BELIEF)).tolist():
         a, b = field.spans[i]
@@ -309,7 +326,8 @@ def fit(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> Model:
         model = fit_fields([f for f in (tokens(t, base_spans(t)) for t in pdf["text"]) if f is not None])
         return pd.DataFrame({"values": [np.concatenate([p.ravel() for p in (model.unary, model.chain, model.skip)])]})
 
-    found = sample.groupBy().applyInPandas(train, "values array<double>").collect()
+    # A repeated row is drawn with its repeats: it is learnt from once, and the bound holds for any input.
+    found = sample.dropDuplicates().groupBy().applyInPandas(train, "values array<double>").collect()
     size, square = (1 + 3 * N_SHAPE) * LABELS, LABELS * LABELS
     values = np.array(found[0][0]) if found else np.zeros(size + 2 * square)
     return Model(values[:size].reshape(-1, LABELS), values[size : size + square].reshape(LABELS, LABELS), values[size + square :].reshape(LABELS, LABELS))
@@ -359,7 +377,8 @@ def redact(docs: DataFrame, model: Model) -> DataFrame:
                 texts = []
                 for text in part.column(at).to_pylist():
                     base = base_spans(text or "")
-                    texts.append(masked(text, base + added_spans(text, base, model)) if base else text)
+                    spans = base + added_spans(text or "", base, model)
+                    texts.append(masked(text, spans) if spans else text)
                 yield pa.RecordBatch.from_arrays([pa.array(texts, part.schema.field(at).type) if j == at else c for j, c in enumerate(part.columns)], schema=part.schema)
 
     return docs.mapInArrow(run, docs.schema)

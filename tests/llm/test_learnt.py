@@ -202,6 +202,67 @@ def test_belief_propagation_is_exact_on_a_chain(field):
     assert got == pytest.approx(total / total.sum(axis=1, keepdims=True), abs=2e-3)
 
 
+def exact_marginals(nodes, field):
+    """Label probabilities by adding up all labellings; known labels are fixed."""
+    import itertools
+
+    unary = np.exp(nodes.features @ field.unary)
+    options = [[k] if k > 0 else range(pii.LABELS) for k in nodes.known.tolist()]
+    total = np.zeros_like(unary)
+    for labels in itertools.product(*options):
+        weight = np.prod([unary[i, y] for i, y in enumerate(labels)])
+        for links, table_ in ((nodes.chain, field.chain), (nodes.skip, field.skip)):
+            weight *= np.prod([np.exp(table_[labels[i], labels[j]]) for i, j in links])
+        for i, y in enumerate(labels):
+            total[i, y] += weight
+    return total / total.sum(axis=1, keepdims=True)
+
+
+def test_belief_propagation_with_skip_links_and_loops(field):
+    texts = ["mail ana.silva@x.org or ana.silva 77 x 77 88", "+1 (988) 555-2485 then 555-2485 and 555-2485 988", "1.2.3.4 a 1.2.3.4, 1.2.3.4 9"]
+    for text in texts:
+        nodes = pii.tokens(text, pii.base_spans(text))
+        assert len(nodes.skip)
+        got, exact = pii.beliefs(nodes, field, rounds=80), exact_marginals(nodes, field)
+        assert (got.argmax(axis=1) == exact.argmax(axis=1)).all()
+        assert np.abs(got - exact).max() < 0.15
+
+
+def planted(rng, n=400):
+    """Texts with one pattern span and repeats of it that no pattern finds; numbers and words that are nobody's."""
+    names = ["maria.souza", "john_fletcher", "annelise.weber", "p.dubois77", "kowalska"]
+    out = []
+    for _ in range(n):
+        words = [rng.choice(["the", "room", "42", "1999", "costs", "order", "was", "7.5", "on", "monday", "twice"]) for _ in range(rng.randrange(20, 60))]
+        name, number = rng.choice(names), f"{rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}"
+        kind = rng.choice(["email", "phone"])
+        first, again = (f"{name}@mail{rng.randrange(9)}.org", rng.choice([name, f"{name}[at]mail.org", f"{name},"])) if kind == "email" else (f"+1 (555) {number}", number)
+        at = rng.randrange(5, 10)
+        words.insert(at, first)
+        words.insert(rng.randrange(at + 4, len(words) + 1), again)
+        out.append((kind, again, " ".join(words)))
+    return out
+
+
+def test_added_spans_have_precision_and_recall_on_planted_repeats(field):
+    hits = added = 0
+    rows = planted(random.Random(5))
+    for kind, again, text in rows:
+        more = pii.added_spans(text, pii.base_spans(text), field)
+        where = text.rindex(again)
+        hits += any(k == kind and a < where + len(again) and b > where for k, a, b in more)
+        added += len(more)
+    print("planted", len(rows), "found", hits, "added", added)
+    assert hits >= 0.8 * len(rows) and hits >= 0.9 * added
+
+
+def test_texts_without_personal_data_get_no_span(field):
+    rng = random.Random(6)
+    for _ in range(300):
+        text = " ".join(rng.choice(["the", "room", "42", "1999", "1999", "costs", "7.5", "12:30", "2024-01-05", "order", "B52", "monday"]) for _ in range(50))
+        assert pii.added_spans(text, pii.base_spans(text), field) == []
+
+
 def test_personal_data_of_awkward_documents(spark, field):
     rows = pii.find(edge_docs(prepare(spark)), field).collect()
     texts = {r[0]: r[1] or "" for r in edge_rows() if r[0] is not None}
