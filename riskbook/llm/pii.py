@@ -14,7 +14,7 @@ Its nodes are those tokens; its potentials are
 
 Tokens of base spans have known labels; loopy belief propagation carries
 them along the links, so a token that repeats a known one is labelled like it
-anywhere in the document. A token that skip links join to a known one, and whose most likely kind reaches ``MIN_BELIEF``,
+anywhere in the document. A token that skip links join to one known to be of its most likely kind, where that kind reaches ``MIN_BELIEF``,
 adds a span; base spans always stay.
 
 Fitting maximises the pseudo-likelihood of the base labels on a bounded sample:
@@ -303,12 +303,12 @@ def added_spans(text: str, base: list[Span], model: Model) -> list[Span]:
         return []
     belief = beliefs(field, model)
     label = belief.argmax(axis=1)
-    # Reached from a known label over skip links: consistency needs something to be consistent with.
-    linked = field.known > 0
+    # Consistency needs something to be consistent with: the known labels that skip links lead to, as bits.
+    reached = np.where(field.known > 0, 1 << np.maximum(field.known, 0), 0)
     for i, j in field.skip.tolist() + field.skip.tolist()[::-1]:
-        linked[i] = linked[j] = linked[i] or linked[j]
+        reached[i] = reached[j] = reached[i] | reached[j]
     out = []
-    for i in np.flatnonzero((field.known < 0) & (label > 0) & linked & (belief.max(axis=1) >= MIN_BELIEF)).tolist():
+    for i in np.flatnonzero((field.known < 0) & (label > 0) & (reached >> label & 1 > 0) & (belief.max(axis=1) >= MIN_BELIEF)).tolist():
         a, b = field.spans[i]
         core = _TRIM.search(text, a, b)
         if core:
