@@ -18,6 +18,7 @@ from riskbook.operators import behavior, book, boosting, explain, labels, master
 from riskbook.operators.asof_book import book_as_of
 from riskbook.operators.auc_state import auc_of, auc_state, merged
 from riskbook.operators.boosting import Model, Params
+from riskbook.plans.incremental import add_batch, financial_as_of
 from riskbook.plans.train import train
 from riskbook.session import scratch_path
 from riskbook.sources.tables import write_table
@@ -370,6 +371,15 @@ def q_table_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_table(current_table(spark, path).withColumn("vl_titulo", F.col("vl_titulo") / 2), path)
 
 
+def q_incremental_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B2-B4 batch by batch: three batches that overlap, one of them run twice."""
+    state, raw = scratch_path(spark, "state"), fx.fixture(spark, sf_dir, "transfers_raw")
+    part = F.pmod(F.crc32(F.concat_ws("|", "nr_cpf_cnpj_sender", "dat_ref_carga").cast("binary")), F.lit(4))
+    for name, mine in (("a", part.isin(0, 1)), ("b", part.isin(1, 2)), ("b", part.isin(1, 2)), ("c", part.isin(0, 3))):
+        add_batch(raw.where(F.coalesce(mine, F.lit(False))), state, name, "tp_transacao")
+    return financial_as_of(spark, state, END_DATE, DAYS)
+
+
 def q_read_or_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Read-or-create: the second call reads what the first one made."""
     path = scratch_path(spark, "made")
@@ -431,6 +441,7 @@ QUERIES: dict[str, Query] = {
     "table_roundtrip": q_table_roundtrip,  # A2 write + A1 read back
     "table_roundtrip_partitioned": q_table_roundtrip_partitioned,  # A2 partitioned
     "table_replaced": q_table_replaced,  # A2, committed versions
+    "incremental_features": q_incremental_features,  # B2 + B3 + B4, batch by batch
     "read_or_create": q_read_or_create,  # 2.1, made once
     "full_outer_hot": q_full_outer_hot,  # 2.3, FULL OUTER on hot keys
     "auc_sketch": q_auc_sketch,  # D4 + D5, mergeable state

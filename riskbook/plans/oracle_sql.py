@@ -366,7 +366,7 @@ def build() -> dict[str, str]:
     q["threshold_label"] = _with(
         ["score_history"], f"select *, cast(score >= {CUTOFF} as integer) as flag_predito from score_history"
     )
-    q["table_replaced"] = q["read_or_create"] = q["table_roundtrip"] = q["table_roundtrip_partitioned"] = q["financial_features"]
+    q["table_replaced"] = q["read_or_create"] = q["incremental_features"] = q["table_roundtrip"] = q["table_roundtrip_partitioned"] = q["financial_features"]
     q["full_outer_hot"] = """
 select left_key, o_orderstatus, right_key, c_nationkey
 from (select case when o_orderkey % 7 = 0 then null when o_orderkey % 3 = 0 then 1 else o_custkey + 1 end as left_key, o_orderstatus from orders) l
