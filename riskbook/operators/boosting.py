@@ -43,7 +43,7 @@ from riskbook.session import configure, scratch_path
 
 MAX_BINS = 64
 UNIT = float(1 << 30)
-REBASE = 5
+REBASE = 10
 # Rows are drawn by (a key + b) mod this prime, below a share of it.
 PRIME = (1 << 31) - 1
 # Tasks add up at most so many cells of one model at a time.

@@ -255,8 +255,8 @@ def labelled_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return master.master_table(beh, book.trailing_book(q_financial_features(spark, sf_dir), flagged, END_DATE, DAYS))
 
 
-# A single fit as a user would run it: many trees, stopped early by the validation rows.
-FIT_PARAMS = Params(n_estimators=1000, max_depth=6, learning_rate=0.1, gamma=0.5, subsample=0.8, colsample_bytree=0.8, seed=fx.SEED)
+# A single fit from within the reference's ranges, stopped early by the validation rows.
+FIT_PARAMS = Params(n_estimators=100, max_depth=3, learning_rate=0.3, gamma=0.5, subsample=0.8, colsample_bytree=0.8, seed=fx.SEED)
 # Few trees with every regularising term, so that SQL can grow the same ones.
 SQL_PARAMS = Params(n_estimators=3, max_depth=3, learning_rate=0.3, gamma=0.25, subsample=0.8, colsample_bytree=0.7, reg_alpha=0.1, reg_lambda=1.5, seed=fx.SEED)
 
