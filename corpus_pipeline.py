@@ -15,6 +15,12 @@ files, so a lost executor costs at most the tasks of one stage.
   mix leaves out go, documents that it takes twice appear twice.
 * packing: documents are packed into sequences of at most 1024 tokens.
 
+Defined results: every stage returns exactly the columns doc_id, text, lang, source and n_chars (the last one: those of
+a piece); other columns of the input, also ones with clashing names, are dropped by the first stage. Null and
+empty texts have no language that the model knows and go with the first stage; a null doc_id is kept throughout (as an
+empty id where ids are hashed); null lang rows are not learnt from, a null source is a source of its own. Of equal rows
+one stays (near_dedup). An empty table gives an empty result in every stage.
+
 SQL cannot express the learnt stages, so there is no oracle for the whole;
 the tests hold every stage against a brute-force version.
 """
