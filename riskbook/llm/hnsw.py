@@ -5,8 +5,10 @@ as an answer can hold, one more for the query itself), so a vector that
 fills a third of the table is one node. Nodes are dealt to shards by a hash of
 the vector; the number of shards follows the number of nodes. Every shard
 builds its graph in one task and stores it as a row of flat arrays: vectors, the sizes of the layers, and per
-layer a padded matrix of neighbours. Queries, in blocks, meet every shard by an equi-join
-on the shard number; a shard's answers are exact scores of the nodes that its
+layer a padded matrix of neighbours. Queries, in blocks, meet every shard. A shard's blocks
+are dealt to lanes of LANE_BLOCKS blocks; a lane is the shard's row followed by its blocks in one sorted
+partition, so a task decodes a shard once for thousands of queries, holds one shard and one block at a
+time, and no lane grows with the queries. A shard's answers are exact scores of the nodes that its
 graph search found, and the best ``k`` of all shards remain.
 
 The graph is searched in lockstep for many queries at a time, which turns the
@@ -38,6 +40,8 @@ from riskbook.llm.text_arrays import U64, mix
 
 SHARD_NODES = 8192
 QUERY_BLOCK = 512
+LANE_BLOCKS = 16
+MOST_TASKS = 20_000  # of a search; a task then takes several lanes in turn
 NEIGHBOURS = 16  # of a node on an upper layer; the lowest layer has twice as many
 EF_BUILD, EF_SEARCH = 48, 160
 BATCH = 512
@@ -240,36 +244,54 @@ def load_shard(row: dict) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
     return Graph(vectors, list(row["sizes"]), layers), np.frombuffer(row["points"], "<f8").reshape(n, dim), np.asarray(row["first"]), np.asarray(row["ids"], dtype=np.int64)
 
 
-def search_index(index: DataFrame, queries: DataFrame, k: int, ef: int = EF_SEARCH, block: int = QUERY_BLOCK) -> DataFrame:
+def _answer(shard: tuple[Graph, np.ndarray, np.ndarray, np.ndarray], own: np.ndarray, vectors: np.ndarray, k: int, ef: int) -> pa.RecordBatch:
+    """query_id, vec_id, score of the k nearest found in one shard for a block of queries."""
+    graph, points, first, ids = shard
+    found = graph.search(vectors, ef)
+    out_q, out_v, out_s = [], [], []
+    for q in range(len(own)):
+        nodes = found[q][found[q] >= 0]
+        score = points[nodes] @ vectors[q]
+        counts = first[nodes + 1] - first[nodes]
+        at = np.repeat(first[nodes] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        each, score = ids[at], np.repeat(score, counts)
+        other = each != own[q]
+        each, score = each[other], score[other]
+        best = np.lexsort((each, -score))[:k]
+        out_q.append(np.full(len(best), own[q]))
+        out_v.append(each[best])
+        out_s.append(score[best])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_q, out_v, out_s)], names=["query_id", "vec_id", "score"])
+
+
+def search_index(index: DataFrame, queries: DataFrame, k: int, ef: int = EF_SEARCH, block: int = QUERY_BLOCK, lane: int = LANE_BLOCKS) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest found for ``queries`` (vec_id, vector)."""
     lengths = index.groupBy("dim").agg(F.sort_array(F.collect_list("shard")).alias("shards"))
     n_blocks = max(1, -(-queries.count() // block))
-    blocked = queries.select("vec_id", "vector", F.size("vector").alias("dim")).distinct().withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)))
+    n_lanes = -(-n_blocks // lane)
+    blocked = queries.select("vec_id", "vector", F.size("vector").alias("dim")).distinct().withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int"))
     blocks = blocked.groupBy("dim", "block").agg(F.collect_list(F.struct("vec_id", "vector")).alias("queries"))
-    work = blocks.join(lengths, "dim").select(F.explode("shards").alias("shard"), "block", "queries").join(index, "shard")
+    asked = blocks.join(lengths, "dim").select(F.explode("shards").alias("shard"), "block", "queries")
+    asked = asked.select("shard", (F.col("block") % n_lanes).alias("lane"), "block", "queries", F.lit(None).cast(index.select(F.struct("*")).schema[0].dataType).alias("node"))
+    # A shard goes once to each of its lanes, ahead of the lane's blocks.
+    nodes = index.select("shard", F.explode(F.sequence(F.lit(0), F.lit(n_lanes - 1))).alias("lane"), F.lit(-1).alias("block"), F.lit(None).cast(blocks.schema["queries"].dataType).alias("queries"), F.struct(*index.columns).alias("node"))
+    # The work is the search, not the bytes: partitions by the number of lanes, which are not joined by size.
+    tasks = min(MOST_TASKS, max(int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * n_lanes * index.count()))
+    work = nodes.unionByName(asked).repartition(tasks, "shard", "lane").sortWithinPartitions("shard", "lane", "block")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, loaded = None, None
         for batch in batches:
+            numbers, blocks, asked, nodes = (batch.column(batch.schema.get_field_index(c)) for c in ("shard", "block", "queries", "node"))
             for i in range(batch.num_rows):
-                row = {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
-                graph, points, first, ids = load_shard(row)
-                own = np.array([q["vec_id"] for q in row["queries"]], dtype=np.int64)
-                vectors = np.array([q["vector"] for q in row["queries"]], dtype=np.float64)
-                found = graph.search(vectors, ef)
-                out_q, out_v, out_s = [], [], []
-                for q in range(len(own)):
-                    nodes = found[q][found[q] >= 0]
-                    score = points[nodes] @ vectors[q]
-                    counts = first[nodes + 1] - first[nodes]
-                    at = np.repeat(first[nodes] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-                    each, score = ids[at], np.repeat(score, counts)
-                    other = each != own[q]
-                    each, score = each[other], score[other]
-                    best = np.lexsort((each, -score))[:k]
-                    out_q.append(np.full(len(best), own[q]))
-                    out_v.append(each[best])
-                    out_s.append(score[best])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_q, out_v, out_s)], names=["query_id", "vec_id", "score"])
+                if blocks[i].as_py() < 0:
+                    if numbers[i].as_py() != loaded:
+                        shard, loaded = load_shard(nodes[i].as_py()), numbers[i].as_py()
+                    continue
+                assert numbers[i].as_py() == loaded
+                rows = asked[i].values
+                own = rows.field("vec_id").to_numpy().astype(np.int64)
+                yield _answer(shard, own, rows.field("vector").flatten().to_numpy().reshape(len(own), -1), k, ef)
 
     hits = work.mapInArrow(find, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

@@ -51,6 +51,10 @@ def test_recall_on_the_table_in_several_shards(spark):
     index = hnsw.build_index(usable, copies=21, shard_nodes=700)
     got = answers(hnsw.search_index(index, usable.where("vec_id % 20 = 0"), 20, block=40))
     assert got.keys() == expected.keys()
+    # Blocks in one lane or in many, small blocks or large: the same answers, but for rounding in the graph search.
+    lanes = answers(hnsw.search_index(index, usable.where("vec_id % 20 = 0"), 20, block=7, lane=2))
+    assert lanes.keys() == got.keys()
+    assert np.mean([{v for v, _ in lanes[q]} == {v for v, _ in got[q]} for q in got]) > 0.95
     recall = np.mean([len({v for v, _ in got[q]} & {v for v, _ in expected[q]}) / 20 for q in expected])
     assert recall > 0.95
     for q, found in got.items():
