@@ -19,13 +19,15 @@ nothing of a text that has some.
 :func:`with_next` pairs each document with the next one in descending doc_id in one range
 shuffle of the texts, without a global window: documents go to id ranges, and the first document of each
 range is also sent to the end of the range before it. Repeated doc_ids follow
-one another in order of their text; null ids come last. A single document is
+one another in order of their text's xxhash64, then text; null ids come last. An id (or none) that fills whole ranges is cut
+further by that hash, and equal rows, which are interchangeable, by any number. A single document is
 its own next one.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -38,6 +40,9 @@ from riskbook.llm.text_arrays import buffers, shingles, slices
 
 SCALE = 8
 FULL_SHINGLES = 64
+SAMPLE_PER_RANGE = 64
+MOST_PIECES = 1 << 20  # of the rows of one id; there are never more than ranges
+_SAMPLE_PARTS = 1 << 31
 
 
 class Sketch:
@@ -123,28 +128,69 @@ def fingerprints(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(run, "doc_id long, fingerprint string")
 
 
+def _cuts_of_hot_ids(hot: DataFrame, total: int, n: int) -> dict[int | None, list[tuple[int, int]]]:
+    """Ascending (hash, salt) cuts of the rows ``hot`` (doc_id, hash, salt), about ``total`` / ``n`` rows apart; what is
+    collected are SAMPLE_PER_RANGE keys of three numbers a range."""
+    below = min(_SAMPLE_PARTS, SAMPLE_PER_RANGE * n * _SAMPLE_PARTS // max(total, 1) + 1)
+    keys: dict[int | None, list[tuple[int, int]]] = {}
+    for r in hot.where(F.pmod(F.xxhash64("doc_id", "hash", "salt"), F.lit(_SAMPLE_PARTS)) < below).collect():
+        keys.setdefault(r.doc_id, []).append((r.hash, r.salt))
+    return {k: sorted(v)[SAMPLE_PER_RANGE - 1 :: SAMPLE_PER_RANGE] for k, v in keys.items()}
+
+
+def in_id_ranges(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, text) with hash (xxhash64 of the text) and bucket: numbers of ranges in descending doc_id (null
+    last), hash, of about equally many rows each."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = rows.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else []
+    cuts, times = np.unique(np.array(found, dtype=np.float64), return_counts=True)
+    hashed = lambda df: df.withColumn("hash", F.xxhash64("text"))
+    salted = lambda df: hashed(df).withColumn("salt", F.monotonically_increasing_id())
+    hot: dict[int | None, list[tuple[int, int]]] = {}
+    counts = rows.agg(F.count("*").alias("total"), F.count("doc_id").alias("ids")).first()
+    many = [int(c) for c in cuts[times > 1]]
+    no_id = n * (counts.total - counts.ids) > 2 * counts.total
+    if many or no_id:
+        # An id with several quantiles, at most n / 2 of them, or none in more rows than two ranges hold.
+        wanted = F.col("doc_id").isin(many) | (F.lit(no_id) & F.col("doc_id").isNull())
+        hot = _cuts_of_hot_ids(salted(rows.where(wanted)).select("doc_id", "hash", "salt"), counts.total, n)
+
+    def numbers(ids: pd.Series) -> np.ndarray:
+        number = len(cuts) - np.searchsorted(cuts, ids.fillna(0).to_numpy(dtype=np.float64))
+        # A cut is the largest id of its range: with cuts of its own it is a range before the rest.
+        number = 2 * np.where(ids.isna(), len(cuts) + 1, number) + ~np.isin(ids.fillna(0), [k for k in hot if k is not None])
+        return number.astype(np.int64) * MOST_PIECES
+
+    @F.pandas_udf("long")
+    def bucket(ids: pd.Series) -> pd.Series:
+        return pd.Series(numbers(ids))
+
+    @F.pandas_udf("long")
+    def bucket_and_piece(ids: pd.Series, hashes: pd.Series, salts: pd.Series) -> pd.Series:
+        own = [hot.get(None if pd.isna(i) else int(i)) for i in ids]
+        return pd.Series(numbers(ids) + [0 if c is None else bisect_right(c, (h, s)) for c, h, s in zip(own, hashes, salts, strict=True)])
+
+    if hot:
+        return salted(rows).withColumn("bucket", bucket_and_piece("doc_id", "hash", "salt")).drop("salt")
+    return hashed(rows).withColumn("bucket", bucket("doc_id"))
+
+
 def with_next(docs: DataFrame, each: Callable[[pa.Table], pa.RecordBatch], schema: str) -> DataFrame:
     """``each`` over runs of documents in descending doc_id: a table with doc_id,
     text and next_text (the next document's text; the first one's after the last)."""
     spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    cuts = np.unique(np.array(rows.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n), dtype=np.float64)) if n > 1 else np.zeros(0)
-
-    @F.pandas_udf("int")
-    def bucket(ids: pd.Series) -> pd.Series:
-        number = len(cuts) - np.searchsorted(cuts, ids.fillna(0).to_numpy(dtype=np.float64))
-        return pd.Series(np.where(ids.isna(), len(cuts) + 1, number).astype(np.int32))
-
-    rows = rows.withColumn("bucket", bucket("doc_id"))
+    rows = in_id_ranges(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
     # One row per range: the ranges that hold documents and the first id of each.
     firsts = rows.groupBy("bucket").agg(F.max("doc_id").alias("head")).orderBy("bucket").collect()
     if not firsts:
         return spark.createDataFrame([], schema)
-    heads = spark.createDataFrame([(firsts[i - 1].bucket, r.head, r.bucket) for i, r in enumerate(firsts)], "closes int, head long, of int")
+    heads = spark.createDataFrame([(firsts[i - 1].bucket, r.head, r.bucket) for i, r in enumerate(firsts)], "closes long, head long, of long")
     closing = rows.join(F.broadcast(heads), (F.col("bucket") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("head")))
-    both = rows.withColumn("closing", F.lit(0)).unionByName(closing.select("doc_id", "text", F.col("closes").alias("bucket"), F.lit(1).alias("closing")))
-    ordered = both.repartitionByRange("bucket").sortWithinPartitions("bucket", "closing", F.desc_nulls_last("doc_id"), "text")
+    # The first id's first row, one per range; a repeated id is reduced to it map-side.
+    closing = closing.groupBy(F.col("closes").alias("bucket"), "doc_id").agg(F.min(F.struct("hash", "text")).alias("first"))
+    closing = closing.select("doc_id", "first.text", "first.hash", "bucket", F.lit(1).alias("closing"))
+    both = rows.withColumn("closing", F.lit(0)).unionByName(closing)
+    ordered = both.repartitionByRange("bucket").sortWithinPartitions("bucket", "closing", F.desc_nulls_last("doc_id"), "hash", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None  # the last document, which waits for its next one

@@ -21,9 +21,10 @@ def jaccard(a, b):
     return 1.0 if a == b else len(a & b) / len(a | b)
 
 
-def edits(rows):
-    """rows (doc_id, text) in descending id, null last; each text with its edited text and the next one."""
-    rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+def edits(spark, rows):
+    """rows (doc_id, text) in descending id, null last, then hash and text; each text with its edited text and the next one."""
+    hashes = {r.text: r.hash for r in spark.createDataFrame([(t or "",) for _, t in rows], "text string").selectExpr("text", "xxhash64(text) AS hash").collect()}
+    rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1] or ""], r[1] or ""))
     for k, (i, t) in enumerate(rows):
         t, after = t or "", rows[(k + 1) % len(rows)][1] or ""
         yield i, t, t[: len(t) - len(t) // 2] + after[: len(t) // 2], after
@@ -85,7 +86,7 @@ def test_edited_texts_of_the_table(spark, partitions):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert len(got) == len(rows)
     error = 0.0
-    for i, text, edited, after in edits(rows):
+    for i, text, edited, after in edits(spark, rows):
         r = got[i]
         assert r.n_chars == len(text) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         error += abs(r.near_edited - jaccard(text, edited)) / len(rows)
@@ -98,9 +99,26 @@ def test_edited_texts_of_the_table(spark, partitions):
 
 def test_awkward_documents(spark):
     got = S.edited_likeness(edge_docs(prepare(spark))).collect()
-    expected = sorted((i is None, i or 0, len(t), hashlib.sha256(e.encode()).hexdigest()) for i, t, e, _ in edits([r[:2] for r in edge_rows()]))
+    expected = sorted((i is None, i or 0, len(t), hashlib.sha256(e.encode()).hexdigest()) for i, t, e, _ in edits(spark, [r[:2] for r in edge_rows()]))
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_chars, r.edited_sha256) for r in got) == expected
     assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
     assert S.edited_likeness(prepare(spark).createDataFrame([], SCHEMA)).count() == 0
     one = S.edited_likeness(spark.createDataFrame([(5, "abcd")], "doc_id long, text string")).collect()
     assert one[0].edited_sha256 == hashlib.sha256(b"abab").hexdigest() and one[0].near_next == 1.0
+
+
+def test_an_id_and_no_id_that_hold_a_third_of_the_rows_each(spark):
+    prepare(spark)
+    rows = [(i, f"text {i}") for i in range(300)] + [(150, f"hot {i}") for i in range(300)] + [(None, f"none {i % 40}") for i in range(300)]
+    rows += [(151, "the same again and again")] * 300  # equal rows, cut by any number
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        sizes = {r.bucket: r["count"] for r in S.in_id_ranges(docs).groupBy("bucket").count().collect()}
+        got = S.edited_likeness(docs).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(sizes) >= 15 and max(sizes.values()) <= 3 * len(rows) / 20
+    expected = sorted((i is None, i or 0, len(t), hashlib.sha256(e.encode()).hexdigest()) for i, t, e, _ in edits(spark, rows))
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_chars, r.edited_sha256) for r in got) == expected
