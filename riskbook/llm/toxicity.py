@@ -12,13 +12,15 @@ Fitting uses a bounded sample of the labelled rows: those whose id hash lies
 below ``fit_documents`` / (labelled rows), ``fit_documents`` in
 expectation. Its words that occur in enough documents, and in toxic ones clearly
 more or less often than in others (``MIN_Z`` standard errors), are the features.
-The sample is the broadcast side of the join and is fitted in one task; the
-model (at most ``MAX_WORDS`` hashes and weights) comes back to the driver.
+The sample is the broadcast side of the join and is fitted in one task, with one text per id (of a
+repeated id, the text of the smallest xxhash64), so its rows are bounded like its ids; the
+model, a hash and a weight for each of those features, comes back to the driver.
 Scoring is one pass over the whole texts without a shuffle.
 
 Defined results: null and empty texts and texts without words have no
 sentence and score 0; without labelled rows of both kinds every score is 0;
-several labels of one document count as their largest; labels other than 0 and 1 are
+several labels of one document count as their largest; several texts of one id are scored each, and one of them is
+learnt from; documents without id are scored and not learnt from; labels other than 0 and 1 are
 not learnt from; repeated rows score alike; extra columns are ignored.
 """
 
@@ -38,7 +40,6 @@ from pyspark.sql import functions as F
 from riskbook.llm.text_arrays import U64, SpanHasher, buffers, slices, word_spans
 
 FIT_DOCUMENTS = 10_000
-MAX_WORDS = 1 << 14
 MIN_DOCUMENTS = 4
 MIN_Z = 6.0
 STEPS = 300
@@ -125,8 +126,7 @@ def choose_words(chunks: Iterator[tuple[np.ndarray, np.ndarray]], labels: np.nda
     rate = in_any / max(n, 1)
     z = (in_toxic - positive * rate) / np.sqrt(np.maximum(positive * rate * (1 - rate) * (1 - positive / max(n, 1)), 1e-9))
     strength = np.where(in_any >= MIN_DOCUMENTS, np.abs(z), 0)
-    chosen = np.flatnonzero(strength >= MIN_Z)
-    return np.sort(words[chosen[np.argsort(-strength[chosen], kind="stable")][:MAX_WORDS]])
+    return words[strength >= MIN_Z]
 
 
 def fit_bags(words: np.ndarray, feature: np.ndarray, inside: np.ndarray, bag: np.ndarray, labels: np.ndarray) -> Model:
@@ -181,6 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, fit_documents: int =
     sample = labels.where(F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(_SAMPLE_PARTS)) < below)
     # Bounded by fit_documents, hence broadcast: the texts are not shuffled to find the sample.
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
+    chosen = chosen.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("kept")).select("doc_id", "kept.text", "toxic")
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "text"]).reset_index(drop=True)

@@ -138,6 +138,56 @@ def test_toxicity_of_awkward_documents(spark):
     assert all(r.score == 0 for r in toxicity.score(edge_docs(spark), toxicity.fit(docs, odd, F.lit(True))).collect())
 
 
+def plain_sentences(text):
+    """Features of each sentence with a word: words and their beginnings, the beginnings marked by their length."""
+    out = []
+    for sentence in re.split(r"[\n.!?]", text.lower()):
+        found = re.findall(rb"[a-z\x80-\xff]+", sentence.encode())
+        if found:
+            out.append([(k, w[:k] if k else w) for w in found for k in (0, *toxicity.PREFIXES)])
+    return out
+
+
+def test_scores_and_chosen_words_equal_a_plain_version(spark):
+    texts = [r.text for r in table(spark, SF, "documents").orderBy("doc_id").collect()][:400] + ["", "é à. Straße! x", "..\n?", "word"]
+    labels = np.array([int("idiot" in t or i % 50 == 0) for i, t in enumerate(texts)])
+    hashes, rows, _ = toxicity.sentences(pa.array(texts))
+    assert [len(x) for x in np.split(rows, np.searchsorted(rows, range(1, len(texts))))] == [sum(map(len, plain_sentences(t))) for t in texts]
+    # The features come in text order, so each one's hash is known.
+    names = dict(zip((f for t in texts for s in plain_sentences(t) for f in s), hashes.tolist(), strict=True))
+    assert len(set(names.values())) == len(names)
+    holds = [{f for s in plain_sentences(t) for f in s} for t in texts]
+    n, positive, expected = len(texts), int(labels.sum()), set()
+    for f, h in names.items():
+        have = [f in x for x in holds]
+        rate, toxic = sum(have) / n, sum(label for label, x in zip(labels, have, strict=True) if x)
+        deviation = np.sqrt(positive * rate * (1 - rate) * (1 - positive / n))
+        if sum(have) >= toxicity.MIN_DOCUMENTS and abs(toxic - positive * rate) >= toxicity.MIN_Z * max(deviation, 10**-4.5):
+            expected.add(h)
+    model = toxicity.fit_texts(pd.Series(texts), labels, chunk=37)
+    assert expected and model.words.tolist() == sorted(expected)
+    weight = dict(zip(model.words.tolist(), model.weights, strict=True))
+    scores = model.score(pa.array(texts))[0]
+    for text, score in zip(texts, scores, strict=True):
+        none = 1.0
+        for s in plain_sentences(text):
+            none *= 1 - 1 / (1 + np.exp(-(model.bias + sum(weight.get(names[f], 0.0) for f in s))))
+        assert score == pytest.approx(1 - none, abs=1e-9)
+
+
+def test_a_repeated_id_is_learnt_from_once(spark):
+    docs = table(spark, SF, "documents").select("doc_id", "text")
+    labels = table(spark, SF, "labels").select("doc_id", "toxic")
+    hot = spark.range(3000).select(F.lit(7_000_000).cast("long").alias("doc_id"), F.concat(F.lit("so many idiots wrote text "), F.col("id")).alias("text"))
+    row = spark.createDataFrame([(7_000_000, 0)], "doc_id long, toxic int").select("doc_id", F.col("toxic").cast(labels.schema["toxic"].dataType))
+    plain = toxicity.fit(docs, labels, F.lit(True))
+    once = hot.orderBy(F.xxhash64("text")).limit(1)
+    more = toxicity.fit(docs.unionByName(hot), labels.unionByName(row), F.lit(True))
+    one = toxicity.fit(docs.unionByName(once), labels.unionByName(row), F.lit(True))
+    assert more.words.tolist() == one.words.tolist() and more.weights.tolist() == one.weights.tolist()
+    assert len(set(more.words.tolist()) ^ set(plain.words.tolist())) <= 0.05 * len(plain.words)
+
+
 # ------------------------------------------------------------------ personal data
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
