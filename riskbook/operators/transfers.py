@@ -48,13 +48,14 @@ def _clean_columns(extra: Sequence[str] = ()) -> list[Column]:
     return (
         [F.col(c) for c in extra]
         + [_typed(n, t) for n, t in KEY_TYPES]
-        + [F.col("vl_pgto").cast("double").alias("vl_titulo"), F.col("dat_ref_carga").cast("string").alias("dat_ref_carga")]
+        + [F.col("vl_pgto").try_cast("double").alias("vl_titulo"), F.col("dat_ref_carga").cast("string").alias("dat_ref_carga")]
     )
 
 
 def clean_transfers(raw: DataFrame, start: str, end: str, extra: Sequence[str] = ()) -> DataFrame:
     """B2: rows dated ``start..end`` (inclusive), typed, amount > 0, exact
     duplicates removed (there is no transfer id, so equal rows are replays).
+    A malformed amount is null and so not above 0; malformed numbers elsewhere become null, the row stays.
     ``extra`` columns (such as the feed's name) come first and tell rows apart."""
     return (
         in_window(raw, start, end)

@@ -72,6 +72,17 @@ def q_clean_transfers_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transfers.clean_transfers(timed, base_start(), END_DATE, extra=["tp_transacao"])
 
 
+def q_clean_transfers_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feeds with missing senders, malformed numbers and malformed amounts."""
+    return transfers.clean_transfers(fx.fixture(spark, sf_dir, "transfers_malformed"), base_start(), END_DATE, extra=["tp_transacao"])
+
+
+def q_trailing_book_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The book of those feeds: senders without id keep one all-zero row."""
+    fin = transfers.financial_features(fx.fixture(spark, sf_dir, "transfers_malformed"), END_DATE, DAYS, channel_col="tp_transacao")
+    return book.trailing_book(fin, fx.fixture(spark, sf_dir, "flagged_table"), END_DATE, DAYS)
+
+
 def q_daily_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transfers.daily_pairs(q_clean_transfers(spark, sf_dir), extra_keys=["tp_transacao"])
 
@@ -408,6 +419,7 @@ QUERIES: dict[str, Query] = {
     "window_bounds": q_window_bounds,  # B1 (column form, every transfer day)
     "clean_transfers": q_clean_transfers,  # B2
     "clean_transfers_timestamps": q_clean_transfers_timestamps,  # B2, dates with times
+    "clean_transfers_malformed": q_clean_transfers_malformed,  # B2, malformed numbers (Q9)
     "daily_pairs": q_daily_pairs,  # B3
     "financial_features": q_financial_features,  # B4
     "financial_features_feeds": q_financial_features_feeds,  # B4, one table per feed
@@ -417,6 +429,7 @@ QUERIES: dict[str, Query] = {
     "mark_flagged": q_mark_flagged,  # B8
     "own_bank_flag": q_own_bank_flag,  # B9
     "trailing_book": q_trailing_book,  # B10 + B11 + B12
+    "trailing_book_malformed": q_trailing_book_malformed,  # B11 + B12, senders without id (Q10)
     "book_as_of": q_book_as_of,  # B11, several end dates
     "trailing_book_30": q_trailing_book_30,  # B10 + B11 at another length
     "master_table": q_master_table,  # B13

@@ -25,6 +25,7 @@ from riskbook.sources.fixtures import (
     RETRAIN_THRESHOLD,
     SAMPLE_FRACTION,
     SEED,
+    fixture_sql,
     oracle_ctes,
 )
 
@@ -306,6 +307,10 @@ def build() -> dict[str, str]:
     )
     q["trailing_book"] = _book_with("select * from book")
     q["trailing_book_30"] = _book_with("select * from book", 30)
+    # The same statements over the malformed feeds, whose amounts are text.
+    for key in ("clean_transfers", "trailing_book"):
+        other = q[key].replace(fixture_sql("transfers_raw"), fixture_sql("transfers_malformed"))
+        q[f"{key}_malformed"] = other.replace(" cast(vl_pgto as double)", " try_cast(vl_pgto as double)").replace("\n  cast(vl_pgto as double)", "\n  try_cast(vl_pgto as double)")
     from riskbook.plans.catalog import AS_OF
 
     # A book of each date on its own, with that date in place of the fixture's.

@@ -60,6 +60,22 @@ union all
 select {_TRANSFER_COLUMNS}, tp_transacao from ({_TRANSFER_SOURCE.strip()} where l_linenumber = 1) r
 """
 
+# The same feeds as text files would bring them: senders missing, numbers and amounts that are none.
+_TRANSFERS_MALFORMED = f"""
+select case when cast(nr_account_sender as integer) % 17 = 0 then null else nr_cpf_cnpj_sender end as nr_cpf_cnpj_sender,
+  case when cast(nr_account_sender as integer) % 7 = 0 then 'x' || nr_account_sender else nr_account_sender end as nr_account_sender,
+  case when cast(nr_account_receiver as integer) % 11 = 0 then '' else nr_office_sender end as nr_office_sender,
+  case when cast(nr_account_receiver as integer) % 9 = 0 then 'n/a' else cd_bank_sender end as cd_bank_sender,
+  nr_cpf_cnpj_receiver, nr_account_receiver, nr_office_receiver,
+  case when cast(nr_account_sender as integer) % 13 = 0 then null else cd_bank_receiver end as cd_bank_receiver,
+  case when cast(vl_pgto as integer) % 170 = 0 then 'n/a' when cast(vl_pgto as integer) % 130 = 0 then ''
+       when cast(vl_pgto as integer) % 110 = 0 then cast(cast(vl_pgto as integer) as varchar(20)) || ',00'
+       when cast(vl_pgto as integer) % 70 = 0 then null
+       else cast(vl_pgto as varchar(30)) end as vl_pgto,
+  dat_ref_carga, tp_transacao
+from ({_TRANSFERS_RAW.strip()}) m
+"""
+
 # One account per customer; companies have one or two, however large the data.
 _PERSONS = """
 select cast(c_custkey as varchar(20)) as nr_cpf_cnpj, 'F' as cd_tipo_doc,
@@ -154,6 +170,7 @@ from (select k, b, dv1, {c2} as dv2
 
 BASE_SQL = {
     "transfers_raw": _TRANSFERS_RAW,
+    "transfers_malformed": _TRANSFERS_MALFORMED,
     "persons": _PERSONS,
     "raw_campanhas": _CAMPANHAS,
     "raw_riscos": _RISCOS,
@@ -215,6 +232,11 @@ _DERIVED_SQL = {
 _DERIVED_DEPS = {k: ["transfers_raw"] for k in _DERIVED_SQL}
 
 
+def fixture_sql(name: str) -> str:
+    """DuckDB SQL of a fixture table over the views of the base tables."""
+    return BASE_SQL[name].format(**{t: t for t in _BASE_TABLES}).strip()
+
+
 def oracle_ctes(names: list[str], body: str, extra: list[tuple[str, str]] = ()) -> str:
     """``WITH`` the named fixtures (DuckDB views of base tables), then the
     ``extra`` (name, sql) steps, then ``body``."""
@@ -227,7 +249,7 @@ def oracle_ctes(names: list[str], body: str, extra: list[tuple[str, str]] = ())
             ordered.append(n)
     parts = []
     for n in ordered:
-        text = _DERIVED_SQL[n] if n in _DERIVED_SQL else BASE_SQL[n].format(**{t: t for t in _BASE_TABLES})
+        text = _DERIVED_SQL[n] if n in _DERIVED_SQL else fixture_sql(n)
         parts.append(f"{n} as ({text.strip()})")
     for n, text in extra:
         parts.append(f"{n} as ({text.strip()})")
