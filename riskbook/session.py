@@ -18,11 +18,13 @@ from pyspark.sql import SparkSession
 
 # Settings the plans rely on. AQE re-plans joins from runtime sizes (broadcast
 # conversion is size-checked by the engine), coalesces small shuffle
-# partitions and splits skewed sort-merge join partitions.
+# partitions and splits skewed sort-merge join partitions. Partitions are joined up to 16 MB of
+# shuffled bytes (Spark: 64 MB), which sorts and aggregates hold some tenfold in memory.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -40,6 +42,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+INITIAL, OURS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "riskbook.initialPartitionNum"
+INPUT_BYTES = 16 << 20
+
+
+def spread(spark: SparkSession, input_bytes: int) -> None:
+    """Let shuffles start with a partition for every ``INPUT_BYTES`` of input where that is more than the session's number of
+    shuffle partitions, so that a task's share stays the same however large the input; AQE joins those that hold little.
+    A number that the cluster has set itself stays."""
+    have, ours = spark.conf.get(INITIAL, None), spark.conf.get(OURS, None)
+    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(ours or 0))
+    if have == ours and input_bytes // INPUT_BYTES > least:
+        spark.conf.set(INITIAL, str(input_bytes // INPUT_BYTES))
+        spark.conf.set(OURS, str(input_bytes // INPUT_BYTES))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables.
 

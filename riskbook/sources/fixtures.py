@@ -18,6 +18,8 @@ from riskbook.functions.taxid import (
     PERSON_WEIGHTS_1,
     PERSON_WEIGHTS_2,
 )
+from riskbook.session import spread
+from riskbook.sources.versions import _fs
 
 # Parameters of every fixture query.
 END_DATE = "1998-06-30"
@@ -200,8 +202,18 @@ def write_inputs(spark: SparkSession, sf_dir: str, folder: str) -> None:
     _WRITTEN[sf_dir.rstrip("/")] = folder
 
 
+def _input_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Length of the base tables' files."""
+    out = 0
+    for t in _BASE_TABLES:
+        fs, at = _fs(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
+        out += fs.getContentSummary(at).getLength() if fs.exists(at) else 0
+    return out
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture table over ``sf_dir``; channel names give one raw feed."""
+    spread(spark, _input_bytes(spark, sf_dir))
     if sf_dir.rstrip("/") in _WRITTEN and name in BASE_SQL:
         return spark.read.parquet(f"{_WRITTEN[sf_dir.rstrip('/')]}/{name}")
     if name in CHANNELS or name.lower() in {f"raw_{c.lower()}" for c in CHANNELS}:
