@@ -383,8 +383,11 @@ def q_table_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_incremental_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B2-B4 batch by batch: three batches that overlap, one of them run twice."""
-    state, raw = scratch_path(spark, "state"), fx.fixture(spark, sf_dir, "transfers_raw")
+    """B2-B4 batch by batch: three batches that overlap, one of them run twice. The feed is a written table, as in
+    production: its rows are put together once, not for every batch."""
+    state, feed = scratch_path(spark, "state"), scratch_path(spark, "feed")
+    fx.fixture(spark, sf_dir, "transfers_raw").write.option("compression", "zstd").parquet(feed)
+    raw = spark.read.parquet(feed)
     part = F.pmod(F.crc32(F.concat_ws("|", "nr_cpf_cnpj_sender", "dat_ref_carga").cast("binary")), F.lit(4))
     for name, mine in (("a", part.isin(0, 1)), ("b", part.isin(1, 2)), ("b", part.isin(1, 2)), ("c", part.isin(0, 3))):
         add_batch(raw.where(F.coalesce(mine, F.lit(False))), state, name, "tp_transacao")

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskbook.functions.dates import in_window, window_start
@@ -23,6 +23,9 @@ from riskbook.operators.transfers import CHANNEL_COL, GROUP_KEYS, KEY_TYPES, _cl
 from riskbook.sources.versions import _fs
 
 DAY, MONTH = "dat_ref_carga", "mes"
+CELL, STORED = "_cell", "_stored"
+# Rows of a batch that are dealt together, at most one month's.
+CELL_ROWS = 250_000
 _TYPED = ", ".join(f"{n} {t}" for n, t in KEY_TYPES)
 ROWS = f"{CHANNEL_COL} string, {_TYPED}, vl_titulo double, {DAY} string, batch string, {MONTH} string"
 PAIRS = f"{CHANNEL_COL} string, {_TYPED}, vl_titulo double, qtd_titulo int, {DAY} string, batch string, {MONTH} string"
@@ -41,29 +44,42 @@ def committed(spark: SparkSession, state: str) -> list[str]:
     return sorted(out)
 
 
+def _cells(rows: int) -> list[Column]:
+    """A row's month and its part of the month, some ``CELL_ROWS`` long if the month has ``rows`` rows. All rows of one daily
+    pair are in one part, and one sender's rows of a day go together, in the order they are read."""
+    part = F.pmod(F.xxhash64("nr_cpf_cnpj_sender", DAY), F.lit(max(1, -(-rows // CELL_ROWS))))
+    return [F.substring(DAY, 1, 7).alias(MONTH), part.alias(CELL)]
+
+
 def _write(df: DataFrame, path: str) -> None:
-    """By month, in files of about the advisory size: AQE splits a large month and joins small ones."""
-    monthly = df.withColumn(MONTH, F.substring(DAY, 1, 7))
-    monthly.hint("rebalance", F.col(MONTH)).write.mode("overwrite").partitionBy(MONTH).parquet(path)
+    """By month; ``df`` is dealt by (month, part of the month), so a task writes few months."""
+    df.drop(CELL).write.mode("overwrite").option("compression", "zstd").partitionBy(MONTH).parquet(path)
 
 
 def add_batch(feed: DataFrame, state: str, batch: str, channel_col: str = CHANNEL_COL) -> int:
-    """Store what is new in ``feed`` (raw transfers of any days, tagged by channel); returns the number of new rows."""
+    """Store what is new in ``feed`` (raw transfers of any days, tagged by channel); returns the number of new rows.
+
+    Two shuffles: the batch meets the stored rows of its months once, which removes repeats inside the batch and replays of stored
+    rows together, and what is new is dealt the same way for the daily pairs. Both are written as they were dealt.
+    """
     if not re.fullmatch(r"[A-Za-z0-9_-]+", batch):
         raise ValueError("a batch name holds letters, digits, _ and - only")
     spark, state = feed.sparkSession, state.rstrip("/")
     dated = in_window(feed, "0001-01-01", "9999-12-31")
     clean = dated.withColumn(CHANNEL_COL, F.col(channel_col).cast("string")).select(*_clean_columns([CHANNEL_COL]))
-    clean = clean.filter(F.col("vl_titulo") > 0).dropDuplicates()
+    clean = clean.filter(F.col("vl_titulo") > 0)
+    sizes = {r[0]: r[1] for r in clean.groupBy(F.substring(DAY, 1, 7)).count().collect()}  # calendar months of one batch
+    cells = _cells(max(sizes.values(), default=0))
+    met = clean.withColumn(STORED, F.lit(False))
     before = [b for b in committed(spark, state) if b != batch]
     if before:
-        months = [r[0] for r in clean.select(F.substring(DAY, 1, 7)).distinct().collect()]  # calendar months of one batch
         seen = spark.read.schema(ROWS).option("basePath", f"{state}/rows").parquet(*[f"{state}/rows/batch={b}" for b in before])
-        seen = seen.where(F.col(MONTH).isin(months)).select(*[F.col(c).alias(f"_{c}") for c in clean.columns])
-        clean = clean.join(seen, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in clean.columns], "left_anti")
-    _write(clean, f"{state}/rows/batch={batch}")
+        met = met.unionByName(seen.where(F.col(MONTH).isin(list(sizes))).select(*clean.columns, F.lit(True).alias(STORED)))
+    met = met.repartition(*cells).select("*", *cells).groupBy(MONTH, CELL, *clean.columns).agg(F.max(STORED).alias(STORED))
+    _write(met.where(~F.col(STORED)).drop(STORED), f"{state}/rows/batch={batch}")
     fresh = spark.read.schema(ROWS).option("basePath", f"{state}/rows").parquet(f"{state}/rows/batch={batch}")
-    _write(daily_pairs(fresh, extra_keys=[CHANNEL_COL]), f"{state}/pairs/batch={batch}")
+    dealt = fresh.drop("batch", MONTH).repartition(*cells).select("*", *cells)
+    _write(daily_pairs(dealt, extra_keys=[MONTH, CELL, CHANNEL_COL]), f"{state}/pairs/batch={batch}")
     return fresh.count()
 
 

@@ -48,3 +48,18 @@ def test_batches_with_replays_and_late_rows_equal_one_run(spark, monkeypatch):
     assert rows_of(incremental.financial_as_of(spark, state, "2024-01-02", 0)) == early
     with pytest.raises(ValueError):
         incremental.add_batch(frame(rows), state, "a/b")
+
+
+def test_a_batch_is_shuffled_once_for_its_rows_and_once_for_its_pairs(spark, monkeypatch):
+    state, plans, write = scratch_path(spark, "state"), [], incremental._write
+
+    def seen(df, path):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(df, path)
+
+    rows = transfers()
+    incremental.add_batch(spark.createDataFrame(rows[:150], RAW), state, "one")
+    monkeypatch.setattr(incremental, "_write", seen)
+    incremental.add_batch(spark.createDataFrame(rows[100:], RAW), state, "two")
+    assert len(plans) == 2
+    assert all(p.count("Exchange ") == 1 for p in plans), plans
