@@ -68,8 +68,8 @@ def suffix_order(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 def _mapping(bwt: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Places in order of their symbols, the rank of each place in it, and the number of places without a symbol."""
     order = np.argsort(bwt, kind="stable")
-    rank = np.empty(len(bwt), dtype=np.int64)
-    rank[order] = np.arange(len(bwt))
+    rank = np.empty(len(bwt), dtype=np.int32)
+    rank[order] = np.arange(len(bwt), dtype=np.int32)
     return order, rank, int(np.count_nonzero(bwt == NO_SYMBOL))
 
 

@@ -15,8 +15,9 @@ collection, and only suffixes that can have an equal partner are sorted at all:
    the shuffle, which takes the copies out of hot groups. A fragment whose anchor occurs
    nowhere else is done, too.
 3. What remains are first occurrences of fragments that share an anchor but
-   differ. Their bytes are fetched, and blocks of whole groups are sorted by column-wise
-   construction of the Burrows-Wheeler transform and common prefixes of the
+   differ. Their bytes are fetched, and blocks of whole groups are taken: what shares no
+   window beside the anchor with another fragment can share no string either, and is left out
+   (:func:`comparable`); the rest is sorted by column-wise construction of the Burrows-Wheeler transform and common prefixes of the
    collection (:mod:`collection_bwt`). Neighbouring suffixes with a common
    prefix of ``length`` are equal strings: all but the earliest are repeated.
    An anchor group above ``largest_group`` fragments is not sorted in one task: its
@@ -55,6 +56,8 @@ LARGEST_GROUP = 32768
 LAST_ID = (1 << 63) - 1
 #: Low bits of a gram's rank that hold its position, so the leftmost of equal grams is smallest.
 PLACE_BITS = 22
+#: Windows beside the anchor that a fragment needs in common with another one.
+WINDOWS = 4
 SEGMENT = 1 << 21
 SLICE = 1 << 20
 
@@ -238,7 +241,40 @@ def later_starts(node: np.ndarray, variant: np.ndarray, start: np.ndarray, group
     return later
 
 
-def _sort_blocks(length: int, block: int):
+def comparable(h: np.ndarray, data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Fragments that may share a string with another one of their anchor (h), and the first byte
+    and number of bytes of each that hold all such strings.
+
+    Equal strings have the anchor at equal distance. Distances are taken in steps of ``width``: all strings of a
+    step hold the same window of length - width + 1 bytes, so a string is shared only where the window of its step is."""
+    width = max(1, (length - gram + 1) // WINDOWS)
+    size = np.diff(offsets)
+    n = size - length + 1
+    hasher = SpanHasher(data)
+    grams = mix(mix((hasher.total[gram:] - hasher.total[:-gram]) * hasher.down[: len(data) - gram + 1]) + U64(1))
+    owner = np.repeat(np.arange(len(size)), size)[: len(grams)]
+    # The anchor is the leftmost of equal grams in the first string, so the first of its kind in the fragment.
+    hit = np.flatnonzero(grams == h[owner])
+    anchor = hit[np.unique(owner[hit], return_index=True)[1]] - offsets[:-1]
+    near, far = (anchor - n + 1) // width, anchor // width
+    count = far - near + 1
+    who = np.repeat(np.arange(len(n)), count)
+    step = np.repeat(near, count) + runs_within(count)
+    begin = (offsets[:-1] + anchor)[who] - step * width
+    key = hasher.hash(begin, begin + length - width + 1) ^ mix(h[who] + step.astype(U64))
+    order = np.argsort(key, kind="stable")
+    same = key[order[1:]] == key[order[:-1]]
+    shared = order[np.append(same, False) | np.append(False, same)]
+    nearest, farthest = np.full(len(n), length), np.full(len(n), -1)
+    np.minimum.at(nearest, who[shared], step[shared])
+    np.maximum.at(farthest, who[shared], step[shared])
+    use = np.flatnonzero(farthest >= 0)
+    first = np.maximum(anchor[use] - (farthest[use] + 1) * width + 1, 0)
+    last = np.minimum(anchor[use] - nearest[use] * width, n[use] - 1)
+    return use, first, last - first + length
+
+
+def _sort_blocks(length: int, gram: int, block: int):
     """Repeated starts among fragments sorted by h, block by block of whole groups."""
 
     def solve(parts: list[pa.RecordBatch]) -> pa.RecordBatch | None:
@@ -247,6 +283,11 @@ def _sort_blocks(length: int, block: int):
         offsets = np.frombuffer(body.buffers()[1], np.int32, len(body) + 1, body.offset * 4).astype(np.int64)
         data = np.frombuffer(body.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
         offsets = offsets - offsets[0]
+        kept, first, n = comparable(t.column("h").to_numpy().view(U64), data, offsets, length, gram)
+        if not len(kept):
+            return None
+        data = data[np.repeat(offsets[kept] + first, n) + runs_within(n)]
+        offsets = np.concatenate(([0], np.cumsum(n)))
         owner, size, shared = suffix_order(data, offsets)
         # Runs of neighbours that share ``length`` bytes are equal strings.
         same = shared >= length
@@ -254,7 +295,7 @@ def _sort_blocks(length: int, block: int):
         if not len(use):
             return None
         group = np.cumsum(~same)[use]
-        own, into = owner[use], (np.diff(offsets)[owner[use]] - size[use]).astype(np.int64)
+        own, into = kept[owner[use]], (first + n)[owner[use]] - size[use]
         node, variant = t.column("node").to_numpy()[own], t.column("variant").to_numpy()[own]
         start = t.column("start").to_numpy()[own] + into
         later = later_starts(node, variant, start, group)
@@ -363,7 +404,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
 
     # A group beyond ``largest_group`` holds that many fragments, so there are few such groups.
     usual = fragments(compare.join(F.broadcast(large), "h", "left_anti"))
-    repeats = usual.repartition("h").sortWithinPartitions("h").mapInArrow(_sort_blocks(length, block), REPEATS)
+    repeats = usual.repartition("h").sortWithinPartitions("h").mapInArrow(_sort_blocks(length, gram, block), REPEATS)
     if not large.isEmpty():
         strings = fragments(compare.join(F.broadcast(large), "h", "left_semi")).mapInArrow(_explode(length), "w1 long, w2 long, node long, variant long, start int")
         strings = stored(strings, "repeat-strings")

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from riskbook.llm import repeats
@@ -87,6 +88,40 @@ def test_segments_of_long_rows(monkeypatch):
     assert covered(whole) == covered(cut) == [(i, int(offsets[i]) + p) for i, t in enumerate(texts) for p in range(max(0, len(t) - 19))]
 
 
+def test_fragments_that_share_the_anchor_alone_are_not_sorted(monkeypatch):
+    """Every shared string is within the bytes kept; chance neighbours and bytes beside shared ones are left out."""
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    common = word(12)
+    passage = word(30)
+    texts = [word(14) + common + word(14) for _ in range(40)] + [word(40) + passage + word(40) for _ in range(3)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    h, _, _, at, n = repeats.anchors(data, offsets, 20, 6)
+    order = np.argsort(h, kind="stable")
+    h, at, n = h[order], at[order], n[order]
+    pieces = [data[a : a + k + 19].tobytes() for a, k in zip(at.tolist(), n.tolist(), strict=True)]
+    ends = np.cumsum([0, *map(len, pieces)])
+    use, first, size = repeats.comparable(h, np.frombuffer(b"".join(pieces), np.uint8), ends, 20, 6)
+    holders = {}
+    for i, piece in enumerate(pieces):
+        for p in range(len(piece) - 19):
+            holders.setdefault(piece[p : p + 20], []).append((i, p))
+    kept = {i: (a, a + s - 20) for i, a, s in zip(use.tolist(), first.tolist(), size.tolist(), strict=True)}
+    shared = [x for found in holders.values() if len(found) > 1 for x in found]
+    assert len(shared) == 3 * 11 and all(kept[i][0] <= p <= kept[i][1] for i, p in shared)
+    alike = np.unique(h, return_inverse=True, return_counts=True)
+    assert (alike[2][alike[1]] > 1).sum() >= 20 and len(kept) <= 9  # those at the passage's ends share a window, but no string
+
+    sorted_bytes = []
+    monkeypatch.setattr(repeats, "suffix_order", lambda data, offsets: sorted_bytes.append(len(data)) or suffix_order(data, offsets))
+    rows = np.arange(len(h))
+    batch = pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(rows), pa.array(0 * rows), pa.array((0 * rows).astype(np.int32)), pa.array(pieces, pa.binary())], names=["h", "node", "variant", "start", "bytes"])
+    found = pa.Table.from_batches(repeats._sort_blocks(20, 6, 8)(iter([batch])))
+    assert sum(found.column("n").to_pylist()) == 2 * 11  # the earliest of three stays
+    assert 0 < sum(sorted_bytes) < ends[-1] // 10
+
+
 def test_awkward_documents(spark):
     got, n = result(edge_docs(prepare(spark)))
     rows = edge_rows()
