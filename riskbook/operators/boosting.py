@@ -97,15 +97,19 @@ class Tree:
 
 
 def route(tree: tuple[np.ndarray, ...], bins: np.ndarray) -> np.ndarray:
-    """The leaf (or open node) that each row of ``bins`` comes to."""
+    """The leaf (or open node) that each row of ``bins`` comes to. Leaves lead to themselves, so all rows go down together."""
     feature, cut, left, right, _ = tree
-    node = np.zeros(len(bins), np.int32)
-    rows = np.arange(len(bins))
-    while len(rows):
-        at = node[rows]
-        rows, at = rows[feature[at] >= 0], at[feature[at] >= 0]
-        node[rows] = np.where(bins[rows, feature[at]] <= cut[at], left[at], right[at])
-    return node
+    leaf, own = feature < 0, np.arange(len(feature))
+    column, cut = np.where(leaf, 0, feature).astype(np.intp), np.where(leaf, 255, cut).astype(np.uint8)
+    child = np.stack((np.where(leaf, own, left), np.where(leaf, own, right)), axis=1).astype(np.intp).ravel()
+    flat, first = np.ascontiguousarray(bins).ravel(), np.arange(len(bins), dtype=np.intp) * bins.shape[1]
+    node, level = np.zeros(len(bins), np.intp), np.flatnonzero(~leaf[:1])
+    while len(level):
+        passed = flat.take(first + column.take(node)) > cut.take(node)
+        node = child.take(2 * node + passed)
+        level = np.concatenate((left[level], right[level]))
+        level = level[~leaf[level]]
+    return node.astype(np.int32)
 
 
 # ------------------------------------------------------------------ binning
@@ -158,7 +162,7 @@ def bin_features(df: DataFrame, features: Sequence[str], label: str, row_key: st
         for batch in batches:
             bins = to_bins(_matrix(batch, features), edges)
             rest = [batch.column(batch.schema.get_field_index(c)) for c in ("_label", "_fold", "_key")]
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in bins], pa.binary()), *rest], names=["bins", "label", "fold", "key"])
+            yield pa.RecordBatch.from_arrays([_binary(bins), *rest], names=["bins", "label", "fold", "key"])
 
     parts = max(1, -(-slim.count() * models // TASK_ROWS))
     path = scratch_path(spark, "binned")
@@ -210,15 +214,29 @@ def gradients(margin: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.floor((p - label) * UNIT + 0.5), np.floor(p * (1.0 - p) * UNIT + 0.5)
 
 
+def _fixed(column: pa.Array, kind: type, width: int) -> np.ndarray:
+    """The values of a binary column of ``width`` numbers a row, as the rows of one matrix over its buffer."""
+    _, offsets, body = column.buffers()
+    start = int(np.frombuffer(offsets, np.int64 if pa.types.is_large_binary(column.type) else np.int32)[column.offset])
+    return np.frombuffer(body, kind, len(column) * width, start).reshape(-1, width)
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    """The rows of a matrix as a binary column."""
+    raw = np.ascontiguousarray(rows)
+    size = raw.shape[1] * raw.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(raw), [None, pa.py_buffer(np.arange(len(raw) + 1, dtype=np.int32) * np.int32(size)), pa.py_buffer(raw)])
+
+
 def _rows(batches: Iterator[pa.RecordBatch], n_features: int, n_models: int) -> Iterator[tuple[np.ndarray, ...]]:
     for batch in batches:
         if not batch.num_rows:
             continue
         col = lambda c: batch.column(batch.schema.get_field_index(c))  # noqa: E731, B023
-        bins = np.frombuffer(b"".join(col("bins").to_pylist()), np.uint8).reshape(-1, n_features)
+        bins = _fixed(col("bins"), np.uint8, n_features)
         margins = np.zeros((len(bins), n_models))
         if "margins" in batch.schema.names:
-            margins = np.frombuffer(b"".join(col("margins").to_pylist()), np.float64).reshape(-1, n_models).copy()
+            margins = _fixed(col("margins"), np.float64, n_models).copy()
         yield bins, margins, col("label").to_numpy(), col("fold").to_numpy(), col("key").to_numpy()
 
 
@@ -332,7 +350,7 @@ def _rebased(table: DataFrame, growers: list[dict], n_features: int, n_models: i
             for g in growers:
                 margins[:, g["model"]] += _added(g, bins)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r.tobytes() for r in bins], pa.binary()), pa.array(label, pa.int32()), pa.array(fold, pa.int32()), pa.array(key, pa.int64()), pa.array([r.tobytes() for r in margins], pa.binary())],
+                [_binary(bins), pa.array(label, pa.int32()), pa.array(fold, pa.int32()), pa.array(key, pa.int64()), _binary(margins)],
                 names=["bins", "label", "fold", "key", "margins"],
             )
 
